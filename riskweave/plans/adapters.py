@@ -109,7 +109,7 @@ def status(t: Tables) -> DataFrame:
 
 
 def order_facts(t: Tables) -> DataFrame:
-    """Per order before the cut-off: line counts and quantity sums (0 if no lines)."""
+    """Per order before the cut-off: urgent flag, line counts, quantity sums (0 if no lines)."""
     lines = t.lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.when(F.col("l_returnflag") == RETURNED_FLAG, 1).otherwise(0)).cast("long")
@@ -118,10 +118,11 @@ def order_facts(t: Tables) -> DataFrame:
         F.sum(F.when(F.col("l_quantity") < LOW_QUANTITY, 1).otherwise(0)).cast("long")
         .alias("n_low"))
     orders = (t.orders.where(F.col("o_orderdate") < cutoff_col())
-              .select("o_orderkey", "o_custkey"))
+              .select("o_orderkey", "o_custkey", "o_orderpriority"))
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
     return joined.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("entity_id"),
+        F.when(F.col("o_orderpriority") == URGENT_PRIORITY, 1).otherwise(0).alias("urgent"),
         F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
         F.coalesce("n_returned", F.lit(0)).alias("n_returned"),
         F.coalesce("qty_sum", F.lit(0.0)).alias("qty_sum"),

@@ -162,17 +162,15 @@ def write_manifest(manifest: DataFrame, path: str) -> str:
 
 def read_manifest(spark: SparkSession, path: str,
                   schema: T.StructType = MANIFEST_SCHEMA) -> DataFrame:
-    """Read a manifest; a missing or corrupt file gives an empty frame.
+    """Read a manifest (one JSON object per file, pretty-printed or not).
 
-    Corrupt records are dropped (PERMISSIVE + ``_corrupt_record``), so the
-    caller's ``coalesce(field, default)`` applies, as with an absent file.
+    A missing path or a corrupt document gives no row, so the caller's
+    ``coalesce(field, default)`` applies, as it does for an absent field.
     """
-    sch = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     try:
-        df = (spark.read.schema(sch).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+        return (spark.read.schema(schema).option("multiLine", True)
+                .option("mode", "DROPMALFORMED").json(path))
     except AnalysisException as exc:
         if _is_missing(exc):
             return spark.createDataFrame([], schema)
         raise
-    return df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")

@@ -1,0 +1,100 @@
+"""Hand-written school fixtures (bronze CSV) with planted edge cases.
+
+Edges: income exactly 2200 and distance exactly 8 (flags stay 0); a student
+without interventions (count 0); a student without grades (vanishes under
+the inner profile); zero classes offered (rate NULL); empty dropout date /
+reason (read as NULL); two enrolments for one student (fan-out); an accented
+name and a name with a regex character; and, in ``violations``, one
+duplicate key, one NULL and one orphan.
+
+The model needs both classes in both splits, so besides the edge students
+there is a deterministic block of students whose facts follow a rule.
+"""
+
+from __future__ import annotations
+
+import csv
+import os
+
+HEAD = {
+    "students": ["student_id", "name", "birth_date", "gender", "race_ethnicity", "neighborhood",
+                 "distance_km", "transport_access", "special_needs"],
+    "socioeconomic": ["student_id", "family_income_brl", "household_size", "internet_access",
+                      "receives_social_benefit", "works_after_school", "food_insecurity_score"],
+    "enrollments": ["enrollment_id", "student_id", "class_id", "enrollment_date", "status",
+                    "dropout_date", "dropout_reason"],
+    "classes": ["class_id", "grade_level", "shift", "room", "school_year"],
+    "subjects": ["subject_id", "subject_name", "workload_hours"],
+    "attendance": ["attendance_id", "student_id", "subject_id", "month", "school_year",
+                   "classes_offered", "absences"],
+    "grades": ["grade_id", "student_id", "subject_id", "bimester", "school_year", "grade",
+               "recovery_exam"],
+    "digital_engagement": ["engagement_id", "student_id", "month", "school_year",
+                           "platform_logins", "homework_submitted", "messages_to_teacher"],
+    "interventions": ["intervention_id", "student_id", "intervention_date", "intervention_type",
+                      "responsible_team", "result"],
+}
+
+HOODS = ["Centro", "Atalaia", "Bugio", "Lamarão"]
+REASONS = ["Trabalho", "Faltas recorrentes", "Desmotivacao"]
+
+
+def tables(n_block: int = 60) -> dict[str, list[list]]:
+    t = {k: [] for k in HEAD}
+    t["classes"] = [[1, "1 ano EM", "Manha", "1A-M", 2026], [2, "2 ano EM", "Noite", "2A-N", 2026]]
+    t["subjects"] = [[1, "Matematica", 120], [2, "Portugues", 120]]
+    ids = {"att": 1, "grd": 1, "eng": 1, "int": 1, "enr": 1}
+
+    def student(sid, name, hood, dist, transport, income, internet, works, food, status,
+                reason, offered, absences, grade, logins, interventions=True, grades=True,
+                enrol_twice=False):
+        t["students"].append([sid, name, "2010-05-01", "Outro", "Parda", hood, dist, transport, 0])
+        t["socioeconomic"].append([sid, income, 4, internet, 1 if income < 2200 else 0, works, food])
+        for _ in range(2 if enrol_twice else 1):
+            drop = status == "Evadido"
+            t["enrollments"].append([ids["enr"], sid, 1 + sid % 2, "2026-02-02", status,
+                                     "2026-08-10" if drop else "", reason if drop else ""])
+            ids["enr"] += 1
+        for subj in (1, 2):
+            t["attendance"].append([ids["att"], sid, subj, 3, 2026, offered, absences])
+            ids["att"] += 1
+            if grades:
+                t["grades"].append([ids["grd"], sid, subj, 1, 2026, grade, 1 if grade < 6 else 0])
+                ids["grd"] += 1
+        t["digital_engagement"].append([ids["eng"], sid, 3, 2026, logins, logins // 2, 1])
+        ids["eng"] += 1
+        if interventions:
+            t["interventions"].append([ids["int"], sid, "2026-06-01", "Busca ativa",
+                                       "Coordenacao", "Sem retorno"])
+            ids["int"] += 1
+
+    # edge students
+    student(1, "Júlia Araujo", "Centro", 8.0, 1, 2200.0, 1, 0, 2, "Ativo", "", 10, 1, 6.0, 20,
+            interventions=False)
+    student(2, "Joana (Filha) Souza", "Lamarão", 8.01, 0, 2199.99, 0, 1, 4, "Evadido",
+            "Trabalho", 10, 4, 4.5, 2)
+    student(3, "Pedro Sem Notas", "Bugio", 3.0, 1, 3000.0, 1, 0, 1, "Ativo", "", 10, 0, 7.0, 15,
+            grades=False)
+    student(4, "Zero Aulas", "Atalaia", 2.0, 1, 5000.0, 1, 0, 1, "Ativo", "", 0, 0, 8.0, 18)
+    student(5, "Dupla Matricula", "Centro", 5.0, 1, 2500.0, 1, 0, 3, "Ativo", "", 10, 2, 6.5, 12,
+            enrol_twice=True)
+    # rule-driven block: higher absence, lower grade → dropout
+    for i in range(n_block):
+        sid = 100 + i
+        risky = (i % 10) >= 6
+        student(sid, f"Aluno {sid}", HOODS[i % 4], 2.0 + (i % 12), 1 - int(risky and i % 2 == 0),
+                1500.0 + 100 * (i % 30), 0 if risky else 1, int(risky), 1 + i % 5,
+                "Evadido" if risky else "Ativo", REASONS[i % 3], 10, 4 if risky else 1 + i % 2,
+                4.0 + (i % 3) if risky else 6.5 + (i % 3) * 0.5, 3 if risky else 15 + i % 5)
+    return t
+
+
+def write(root: str, t: dict[str, list[list]] | None = None) -> str:
+    t = t or tables()
+    os.makedirs(root, exist_ok=True)
+    for name, rows in t.items():
+        with open(os.path.join(root, f"{name}.csv"), "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f)
+            w.writerow(HEAD[name])
+            w.writerows(rows)
+    return root
