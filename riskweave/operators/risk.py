@@ -59,6 +59,20 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80, out: str = "split")
 
 
 # -------------------------------------------------------------------- model
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint directory.
+
+    The model path reads its input several times (null check, fit
+    iterations, scoring, evaluation).  A reliable checkpoint — written to
+    the cluster's ``spark.checkpoint.dir``, never to executor-local disk —
+    computes the profile joins once and cuts the lineage, so a lost
+    executor costs a re-read of files, not a re-run of the joins.
+    """
+    from riskweave.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def null_feature_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     """NULL count per feature column, in one aggregate pass."""
     row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()

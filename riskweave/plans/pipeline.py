@@ -44,6 +44,7 @@ def fit_and_score(prof: DataFrame, features=flows.MODEL_FEATURES, label: str = "
     AUC from Spark ML's evaluator.  A NULL feature is an error, reported
     before the fit (the assembler's own check is lazy and fires late).
     """
+    prof = R.materialize(prof)
     nulls = {c: n for c, n in R.null_feature_counts(prof, features).items() if n}
     if nulls:
         raise ValueError(f"NULL model features (rows per column): {nulls}")

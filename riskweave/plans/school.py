@@ -114,6 +114,7 @@ def student_profile(b: dict[str, DataFrame], how: str = "inner") -> DataFrame:
 def score(profile: DataFrame, thresholds=R.DEFAULT_THRESHOLDS, train_pct: int = 80,
           max_iter: int = 50) -> tuple[DataFrame, float]:
     """Fit on the hash-split train rows, score everyone, AUC on the test rows."""
+    profile = R.materialize(profile)
     nulls = {c: n for c, n in R.null_feature_counts(profile, FEATURES).items() if n}
     if nulls:
         raise ValueError(f"NULL model features (rows per column): {nulls}")
