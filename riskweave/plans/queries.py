@@ -172,7 +172,11 @@ def q_facets(spark, sf_dir):
 
 
 def q_filtered_extract(spark, sf_dir):
-    return _scored(spark, sf_dir).where(_filter_cond())
+    """The filtered extract, exported as headed CSV and read back."""
+    from riskweave.plans.pipeline import SCORED_SCHEMA
+    path = io.write_csv_extract(_scored(spark, sf_dir).where(_filter_cond()),
+                                shared_dir(spark, "extract"))
+    return spark.read.schema(SCORED_SCHEMA).option("header", True).csv(path)
 
 
 def q_filter_share(spark, sf_dir):

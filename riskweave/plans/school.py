@@ -98,13 +98,20 @@ def subject_absences(att: DataFrame, subjects: DataFrame) -> DataFrame:
                        "classes_offered", rate="absence_rate", digits=4)
 
 
-def student_profile(b: dict[str, DataFrame], how: str = "inner") -> DataFrame:
+def student_profile(b: dict[str, DataFrame], how: str = "inner",
+                    school_year: int | None = None) -> DataFrame:
+    """Silver profile; ``school_year`` optionally restricts the fact tables
+    (the original summed all years; its facts carry the year but it never
+    filtered on it)."""
+    facts = {n: b[n] for n in ("attendance", "grades", "digital_engagement")}
+    if school_year is not None:
+        facts = {n: f.where(F.col("school_year") == school_year) for n, f in facts.items()}
     prof = build_profile(
         b["students"], KEY,
         attributes=[b["socioeconomic"], b["enrollments"]],
         dimension=(bounded_broadcast(b["classes"]), "class_id"),
-        facts=[attendance_features(b["attendance"]), grade_features(b["grades"]),
-               engagement_features(b["digital_engagement"])],
+        facts=[attendance_features(facts["attendance"]), grade_features(facts["grades"]),
+               engagement_features(facts["digital_engagement"])],
         how=how,
         sparse=[count_by(b["interventions"], KEY, "intervention_count")],
         fill={"intervention_count": 0})

@@ -66,11 +66,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     choose a folder ourselves, and register it as the checkpoint dir so
     ``DataFrame.checkpoint()`` uses the same place.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = os.environ.get("RISKWEAVE_SCRATCH") or "/tmp/riskweave-shared"
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
@@ -78,7 +74,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure ``DataFrame.checkpoint()`` has a shared directory."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        # only for local runs and tests: a cluster names its shared folder
         root = os.environ.get("RISKWEAVE_SCRATCH") or "/tmp/riskweave-shared"
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # a session may reject core settings at run time
+            pass
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
+        return root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root

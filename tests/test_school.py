@@ -98,3 +98,9 @@ def test_constraints_on_planted_violations(spark, bronze, tmp_path):
     assert fk["student_id->students"]["orphan_rows"] == 1
     assert fk["subject_id->subjects"]["orphan_rows"] == 0
     assert isinstance(ForeignKey(("a",), "b", ("c",)).name, str)
+
+
+def test_school_year_filter(spark, bronze):
+    b = school.read_bronze(spark, bronze)
+    assert school.student_profile(b, school_year=2026).count() == school.student_profile(b).count()
+    assert school.student_profile(b, school_year=2025).count() == 0
