@@ -159,13 +159,16 @@ def box(df: DataFrame, value: str, by: str, value_digits: int = 4,
 
 
 def facets(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct values of each column as ``(facet, value)`` rows."""
-    parts = [df.select(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")).distinct()
-             for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Distinct values of each column as ``(facet, value)`` rows.
+
+    One pass over ``df``: every row is turned into one ``(facet, value)``
+    pair per column (``inline`` of an array of structs) and a single
+    ``distinct`` removes duplicates — map-side first, so each task ships at
+    most its own distinct pairs.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value"))
+                      for c in cols])
+    return df.select(F.inline(pairs)).distinct()
 
 
 # ------------------------------------------------------------------- detail
