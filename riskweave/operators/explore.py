@@ -181,11 +181,11 @@ def detail_by(facts: DataFrame, group_key: str, aggs: Sequence[Column],
               dim: DataFrame | None = None, dim_key: str | None = None) -> DataFrame:
     """Aggregate one entity's facts per ``group_key``, then left join names."""
     out = facts.groupBy(group_key).agg(*aggs)
-    if dim is not None:
-        out = out.join(dim, out[group_key] == dim[dim_key or group_key], "left")
-        if dim_key and dim_key != group_key:
-            out = out.drop(dim[dim_key])
-    return out
+    if dim is None:
+        return out
+    if dim_key is None or dim_key == group_key:
+        return out.join(dim, group_key, "left")
+    return out.join(dim, out[group_key] == dim[dim_key], "left").drop(dim[dim_key])
 
 
 def as_text(df: DataFrame, cols: dict[str, Column]) -> DataFrame:

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.functions import ratio_half_up, round_half_up
 from riskweave.operators import indicators as IND
@@ -149,10 +150,27 @@ def gold(scored: DataFrame, auc: float) -> dict[str, DataFrame]:
     return {"dropout_by_neighborhood": by_hood, "dropout_reasons": reasons, "kpis": k}
 
 
-def run(spark: SparkSession, bronze: str, out_root: str) -> dict[str, object]:
-    """Full refresh of silver and gold under ``out_root`` (parquet + CSV)."""
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("students_count", T.LongType()), T.StructField("seed", T.LongType()),
+    T.StructField("generated_at", T.StringType()), T.StructField("attendance_rows", T.LongType()),
+    T.StructField("grades_rows", T.LongType()),
+])
+
+
+def manifest(b: dict[str, DataFrame], seed: int | None = None) -> DataFrame:
+    """Run manifest of the bronze tables, in the original's field names."""
+    m = io.run_manifest(b, {"students_count": "students", "attendance_rows": "attendance",
+                            "grades_rows": "grades"}, seed=seed)
+    return m.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST_SCHEMA.fields])
+
+
+def run(spark: SparkSession, bronze: str, out_root: str,
+        seed: int | None = None) -> dict[str, object]:
+    """Full refresh of silver and gold under ``out_root`` (parquet + CSV),
+    plus ``<out_root>/run_metadata`` (JSON manifest of the bronze counts)."""
     configure(spark)
     b = read_bronze(spark, bronze)
+    io.write_manifest(manifest(b, seed), f"{out_root.rstrip('/')}/run_metadata")
     io.publish(student_profile(b), out_root, "silver", "student_profile",
                formats=("parquet", "csv"))
     prof = io.read_dataset(spark, out_root, "silver", "student_profile")
