@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.operators import explore as X
 from riskweave.operators import indicators as IND
 from riskweave.operators import risk as R
 from riskweave.operators.aggregates import rate_by_dim
@@ -107,4 +106,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
                         rate_name="lapsed_rate")
 
 
-__all__ = ["SCORED_SCHEMA", "fit_and_score", "run", "flagship", "X"]
+__all__ = ["SCORED_SCHEMA", "fit_and_score", "run", "flagship"]

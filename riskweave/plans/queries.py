@@ -47,8 +47,31 @@ def _t(spark: SparkSession, sf_dir: str) -> A.Tables:
     return A.tables(spark, sf_dir)
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _plan(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Build a shared lazy plan once per session and directory.
+
+    Only the (immutable, lazy) DataFrame object is shared between queries —
+    no data is cached; every query still runs its whole plan over the whole
+    tables.  It saves re-issuing the same few hundred plan-building calls
+    to the JVM for each query.
+    """
+    key = (id(spark), sf_dir, kind)
+    df = _PLANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _PLANS[key] = build()
+    return df
+
+
+def _profile(spark, sf_dir, how: str = "inner") -> DataFrame:
+    return _plan(spark, sf_dir, f"profile-{how}", lambda: flows.profile(_t(spark, sf_dir), how=how))
+
+
 def _scored(spark, sf_dir) -> DataFrame:
-    return flows.rule_scored(_t(spark, sf_dir))
+    return _plan(spark, sf_dir, "scored",
+                 lambda: flows.scored(flows.with_rule_score(_profile(spark, sf_dir))))
 
 
 def _scored_once(spark, sf_dir) -> DataFrame:
@@ -99,17 +122,17 @@ def q_label(spark, sf_dir):
 
 
 def q_flags(spark, sf_dir):
-    return flows.profile(_t(spark, sf_dir)).select(
+    return _profile(spark, sf_dir).select(
         "entity_id", "lapsed_label", "low_balance", "high_missed", "no_actions",
         "no_purchases", "low_marks")
 
 
 def q_profile(spark, sf_dir):
-    return flows.profile(_t(spark, sf_dir), how="inner")
+    return _profile(spark, sf_dir, "inner")
 
 
 def q_profile_left(spark, sf_dir):
-    return flows.profile(_t(spark, sf_dir), how="left")
+    return _profile(spark, sf_dir, "left")
 
 
 def q_left_fill(spark, sf_dir):
@@ -120,7 +143,7 @@ def q_left_fill(spark, sf_dir):
 
 # ------------------------------------------------------------------ scoring
 def q_rule_score(spark, sf_dir):
-    s = flows.with_rule_score(flows.profile(_t(spark, sf_dir)))
+    s = flows.with_rule_score(_profile(spark, sf_dir))
     return s.select("entity_id", round_half_up("engagement_rate", 4).alias("engagement_rate"),
                     round_half_up("risk_raw", 4).alias("risk"))
 
@@ -312,7 +335,7 @@ def q_csv_roundtrip(spark, sf_dir):
 
 def q_parquet_roundtrip(spark, sf_dir):
     """Publish the silver profile as parquet (overwrite twice) and read it back."""
-    p = flows.profile(_t(spark, sf_dir))
+    p = _profile(spark, sf_dir)
     root = shared_dir(spark, "parquet-roundtrip")
     io.publish(p, root, "silver", "profile")
     io.publish(p, root, "silver", "profile")  # full refresh: overwrite, no duplicates
@@ -350,8 +373,7 @@ def q_run_manifest(spark, sf_dir):
 # ---------------------------------------------------------------------- ML
 def _model_run(spark, sf_dir):
     from riskweave.plans.pipeline import fit_and_score
-    prof = flows.profile(_t(spark, sf_dir))
-    return fit_and_score(prof)
+    return fit_and_score(_profile(spark, sf_dir))
 
 
 def q_ml_scores(spark, sf_dir):

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.functions import ratio_half_up, round_half_up
+from riskweave.functions import round_half_up
 from riskweave.operators import indicators as IND
 from riskweave.operators import risk as R
 from riskweave.operators.aggregates import avg_by, count_by, rate_by, rate_by_dim, sum_by
@@ -192,4 +192,4 @@ def run(spark: SparkSession, bronze: str, out_root: str,
 
 
 __all__ = ["read_bronze", "student_profile", "score", "gold", "run", "subject_absences",
-           "ratio_half_up"]
+           "manifest", "MANIFEST_SCHEMA"]
