@@ -53,3 +53,15 @@ def test_model_fit_and_score(spark):
     auc = R.auc_evaluator(pred.where(F.col("split") == "test"), label="y")
     assert auc > 0.9
     assert R.null_feature_counts(df, ["x1", "x2"]) == {"x1": 0, "x2": 0}
+
+
+def test_model_scores_are_logistic_of_coefficients(spark):
+    rows = [(i, float(i % 7) / 7, float((i * 5) % 11), 1.0 if (i * 3) % 10 >= 6 else 0.0)
+            for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, x1 double, x2 double, y double")
+    data = R.assemble(df, ["x1", "x2"])
+    model = R.fit_logistic(data, label="y", max_iter=50)
+    w, b = model.coefficients.toArray(), model.intercept
+    for r in R.score_model(model, data, out="p").select("x1", "x2", "p").collect():
+        z = b + w[0] * r["x1"] + w[1] * r["x2"]
+        assert abs(r["p"] - 1 / (1 + math.exp(-z))) < 1e-9
