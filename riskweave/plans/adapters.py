@@ -103,45 +103,68 @@ def area_dim(t: Tables, broadcast: bool = True) -> DataFrame:
     return bounded_broadcast(dim) if broadcast else dim
 
 
-def status(t: Tables) -> DataFrame:
-    """One row per customer with orders: status, last order date, reason.
+def status_columns(last: str = "_last", last_priority: str = "_last_priority") -> list:
+    """status / last_order_date / reason from the last order date and priority."""
+    lapsed = F.col(last) < cutoff_col()
+    return [F.when(lapsed, F.lit(LAPSED)).otherwise(F.lit(ACTIVE)).alias("status"),
+            F.date_format(last, "yyyy-MM-dd").alias("last_order_date"),
+            F.when(lapsed, F.col(last_priority)).alias("reason")]
+
+
+def last_order_aggs(date: str, key: str, priority: str) -> list:
+    """Latest order date, and the priority of the latest order (ties → higher key).
 
     ``max_by`` keeps a string (the priority) in its aggregation buffer, so
-    Spark plans this as a sort-based aggregate; it still aggregates
-    partially map-side (one row per customer per task) and spills instead
-    of failing when a task's keys do not fit in memory.
+    Spark plans the aggregate sort-based; it still aggregates partially
+    map-side (one row per customer per task) and spills rather than fails
+    when a task's keys do not fit in memory.
     """
+    return [F.max(date).alias("_last"),
+            F.max_by(priority, F.struct(date, key)).alias("_last_priority")]
+
+
+def status(t: Tables) -> DataFrame:
+    """One row per customer with orders: status, last order date, reason."""
     per = t.orders.groupBy(F.col("o_custkey").alias("entity_id")).agg(
-        F.max("o_orderdate").alias("_last"),
-        # priority of the latest order; ties on the date broken by order key
-        F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("_last_priority"))
-    lapsed = F.col("_last") < cutoff_col()
-    return per.select(
-        "entity_id",
-        F.when(lapsed, F.lit(LAPSED)).otherwise(F.lit(ACTIVE)).alias("status"),
-        F.date_format("_last", "yyyy-MM-dd").alias("last_order_date"),
-        F.when(lapsed, F.col("_last_priority")).alias("reason"))
-
-
-def order_facts(t: Tables) -> DataFrame:
-    """Per order before the cut-off: urgent flag, line counts, quantity sums (0 if no lines)."""
-    lines = t.lineitem.groupBy("l_orderkey").agg(
+        *last_order_aggs("o_orderdate", "o_orderkey", "o_orderpriority"))
+    return per.select("entity_id", *status_columns())
+
+
+def line_facts(t: Tables) -> DataFrame:
+    """lineitem reduced to one row per order (partial aggregation map-side)."""
+    return t.lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.when(F.col("l_returnflag") == RETURNED_FLAG, 1).otherwise(0)).cast("long")
         .alias("n_returned"),
         F.sum("l_quantity").alias("qty_sum"),
         F.sum(F.when(F.col("l_quantity") < LOW_QUANTITY, 1).otherwise(0)).cast("long")
         .alias("n_low"))
-    orders = (t.orders.where(F.col("o_orderdate") < cutoff_col())
-              .select("o_orderkey", "o_custkey", "o_orderpriority"))
+
+
+def order_facts(t: Tables, all_orders: bool = False) -> DataFrame:
+    """Per order: urgent flag, line counts, quantity sums (0 if no lines).
+
+    By default only orders before the cut-off (the filter reaches the
+    scan).  ``all_orders=True`` keeps every order and adds ``early`` (before
+    the cut-off), ``order_date`` and ``priority``, so one pass over orders
+    can feed both the status (all orders) and the facts (early orders).
+    """
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    if not all_orders:
+        orders = orders.where(F.col("o_orderdate") < cutoff_col())
+    lines = line_facts(t)
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    return joined.select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("entity_id"),
-        F.when(F.col("o_orderpriority") == URGENT_PRIORITY, 1).otherwise(0).alias("urgent"),
-        F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
-        F.coalesce("n_returned", F.lit(0)).alias("n_returned"),
-        F.coalesce("qty_sum", F.lit(0.0)).alias("qty_sum"),
-        F.coalesce("n_low", F.lit(0)).alias("n_low"))
+    cols = [F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("entity_id"),
+            F.when(F.col("o_orderpriority") == URGENT_PRIORITY, 1).otherwise(0).alias("urgent"),
+            F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+            F.coalesce("n_returned", F.lit(0)).alias("n_returned"),
+            F.coalesce("qty_sum", F.lit(0.0)).alias("qty_sum"),
+            F.coalesce("n_low", F.lit(0)).alias("n_low")]
+    if all_orders:
+        cols += [(F.col("o_orderdate") < cutoff_col()).alias("early"),
+                 F.col("o_orderdate").alias("order_date"),
+                 F.col("o_orderpriority").alias("priority")]
+    return joined.select(*cols)
 
 
 def activity(t: Tables, facts: DataFrame | None = None) -> DataFrame:

@@ -89,25 +89,30 @@ def entity_actions(t: A.Tables, before_cutoff: bool = True) -> DataFrame:
     return count_by(A.actions(t, before_cutoff), KEY, "action_count")
 
 
-def entity_activity(t: A.Tables, facts: DataFrame | None = None) -> DataFrame:
-    """Rates, marks and action counts of each entity in ONE aggregation.
-
-    Equivalent to joining ``entity_rates``, ``entity_marks`` and
-    ``entity_actions``, but the order facts — and so lineitem — are read
-    once instead of once per role.  ``has_marks`` is false for an entity
-    whose orders have no lines (its mark columns are NULL).
+def entity_orders(t: A.Tables) -> DataFrame:
+    """Status, rates, marks and action counts of each entity in ONE pass over
+    orders (and one over lineitem).
+
+    Equivalent to joining ``status``, ``entity_rates``, ``entity_marks`` and
+    ``entity_actions``: the status aggregates run over all orders, the
+    activity aggregates only over the orders before the cut-off (conditional
+    sums; NULL when an entity has no such order, exactly as a left join to
+    the separate rollups would give).  ``has_marks`` is false for an entity
+    without early orders that have lines (its mark columns are NULL).
     """
-    f = facts if facts is not None else A.order_facts(t)
-    has = F.col("n_lines") > 0
+    f = A.order_facts(t, all_orders=True)
+    early = F.col("early")
+    has = early & (F.col("n_lines") > 0)
     agg = f.groupBy(KEY).agg(
-        F.sum("n_lines").cast("long").alias("offered_total"),
-        F.sum("n_returned").cast("long").alias("missed_total"),
+        *A.last_order_aggs("order_date", "order_id", "priority"),
+        F.sum(F.when(early, F.col("n_lines"))).cast("long").alias("offered_total"),
+        F.sum(F.when(early, F.col("n_returned"))).cast("long").alias("missed_total"),
         F.sum(F.when(has, F.col("qty_sum"))).alias("_qty"),
         F.sum(F.when(has, F.col("n_lines") * F.lit(A.MARK_DIVISOR))).alias("_units"),
         F.sum(F.when(has, F.col("n_low"))).cast("long").alias("low_marks"),
-        F.sum("urgent").cast("long").alias("action_count"))
+        F.sum(F.when(early, F.col("urgent"))).cast("long").alias("action_count"))
     return agg.select(
-        KEY, "offered_total", "missed_total",
+        KEY, *A.status_columns(), "offered_total", "missed_total",
         ratio("missed_total", "offered_total").alias("miss_rate"),
         round_half_up(ratio("_qty", "_units"), 2).alias("avg_mark"), "low_marks",
         "action_count", F.col("_units").isNotNull().alias("has_marks"))
@@ -122,14 +127,16 @@ def profile(t: A.Tables, how: str = "inner", flags: bool = True) -> DataFrame:
     ``how="left"`` keeps every entity with a status, NULLs where facts are
     missing.  Action counts are filled with 0 in both.
     """
-    act = entity_activity(t)
+    per = entity_orders(t)
     if how == "inner":
-        act = act.where(F.col("has_marks"))
+        per = per.where(F.col("has_marks"))
+    # status + activity come from one rollup (attribute: every entity with
+    # orders); engagement is the fact joined with ``how``
     out = build_profile(
         A.entity(t), KEY,
-        attributes=[A.status(t)],
+        attributes=[per.drop("has_marks")],
         dimension=(A.area_dim(t), "nation_key"),
-        facts=[act.drop("has_marks"), entity_engagement(t)],
+        facts=[entity_engagement(t)],
         how=how,
         fill={"action_count": 0})
     out = out.select(*PROFILE_COLUMNS)

@@ -36,15 +36,24 @@ def test_no_python_no_products(spark, name):
         assert bad not in text, f"{name}: {bad} in plan"
 
 
-def test_profile_reads_lineitem_once_with_pruning(spark):
-    text = plan(queries()["q_profile"](spark, SF))
-    li = scans(text, "lineitem")
-    assert len(li) == 1
-    schema = re.search(r"ReadSchema: struct<([^>]*)>", li[0]).group(1)
-    assert sorted(c.split(":")[0] for c in schema.split(",")) == \
-        ["l_orderkey", "l_quantity", "l_returnflag"]
-    early = [b for b in scans(text, "orders") if "LessThan(o_orderdate" in b]
-    assert early, "order-date cut-off not pushed to the orders scan"
+def _read_cols(block: str) -> list[str]:
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", block).group(1)
+    return sorted(c.split(":")[0] for c in schema.split(","))
+
+
+@pytest.mark.parametrize("name", ["q_profile", "q_profile_left"])
+def test_profile_reads_each_table_once_with_pruning(spark, name):
+    text = plan(queries()[name](spark, SF))
+    for table in ("lineitem", "orders", "customer", "events"):
+        assert len(scans(text, table)) == 1, table
+    assert _read_cols(scans(text, "lineitem")[0]) == ["l_orderkey", "l_quantity", "l_returnflag"]
+    assert _read_cols(scans(text, "orders")[0]) == \
+        ["o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority"]
+
+
+def test_cutoff_pushed_to_scan(spark):
+    text = plan(queries()["q_rate_by_entity"](spark, SF))
+    assert any("LessThan(o_orderdate" in b for b in scans(text, "orders"))
 
 
 def test_facets_single_pass(spark):
