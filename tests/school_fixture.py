@@ -35,8 +35,8 @@ HEAD = {
                       "responsible_team", "result"],
 }
 
-HOODS = ["Centro", "Atalaia", "Bugio", "Lamarão"]
-REASONS = ["Trabalho", "Faltas recorrentes", "Desmotivacao"]
+HOODS = ["Vila Nova", "Norte", "Sul", "São João"]
+REASONS = ["Trabalho", "Saude", "Outro"]
 
 
 def tables(n_block: int = 60) -> dict[str, list[list]]:
@@ -69,14 +69,14 @@ def tables(n_block: int = 60) -> dict[str, list[list]]:
             ids["int"] += 1
 
     # edge students
-    student(1, "Júlia Araujo", "Centro", 8.0, 1, 2200.0, 1, 0, 2, "Ativo", "", 10, 1, 6.0, 20,
+    student(1, "Júlia Araujo", "Vila Nova", 8.0, 1, 2200.0, 1, 0, 2, "Ativo", "", 10, 1, 6.0, 20,
             interventions=False)
-    student(2, "Joana (Filha) Souza", "Lamarão", 8.01, 0, 2199.99, 0, 1, 4, "Evadido",
+    student(2, "Joana (Filha) Souza", "São João", 8.01, 0, 2199.99, 0, 1, 4, "Evadido",
             "Trabalho", 10, 4, 4.5, 2)
-    student(3, "Pedro Sem Notas", "Bugio", 3.0, 1, 3000.0, 1, 0, 1, "Ativo", "", 10, 0, 7.0, 15,
+    student(3, "Pedro Sem Notas", "Sul", 3.0, 1, 3000.0, 1, 0, 1, "Ativo", "", 10, 0, 7.0, 15,
             grades=False)
-    student(4, "Zero Aulas", "Atalaia", 2.0, 1, 5000.0, 1, 0, 1, "Ativo", "", 0, 0, 8.0, 18)
-    student(5, "Dupla Matricula", "Centro", 5.0, 1, 2500.0, 1, 0, 3, "Ativo", "", 10, 2, 6.5, 12,
+    student(4, "Zero Aulas", "Norte", 2.0, 1, 5000.0, 1, 0, 1, "Ativo", "", 0, 0, 8.0, 18)
+    student(5, "Dupla Matricula", "Vila Nova", 5.0, 1, 2500.0, 1, 0, 3, "Ativo", "", 10, 2, 6.5, 12,
             enrol_twice=True)
     # rule-driven block: higher absence, lower grade → dropout
     for i in range(n_block):
