@@ -311,14 +311,24 @@ FROM scored""",
        replace(format('{{:,}}', CAST(trunc(balance) AS BIGINT)), ',', '.') AS balance_text,
        replace(format('{{:,}}', views * 1000), ',', '.') AS views_text
 FROM scored""",
-    "q_entity_detail": f"""SELECT CAST({QY.DETAIL_ENTITY} AS BIGINT) AS entity_id,
+    "q_entity_detail": _w(SCORED_CTES) + f""", top AS (
+  SELECT entity_id FROM scored ORDER BY risk DESC NULLS LAST, entity_id LIMIT 1)
+SELECT (SELECT entity_id FROM top) AS entity_id,
        l.l_partkey AS part_key, p.p_name AS part_name, count(*) AS lines,
        CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS total_missed,
        sum(l.l_quantity) / CAST(count(*) * 5 AS DOUBLE) AS avg_mark
 FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
 WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders
-                       WHERE o_custkey = {QY.DETAIL_ENTITY} AND o_orderdate < {C})
+                       WHERE o_custkey = (SELECT entity_id FROM top) AND o_orderdate < {C})
 GROUP BY l.l_partkey, p.p_name""",
+    "q_entity_detail_all": f"""SELECT o.o_custkey AS entity_id, l.l_partkey AS part_key,
+       p.p_name AS part_name, count(*) AS lines,
+       CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS total_missed,
+       sum(l.l_quantity) / CAST(count(*) * 5 AS DOUBLE) AS avg_mark
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+LEFT JOIN part p ON p.p_partkey = l.l_partkey
+WHERE o.o_orderdate < {C}
+GROUP BY o.o_custkey, l.l_partkey, p.p_name""",
     "q_hist": _w(SCORED_CTES) + """, nb AS (SELECT least(40, greatest(20, count(*) // 100)) AS b FROM scored),
 hb AS (SELECT CAST(least(floor((risk - 0.0) / (CAST(1.0 AS DOUBLE) / nb.b)), nb.b - 1)
                    AS INTEGER) AS bin,

@@ -35,7 +35,6 @@ FILTER_SEGMENTS = ("BUILDING", "HOUSEHOLD", "MACHINERY")
 MIN_MISS_RATE = 0.10
 SEARCH_TEXT = "  Customer#0000001 "
 SEARCH_REGEX = "customer#0000001[2-4]"
-DETAIL_ENTITY = 42
 TARGET_RISK, TARGET_RATE, TARGET_MARK = 0.35, 0.22, 5.8
 SEED = 2026
 SCATTER_ROWS = 1000
@@ -241,24 +240,41 @@ def q_percent_text(spark, sf_dir):
         thousands_text(F.col("views") * F.lit(1000)).alias("views_text"))
 
 
+def _detail_aggs():
+    return [F.count(F.lit(1)).alias("lines"),
+            F.sum(F.when(F.col("l_returnflag") == A.RETURNED_FLAG, 1).otherwise(0)).cast("long")
+            .alias("total_missed"),
+            ratio(F.sum("l_quantity"), F.count(F.lit(1)) * F.lit(A.MARK_DIVISOR)).alias("avg_mark")]
+
+
 def q_entity_detail(spark, sf_dir):
-    """One entity: per part, its lines, missed lines and mean mark."""
+    """Detail panel of the highest-risk entity: per part, its lines, missed
+    lines and mean mark (P15 lookup, A9, A10, J7)."""
     t = _t(spark, sf_dir)
-    orders = X.lookup(t.orders, "o_custkey", DETAIL_ENTITY).where(
+    top = X.top_n(_scored(spark, sf_dir), "risk", 1, "entity_id").first()["entity_id"]
+    orders = X.lookup(t.orders, "o_custkey", top).where(
         F.col("o_orderdate") < A.cutoff_col()).select(F.col("o_orderkey").alias("l_orderkey"))
     lines = t.lineitem.join(orders, "l_orderkey", "left_semi")
-    out = X.detail_by(
-        lines, "l_partkey",
-        [F.count(F.lit(1)).alias("lines"),
-         F.sum(F.when(F.col("l_returnflag") == A.RETURNED_FLAG, 1).otherwise(0)).cast("long")
-         .alias("total_missed"),
-         ratio(F.sum("l_quantity"), F.count(F.lit(1)) * F.lit(A.MARK_DIVISOR)).alias("avg_mark")],
-        dim=A.part_dim(t), dim_key="part_key")
-    return out.select(F.lit(DETAIL_ENTITY).cast("long").alias("entity_id"),
+    out = X.detail_by(lines, "l_partkey", _detail_aggs(), dim=A.part_dim(t), dim_key="part_key")
+    return out.select(F.lit(top).cast("long").alias("entity_id"),
                       F.col("l_partkey").alias("part_key"), "part_name", "lines",
                       "total_missed", "avg_mark")
 
 
+def q_entity_detail_all(spark, sf_dir):
+    """The same detail table precomputed for every entity (whole tables):
+    lines of orders before the cut-off per (entity, part), with part names."""
+    t = _t(spark, sf_dir)
+    orders = t.orders.where(F.col("o_orderdate") < A.cutoff_col()).select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity_id"))
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity") \
+        .join(orders, "l_orderkey", "inner")
+    agg = lines.groupBy("entity_id", "l_partkey").agg(*_detail_aggs())
+    named = agg.join(A.part_dim(t), agg.l_partkey == F.col("part_key"), "left")
+    return named.select("entity_id", F.col("l_partkey").alias("part_key"), "part_name",
+                        "lines", "total_missed", "avg_mark")
+
+
 def q_hist(spark, sf_dir):
     s = _scored_once(spark, sf_dir)
     _, bins = _adaptive(s)
