@@ -51,7 +51,7 @@ def tables(n_block: int = 60) -> dict[str, list[list]]:
         t["students"].append([sid, name, "2010-05-01", "Outro", "Parda", hood, dist, transport, 0])
         t["socioeconomic"].append([sid, income, 4, internet, 1 if income < 2200 else 0, works, food])
         for _ in range(2 if enrol_twice else 1):
-            drop = status == "Evadido"
+            drop = status == "Evadido"  # an empty status reads as NULL
             t["enrollments"].append([ids["enr"], sid, 1 + sid % 2, "2026-02-02", status,
                                      "2026-08-10" if drop else "", reason if drop else ""])
             ids["enr"] += 1
@@ -78,6 +78,7 @@ def tables(n_block: int = 60) -> dict[str, list[list]]:
     student(4, "Zero Aulas", "Norte", 2.0, 1, 5000.0, 1, 0, 1, "Ativo", "", 0, 0, 8.0, 18)
     student(5, "Dupla Matricula", "Vila Nova", 5.0, 1, 2500.0, 1, 0, 3, "Ativo", "", 10, 2, 6.5, 12,
             enrol_twice=True)
+    student(6, "Sem Situacao", "Norte", 4.0, 1, 2800.0, 1, 0, 2, "", "", 10, 1, 7.5, 14)
     # rule-driven block: higher absence, lower grade → dropout
     for i in range(n_block):
         sid = 100 + i

@@ -27,6 +27,7 @@ def test_profile_edges(spark, bronze):
     assert prof[1]["dropout_date"] is None and prof[1]["dropout_reason"] is None
     assert prof[2]["dropout_label"] == 1.0 and str(prof[2]["dropout_date"]) == "2026-08-10"
     assert isinstance(prof[1]["food_insecurity_score"], float)
+    assert prof[6]["status"] is None and prof[6]["dropout_label"] == 0.0   # NULL status
     assert sum(1 for r in school.student_profile(b).collect() if r["student_id"] == 5) == 2
     left = {r["student_id"] for r in school.student_profile(b, how="left").collect()}
     assert 3 in left
@@ -91,7 +92,7 @@ def test_constraints_on_planted_violations(spark, bronze, tmp_path):
     nulls = {(r["table_name"], r["column_name"]): r["nulls"]
              for r in Q.null_summary(tables, SCHOOL).collect()}
     assert nulls[("socioeconomic", "household_size")] == 1
-    assert nulls[("enrollments", "status")] == 0
+    assert nulls[("enrollments", "status")] == 1            # the planted NULL status
     assert ("enrollments", "dropout_reason") not in nulls   # nullable by declaration
     fk = {r["constraint_name"]: r for r in Q.fk_summary(tables, SCHOOL).collect()
           if r["child_table"] == "grades"}
