@@ -52,16 +52,17 @@ _PLANS: dict[tuple, DataFrame] = {}
 def _plan(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Build a shared lazy plan once per session and directory.
 
-    Only the (immutable, lazy) DataFrame object is shared between queries —
-    no data is cached; every query still runs its whole plan over the whole
-    tables.  It saves re-issuing the same few hundred plan-building calls
-    to the JVM for each query.
+    Only the logical plan is shared: each call returns a fresh DataFrame on
+    top of it (``select("*")``), which gets its own physical plan, so no
+    shuffle output of an earlier query is reused — every query runs its
+    whole plan over the whole tables.  It saves re-issuing the same few
+    hundred plan-building calls to the JVM for each query.
     """
     key = (id(spark), sf_dir, kind)
     df = _PLANS.get(key)
     if df is None or df.sparkSession is not spark:
         df = _PLANS[key] = build()
-    return df
+    return df.select("*")
 
 
 def _profile(spark, sf_dir, how: str = "inner") -> DataFrame:
