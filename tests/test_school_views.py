@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import explore as X
-from riskweave.plans import dashboard as D
+from riskweave.plans import school_views as D
 from riskweave.plans import school
 from riskweave.sources import io
 
