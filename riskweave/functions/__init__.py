@@ -58,9 +58,10 @@ def clamp(x: ColumnOrName, lo: float, hi: float) -> Column:
     return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x)))
 
 
-def logistic(score: ColumnOrName) -> Column:
-    """``1 / (1 + e^-score)``."""
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-_c(score)))
+def logistic(score: ColumnOrName, base: float | None = None) -> Column:
+    """``1 / (1 + e^-score)``; with ``base``, ``1 / (1 + base^-score)``."""
+    decay = F.exp(-_c(score)) if base is None else F.pow(F.lit(float(base)), -_c(score))
+    return F.lit(1.0) / (F.lit(1.0) + decay)
 
 
 def scaled_long(x: ColumnOrName, digits: int) -> Column:

@@ -31,15 +31,16 @@ def _c(c):
 
 
 def rule_score(df: DataFrame, intercept: float, terms: Sequence[Term], out: str = "risk",
-               score_col: str | None = None) -> DataFrame:
+               score_col: str | None = None, base: float | None = None) -> DataFrame:
     """Append ``out = logistic(intercept + Σ weight * term)``.
 
-    ``score_col`` optionally keeps the linear score as well.
+    ``score_col`` optionally keeps the linear score as well; ``base``
+    replaces e in the logistic (the original rule used 2.71828).
     """
     s = F.lit(float(intercept))
     for term, w in terms:
         s = s + F.lit(float(w)) * _c(term)
-    out_df = df.withColumn(out, logistic(s))
+    out_df = df.withColumn(out, logistic(s, base))
     return out_df.withColumn(score_col, s) if score_col else out_df
 
 

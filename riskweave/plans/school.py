@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.functions import round_half_up
+from riskweave.functions import clamp, flag, round_half_up
 from riskweave.operators import indicators as IND
 from riskweave.operators import risk as R
 from riskweave.operators.aggregates import avg_by, count_by, rate_by, rate_by_dim, sum_by
@@ -119,6 +119,59 @@ def student_profile(b: dict[str, DataFrame], how: str = "inner",
     return add_flags(prof, FLAG_RULES)
 
 
+# The original generator's dropout rule and targeting rule.
+RULE_INTERCEPT = -3.1
+RULE_BASE = 2.71828
+TARGET_P, TARGET_ABSENCE, TARGET_GRADE = 0.35, 0.22, 5.8
+
+
+def rule_risk(profile: DataFrame, out: str = "rule_risk") -> DataFrame:
+    """The original generator's dropout probability, on profile columns.
+
+    ``-3.1 + 3.0·absence_rate + 1.6·max(0, 6 − avg_grade)/6 + 0.9·works
+    + 0.8·no_internet + 0.6·(distance > 8) + 0.7·no_transport
+    + 0.5·(food_insecurity ≥ 4) − 0.8·engagement``, through a logistic with
+    base 2.71828; engagement = clamp((logins/160 + homework/210)/2, 0, 1).
+    (The generator used per-row grades before rounding; the profile's mean
+    grade is rounded to 2 places.)
+    """
+    eng = clamp((F.col("platform_logins_total") / F.lit(160.0)
+                 + F.col("homework_submitted_total") / F.lit(210.0)) / F.lit(2.0), 0.0, 1.0)
+    terms = [
+        (F.col("absence_rate"), 3.0),
+        (F.greatest(F.lit(0.0), F.lit(6.0) - F.col("avg_grade")) / F.lit(6.0), 1.6),
+        (F.col("works_flag"), 0.9),
+        (F.col("no_internet"), 0.8),
+        (F.col("high_distance"), 0.6),
+        (F.col("no_transport"), 0.7),
+        (flag("food_insecurity_score", "ge", 4), 0.5),
+        (eng, -0.8),
+    ]
+    return R.rule_score(profile.withColumn("engagement_rate", eng), RULE_INTERCEPT, terms,
+                        out=out, base=RULE_BASE)
+
+
+def targeted(profile: DataFrame, risk: str = "rule_risk") -> DataFrame:
+    """Students the original intervention rule selects:
+    risk > 0.35 OR absence rate > 0.22 OR mean grade < 5.8."""
+    cond = ((F.col(risk) > TARGET_P) | (F.col("absence_rate") > TARGET_ABSENCE)
+            | (F.col("avg_grade") < TARGET_GRADE))
+    return profile.where(cond)
+
+
+ALL_TABLES = BRONZE_TABLES + ("guardians", "teachers")
+
+
+def quality_report(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
+    """PK / NOT NULL / FK reports over every school table present in ``bronze``."""
+    from riskweave.operators import quality as Q
+    from riskweave.sources.schemas import SCHOOL
+    tables = {n: io.read_table(spark, bronze, n, fmt="csv", on_missing="empty")
+              for n in ALL_TABLES}
+    return {"pk": Q.pk_summary(tables, SCHOOL), "nulls": Q.null_summary(tables, SCHOOL),
+            "fk": Q.fk_summary(tables, SCHOOL)}
+
+
 def score(profile: DataFrame, thresholds=R.DEFAULT_THRESHOLDS, train_pct: int = 80,
           max_iter: int = 50) -> tuple[DataFrame, float]:
     """Fit on the hash-split train rows, score everyone, AUC on the test rows."""
@@ -192,4 +245,4 @@ def run(spark: SparkSession, bronze: str, out_root: str,
 
 
 __all__ = ["read_bronze", "student_profile", "score", "gold", "run", "subject_absences",
-           "manifest", "MANIFEST_SCHEMA"]
+           "manifest", "MANIFEST_SCHEMA", "rule_risk", "targeted", "quality_report"]
