@@ -1,0 +1 @@
+"""Declared schemas (``schemas``) and readers / writers (``io``)."""
