@@ -97,10 +97,12 @@ def _adaptive(df: DataFrame) -> tuple[int, int]:
 
 # --------------------------------------------------------------- features
 def q_rate_by_entity(spark, sf_dir):
+    """Per entity offered / missed totals and the unrounded miss rate."""
     return flows.entity_rates(_t(spark, sf_dir))
 
 
 def q_rate_by_dim(spark, sf_dir):
+    """Miss rate per part type (facts pre-aggregated per part)."""
     t = _t(spark, sf_dir)
     return rate_by_dim(A.lines_by_part(t), A.part_dim(t), "l_partkey", "part_key", "part_type",
                        "missed", "offered", num_total="missed_total", den_total="offered_total",
@@ -108,34 +110,41 @@ def q_rate_by_dim(spark, sf_dir):
 
 
 def q_marks(spark, sf_dir):
+    """A2, P20: per entity mean mark (2 dp) and count of low marks."""
     return flows.entity_marks(_t(spark, sf_dir))
 
 
 def q_engagement(spark, sf_dir):
+    """A3: per entity views, purchases, clicks."""
     return flows.entity_engagement(_t(spark, sf_dir))
 
 
 def q_label(spark, sf_dir):
+    """Status, last order date, reason and the 1.0/0.0 label."""
     t = _t(spark, sf_dir)
     from riskweave.operators.profile import label
     return label(A.status(t), "status", A.LAPSED, "lapsed_label")
 
 
 def q_flags(spark, sf_dir):
+    """P4a-c, P5: threshold flags and casts of the profile."""
     return _profile(spark, sf_dir).select(
         "entity_id", "lapsed_label", "low_balance", "high_missed", "no_actions",
         "no_purchases", "low_marks")
 
 
 def q_profile(spark, sf_dir):
+    """Wide profile, inner (entities without facts vanish)."""
     return _profile(spark, sf_dir, "inner")
 
 
 def q_profile_left(spark, sf_dir):
+    """Wide profile, left (every entity with a status)."""
     return _profile(spark, sf_dir, "left")
 
 
 def q_left_fill(spark, sf_dir):
+    """Sparse left join of action counts, filled with 0."""
     t = _t(spark, sf_dir)
     return build_profile(A.entity(t), "entity_id", sparse=[flows.entity_actions(t)],
                          fill={"action_count": 0}).select("entity_id", "name", "action_count")
@@ -143,16 +152,19 @@ def q_left_fill(spark, sf_dir):
 
 # ------------------------------------------------------------------ scoring
 def q_rule_score(spark, sf_dir):
+    """Engagement rate and logistic rule score (4 dp)."""
     s = flows.with_rule_score(_profile(spark, sf_dir))
     return s.select("entity_id", round_half_up("engagement_rate", 4).alias("engagement_rate"),
                     round_half_up("risk_raw", 4).alias("risk"))
 
 
 def q_scored(spark, sf_dir):
+    """Scored gold table with bands."""
     return _scored(spark, sf_dir)
 
 
 def q_targeting(spark, sf_dir):
+    """Disjunctive targeting rule on the scored table."""
     s = _scored(spark, sf_dir)
     cond = ((F.col("risk") > TARGET_RISK) | (F.col("miss_rate") > TARGET_RATE)
             | (F.col("avg_mark") < TARGET_MARK))
@@ -160,12 +172,14 @@ def q_targeting(spark, sf_dir):
 
 
 def q_split(spark, sf_dir):
+    """M2: md5 hash bucket and train/test split of every entity."""
     e = A.entity(_t(spark, sf_dir)).select("entity_id")
     from riskweave.functions import hash_bucket
     return R.hash_split(e.withColumn("bucket", hash_bucket("entity_id")), "entity_id")
 
 
 def q_auc(spark, sf_dir):
+    """M5: exact held-out AUC of the rule score."""
     return R.auc_exact(_test_split(_scored(spark, sf_dir)), "risk", "lapsed_label")
 
 
@@ -176,14 +190,17 @@ def _by_area(s: DataFrame) -> DataFrame:
 
 
 def q_by_area(spark, sf_dir):
+    """Per area entities, lapsed, mean risk, lapsed rate."""
     return _by_area(_scored(spark, sf_dir))
 
 
 def q_reasons(spark, sf_dir):
+    """Lapsed entities per reason (NULL is a group)."""
     return IND.reasons(_scored(spark, sf_dir), "status", A.LAPSED, "reason")
 
 
 def q_reason_share(spark, sf_dir):
+    """Share of each reason."""
     return IND.reason_share(q_reasons(spark, sf_dir))
 
 
@@ -193,6 +210,7 @@ def _test_split(s: DataFrame) -> DataFrame:
 
 
 def q_kpis(spark, sf_dir):
+    """KPI row with the held-out AUC as a literal."""
     s = _scored_once(spark, sf_dir)
     auc = R.auc_exact(_test_split(s), "risk", "lapsed_label").first()["auc"]
     return IND.kpis(s, "status", A.LAPSED, auc=auc, names={"positives": "lapsed"})
@@ -200,6 +218,7 @@ def q_kpis(spark, sf_dir):
 
 # -------------------------------------------------------------- exploration
 def q_facets(spark, sf_dir):
+    """Distinct band / region / segment values."""
     return X.facets(_scored(spark, sf_dir), ["risk_band", "region", "segment"])
 
 
@@ -212,24 +231,29 @@ def q_filtered_extract(spark, sf_dir):
 
 
 def q_filter_share(spark, sf_dir):
+    """Rows before / after the filter, share and its text."""
     return X.filter_share(_scored(spark, sf_dir), _filter_cond())
 
 
 def q_adaptive_params(spark, sf_dir):
+    """Population, adaptive top-N and histogram bins."""
     return X.adaptive_params(_scored(spark, sf_dir))
 
 
 def q_search(spark, sf_dir):
+    """Literal search on name, or id equality."""
     return X.search(_scored(spark, sf_dir), SEARCH_TEXT, "name", "entity_id").select(
         "entity_id", "name", "risk", "risk_band")
 
 
 def q_search_regex(spark, sf_dir):
+    """Regular-expression search on name, or id equality."""
     return X.search(_scored(spark, sf_dir), SEARCH_REGEX, "name", "entity_id", regex=True).select(
         "entity_id", "name", "risk", "risk_band")
 
 
 def q_percent_text(spark, sf_dir):
+    """Percent, thousands and fixed-decimal display text."""
     s = _scored(spark, sf_dir)
     return s.select(
         "entity_id",
@@ -277,30 +301,36 @@ def q_entity_detail_all(spark, sf_dir):
 
 
 def q_hist(spark, sf_dir):
+    """Risk histogram by band with adaptive bins (unfiltered)."""
     s = _scored_once(spark, sf_dir)
     _, bins = _adaptive(s)
     return X.histogram(s, "risk", bins, by="risk_band")
 
 
 def q_box(spark, sf_dir):
+    """Exact box summary of risk per band."""
     return X.box(_scored(spark, sf_dir), "risk", "risk_band")
 
 
 def q_top_n(spark, sf_dir):
+    """O1: top-N entities by risk (adaptive N, key tie-break)."""
     s = _scored_once(spark, sf_dir)
     n, _ = _adaptive(s)
     return X.top_n(s, "risk", n, "entity_id")
 
 
 def q_top_area(spark, sf_dir):
+    """O2: top 20 areas by lapsed rate."""
     return X.top_n(_by_area(_scored(spark, sf_dir)), "lapsed_rate", TOP_AREAS, "area")
 
 
 def q_top_dim(spark, sf_dir):
+    """O2: top 15 part types by miss rate."""
     return X.top_n(q_rate_by_dim(spark, sf_dir), "miss_rate", TOP_DIMS, "part_type")
 
 
 def q_scatter(spark, sf_dir):
+    """O3: first 1000 filtered entities by risk."""
     f = _scored(spark, sf_dir).where(_filter_cond())
     return X.top_n(f, "risk", SCATTER_ROWS, "entity_id").select(
         "entity_id", "name", "segment", "region", "area", "risk", "risk_band", "miss_rate",
@@ -308,6 +338,7 @@ def q_scatter(spark, sf_dir):
 
 
 def q_priority_list(spark, sf_dir):
+    """Priority list of the filtered entities with display text."""
     s = _scored_once(spark, sf_dir)
     n, _ = _adaptive(s)
     f = X.top_n(s.where(_filter_cond()), "risk", n, "entity_id")
@@ -328,15 +359,18 @@ ORDERS_HAVE_LINES = ("orders_have_lines", "orders",
 
 
 def q_fk_orphans(spark, sf_dir):
+    """Orphan keys and rows per foreign key."""
     t = _t(spark, sf_dir)
     return Q.fk_summary(_driver_tables(t), DRIVER, extra=[ORDERS_HAVE_LINES])
 
 
 def q_pk_violations(spark, sf_dir):
+    """Duplicate keys and rows per table."""
     return Q.pk_summary(_driver_tables(_t(spark, sf_dir)), DRIVER)
 
 
 def q_null_counts(spark, sf_dir):
+    """NULLs per declared NOT NULL column."""
     return Q.null_summary(_driver_tables(_t(spark, sf_dir)), DRIVER)
 
 
@@ -363,6 +397,7 @@ OPTIONAL_TABLES = ("customer", "orders", "events", "interventions", "guardians")
 
 
 def q_optional_source(spark, sf_dir):
+    """Row counts, missing optional tables as empty."""
     frames = {}
     for name in OPTIONAL_TABLES:
         sch = (DRIVER.get(name) or SCHOOL[name]).schema
@@ -376,6 +411,7 @@ MANIFEST_FIELDS = {"entities_count": "entities", "activity_rows": "activity",
 
 
 def q_run_manifest(spark, sf_dir):
+    """Run manifest written as JSON and read back."""
     t = _t(spark, sf_dir)
     facts = A.order_facts(t)
     frames = {"entities": A.entity(t), "activity": A.activity(t, facts),
@@ -394,11 +430,13 @@ def _model_run(spark, sf_dir):
 
 
 def q_ml_scores(spark, sf_dir):
+    """Logistic model scores for every entity."""
     scored, _ = _model_run(spark, sf_dir)
     return scored.select("entity_id", "split", "risk", "risk_band")
 
 
 def q_ml_auc(spark, sf_dir):
+    """M4, M5: evaluator AUC and exact AUC on the held-out split."""
     scored, auc = _model_run(spark, sf_dir)
     test = scored.where(F.col("split") == "test")
     exact = R.auc_exact(test, "risk", "lapsed_label", out="auc_exact")
