@@ -39,7 +39,22 @@ HOODS = ["Vila Nova", "Norte", "Sul", "São João"]
 REASONS = ["Trabalho", "Saude", "Outro"]
 
 
-def tables(n_block: int = 60) -> dict[str, list[list]]:
+def tables(n_block: int = 60, drop_students: tuple[int, ...] = ()) -> dict[str, list[list]]:
+    """Fixture rows per table; ``drop_students`` removes those students everywhere."""
+    t = _tables(n_block)
+    if not drop_students:
+        return t
+    out = {}
+    for name, rows in t.items():
+        cols = HEAD[name]
+        if "student_id" in cols:
+            i = cols.index("student_id")
+            rows = [r for r in rows if r[i] not in drop_students]
+        out[name] = rows
+    return out
+
+
+def _tables(n_block: int) -> dict[str, list[list]]:
     t = {k: [] for k in HEAD}
     t["classes"] = [[1, "1 ano EM", "Manha", "1A-M", 2026], [2, "2 ano EM", "Noite", "2A-N", 2026]]
     t["subjects"] = [[1, "Matematica", 120], [2, "Portugues", 120]]

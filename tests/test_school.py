@@ -8,7 +8,7 @@ from riskweave.plans import school
 from riskweave.sources import io
 from riskweave.sources.schemas import SCHOOL, ForeignKey
 
-from .school_fixture import write
+from .school_fixture import tables, write
 
 
 @pytest.fixture(scope="module")
@@ -52,13 +52,7 @@ def test_null_feature_is_reported_before_fit(spark, bronze):
 def test_full_run_publishes_all_datasets(spark, bronze, tmp_path):
     root = str(tmp_path / "out")
     # drop the zero-offered student so the model input has no NULL
-    clean = str(tmp_path / "clean")
-    os.makedirs(clean)
-    for name in school.BRONZE_TABLES:
-        df = io.read_table(spark, bronze, name, fmt="csv")
-        if "student_id" in df.columns:
-            df = df.where(F.col("student_id") != 4)
-        df.toPandas().to_csv(os.path.join(clean, f"{name}.csv"), index=False)
+    clean = write(str(tmp_path / "clean"), tables(drop_students=(4,)))
     res = school.run(spark, clean, root)
     assert 0.0 <= res["auc"] <= 1.0
     for layer, name in [("silver", "student_profile"), ("gold", "student_risk_scores"),

@@ -97,3 +97,45 @@ def test_subject_absences_match_sql(spark, env):
     got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
     want = sorted(tuple(_norm(v) for v in r) for r in con.execute(SUBJECT_SQL).fetchall())
     assert got == want
+
+
+def _half_up(num, den, d):
+    s = 10 ** d
+    return f"(CAST((({num}) * {2 * s} + ({den})) // nullif(2 * ({den}), 0) AS DOUBLE) / {s}.0)"
+
+
+def _units(x, d):
+    return f"CAST(floor({x} * {10 ** d}.0 + 0.5) AS BIGINT)"
+
+
+def test_gold_matches_sql_over_published_scores(spark, tmp_path_factory):
+    from riskweave.sources import io
+    from .school_fixture import tables
+    # student 4 (no classes offered) has a NULL rate, which stops the model fit
+    bronze = write(str(tmp_path_factory.mktemp("bronze-gold")), tables(drop_students=(4,)))
+    root = str(tmp_path_factory.mktemp("lake-gold"))
+    school.run(spark, bronze, root)
+    con = duckdb.connect()
+    con.execute("CREATE VIEW scores AS SELECT * FROM read_csv('"
+                + io.dataset_path(root, "gold", "student_risk_scores", "csv") + "/*.csv', header = true)")
+    hood_sql = f"""SELECT neighborhood, count(*) AS students,
+        sum(CASE WHEN status = 'Evadido' THEN 1 ELSE 0 END) AS dropouts,
+        {_half_up(f"sum({_units('dropout_risk', 4)})", "count(dropout_risk) * 10000", 4)} AS avg_risk,
+        {_half_up("sum(CASE WHEN status = 'Evadido' THEN 1 ELSE 0 END)", "count(*)", 4)} AS dropout_rate
+        FROM scores GROUP BY neighborhood"""
+    reasons_sql = """SELECT dropout_reason, count(*) AS students FROM scores
+        WHERE status = 'Evadido' GROUP BY dropout_reason"""
+    kpi_sql = f"""SELECT count(*) AS total_students,
+        sum(CASE WHEN status = 'Evadido' THEN 1 ELSE 0 END) AS dropouts,
+        {_half_up(f"sum({_units('dropout_risk', 4)})", "count(dropout_risk) * 10000", 4)} AS avg_dropout_risk,
+        {_half_up(f"sum({_units('absence_rate', 4)})", "count(absence_rate) * 10000", 4)} AS avg_absence_rate,
+        {_half_up(f"sum({_units('avg_grade', 2)})", "count(avg_grade) * 100", 2)} AS school_avg_grade
+        FROM scores"""
+    for name, sql in (("dropout_by_neighborhood", hood_sql), ("dropout_reasons", reasons_sql),
+                      ("kpis", kpi_sql)):
+        rel = con.execute(sql)
+        cols = [d[0] for d in rel.description]
+        want = sorted(tuple(_norm(v) for v in r) for r in rel.fetchall())
+        df = io.read_dataset(spark, root, "gold", name).select(*cols)
+        got = sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+        assert got == want, name

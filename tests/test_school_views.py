@@ -14,13 +14,8 @@ from .school_fixture import tables, write
 
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
-    t = tables()
     # drop the zero-offered student: a NULL rate would stop the model fit
-    t = {n: [r for r in rows if not (n in ("students", "socioeconomic", "attendance", "grades",
-                                           "digital_engagement", "interventions", "enrollments")
-                                      and r[1 if n not in ("students", "socioeconomic") else 0] == 4)]
-         for n, rows in t.items()}
-    bronze = write(str(tmp_path_factory.mktemp("bronze")), t)
+    bronze = write(str(tmp_path_factory.mktemp("bronze")), tables(drop_students=(4,)))
     root = str(tmp_path_factory.mktemp("lake"))
     school.run(spark, bronze, root, seed=2026)
     return bronze, root
