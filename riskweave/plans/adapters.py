@@ -24,8 +24,10 @@ lines by part     lines of orders before the cut-off: part key, 1, returned
 Scale notes.  ``order_facts`` reduces lineitem to one row per order *before*
 it meets orders (partial aggregation map-side, then a shuffle of one row per
 order); the join with orders is then 1:1 and the per-customer rollups see
-one row per order.  Small dimensions are broadcast only after their size is
-checked (``bounded_broadcast``).
+one row per order.  With ``all_orders=True`` the same pass also carries what
+the status needs, so the profile reads orders and lineitem once each
+(``flows.entity_orders``).  Small dimensions are broadcast only after their
+size is checked (``bounded_broadcast``).
 """
 
 from __future__ import annotations
