@@ -28,14 +28,13 @@ from riskweave.operators import indicators as IND
 from riskweave.plans import school
 from riskweave.sources import io
 
+# Fixed values of the original page: datasets read, columns shown, defaults.
 GOLD = ("student_risk_scores", "dropout_by_neighborhood", "subject_absences",
         "dropout_reasons", "kpis")
 DETAIL_BRONZE = ("students", "socioeconomic", "attendance", "grades", "subjects")
 PRIORITY_COLUMNS = ("student_id", "name", "grade_level", "shift", "neighborhood",
                     "dropout_risk", "risk_band", "absence_rate", "avg_grade", "distance_km",
                     "internet_access", "works_after_school", "intervention_count")
-
-# Fixed values of the original page.
 DEFAULT_MIN_ABSENCE = 0.10
 TOP_NEIGHBORHOODS, TOP_SUBJECTS, SCATTER_ROWS = 20, 15, 1000
 
