@@ -138,3 +138,35 @@ def test_quality_report_all_tables(spark, bronze):
     assert fk[("attendance", "student_id->students")] == 0
     nulls = {(r["table_name"], r["column_name"]): r["nulls"] for r in rep["nulls"].collect()}
     assert nulls[("enrollments", "status")] == 1
+
+
+G1_COLUMNS = [
+    "student_id", "class_id", "name", "birth_date", "gender", "race_ethnicity", "neighborhood",
+    "distance_km", "transport_access", "special_needs", "family_income_brl", "household_size",
+    "internet_access", "receives_social_benefit", "works_after_school", "food_insecurity_score",
+    "enrollment_id", "enrollment_date", "status", "dropout_date", "dropout_reason", "grade_level",
+    "shift", "room", "school_year", "classes_offered_total", "absences_total", "absence_rate",
+    "avg_grade", "recovery_exams", "platform_logins_total", "homework_submitted_total",
+    "messages_to_teacher_total", "intervention_count", "dropout_label", "low_income",
+    "high_distance", "no_transport", "no_internet", "works_flag", "benefit_flag"]
+
+
+def test_dataset_columns_match_original_layout(spark, bronze, tmp_path):
+    b = school.read_bronze(spark, bronze)
+    assert school.student_profile(b).columns == G1_COLUMNS
+    clean = write(str(tmp_path / "clean"), tables(drop_students=(4,)))
+    root = str(tmp_path / "lake")
+    school.run(spark, clean, root)
+    expect = {
+        "student_risk_scores": list(school.SCORE_COLUMNS),
+        "dropout_by_neighborhood": ["neighborhood", "students", "dropouts", "avg_risk",
+                                    "dropout_rate"],
+        "subject_absences": ["subject_name", "classes_offered_total", "absences_total",
+                             "absence_rate"],
+        "dropout_reasons": ["dropout_reason", "students"],
+        "kpis": ["total_students", "dropouts", "avg_dropout_risk", "avg_absence_rate",
+                 "school_avg_grade", "model_auc"],
+    }
+    for name, cols in expect.items():
+        assert io.read_dataset(spark, root, "gold", name).columns == cols, name
+    assert len(school.SCORE_COLUMNS) == 21
