@@ -23,7 +23,8 @@ def _keys(keys: Keys) -> list[str]:
 
 
 def rate_by(df: DataFrame, keys: Keys, num: str, den: str, *, num_total: str | None = None,
-            den_total: str | None = None, rate: str = "rate", digits: int | None = None) -> DataFrame:
+            den_total: str | None = None, rate: str = "rate",
+            digits: int | None = None) -> DataFrame:
     """``keys, den_total, num_total, rate`` with ``rate = Σnum / Σden``.
 
     The rate is NULL when the denominator total is 0.  ``digits=None`` keeps
@@ -98,8 +99,3 @@ def count_by(df: DataFrame, keys: Keys, out: str = "count") -> DataFrame:
     """Rows per key (``count(*)``)."""
     return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(out))
 
-
-def count_if_by(df: DataFrame, keys: Keys, conds: dict[str, Column]) -> DataFrame:
-    """Per key, the number of rows satisfying each named condition."""
-    return df.groupBy(*_keys(keys)).agg(
-        *[F.sum(F.when(c, 1).otherwise(0)).cast("long").alias(n) for n, c in conds.items()])

@@ -55,8 +55,8 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80, out: str = "split")
     Stable under any partitioning, AQE setting or re-run, unlike
     ``randomSplit`` whose per-partition sampling depends on the plan.
     """
-    return df.withColumn(
-        out, F.when(hash_bucket(key, 100) < F.lit(train_pct), F.lit("train")).otherwise(F.lit("test")))
+    train = hash_bucket(key, 100) < F.lit(train_pct)
+    return df.withColumn(out, F.when(train, F.lit("train")).otherwise(F.lit("test")))
 
 
 # -------------------------------------------------------------------- model

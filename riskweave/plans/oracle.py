@@ -252,7 +252,8 @@ SQL: dict[str, str] = {
     "q_rate_by_dim": _w(DIM_RATE) + "SELECT * FROM dim_rate2",
     "q_marks": _w(LINES, ORDER_FACTS, MARKS) + "SELECT * FROM marks",
     "q_engagement": _w(ENG) + "SELECT * FROM eng",
-    "q_label": _w(STATUS) + "SELECT *, " + flag("status = 'lapsed'") + " AS lapsed_label FROM status",
+    "q_label": (_w(STATUS) + "SELECT *, " + flag("status = 'lapsed'")
+                + " AS lapsed_label FROM status"),
     "q_flags": _w(profile_ctes()) + ("SELECT entity_id, lapsed_label, low_balance, high_missed, "
                                      "no_actions, no_purchases, low_marks FROM prof"),
     "q_profile": _w(profile_ctes()) + "SELECT * FROM prof",
@@ -282,7 +283,8 @@ FROM (SELECT reason, count(*) AS entities FROM scored WHERE status = 'lapsed' GR
        {avg_units("avg_mark", 2)} AS avg_mark,
        (SELECT {rnd("auc", 4)} FROM auc) AS model_auc
 FROM scored""",
-    "q_facets": _w(SCORED_CTES) + """SELECT DISTINCT 'risk_band' AS facet, risk_band AS value FROM scored
+    "q_facets": _w(SCORED_CTES) + """SELECT DISTINCT 'risk_band' AS facet, risk_band AS value
+FROM scored
 UNION ALL SELECT DISTINCT 'region' AS facet, region AS value FROM scored
 UNION ALL SELECT DISTINCT 'segment' AS facet, segment AS value FROM scored""",
     "q_filtered_extract": _w(SCORED_CTES) + f"SELECT * FROM scored WHERE {FILTER}",
@@ -329,7 +331,8 @@ FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 LEFT JOIN part p ON p.p_partkey = l.l_partkey
 WHERE o.o_orderdate < {C}
 GROUP BY o.o_custkey, l.l_partkey, p.p_name""",
-    "q_hist": _w(SCORED_CTES) + """, nb AS (SELECT least(40, greatest(20, count(*) // 100)) AS b FROM scored),
+    "q_hist": _w(SCORED_CTES) + """, nb AS (
+  SELECT least(40, greatest(20, count(*) // 100)) AS b FROM scored),
 hb AS (SELECT CAST(least(floor((risk - 0.0) / (CAST(1.0 AS DOUBLE) / nb.b)), nb.b - 1)
                    AS INTEGER) AS bin,
               risk_band, CAST(1.0 AS DOUBLE) / nb.b AS width
@@ -349,7 +352,8 @@ QUALIFY row_number() OVER (ORDER BY risk DESC NULLS LAST, entity_id) <= {TOPN}""
         "SELECT * FROM by_area2 ORDER BY lapsed_rate DESC NULLS LAST, area "
         f"LIMIT {QY.TOP_AREAS}"),
     "q_top_dim": _w(DIM_RATE) + (
-        f"SELECT * FROM dim_rate2 ORDER BY miss_rate DESC NULLS LAST, part_type LIMIT {QY.TOP_DIMS}"),
+        "SELECT * FROM dim_rate2 ORDER BY miss_rate DESC NULLS LAST, part_type "
+        f"LIMIT {QY.TOP_DIMS}"),
     "q_scatter": _w(SCORED_CTES) + f"""SELECT entity_id, name, segment, region, area, risk,
        risk_band, miss_rate, avg_mark
 FROM scored WHERE {FILTER}
