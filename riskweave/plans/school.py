@@ -162,6 +162,21 @@ def targeted(profile: DataFrame, risk: str = "rule_risk") -> DataFrame:
 ALL_TABLES = BRONZE_TABLES + ("guardians", "teachers")
 
 
+def register_views(spark: SparkSession, bronze: str, prefix: str = "") -> list[str]:
+    """Register every school table found in ``bronze`` as a temp view.
+
+    The Spark form of the original's local relational copy: ad-hoc SQL runs
+    with ``spark.sql`` over the declared-schema tables (absent tables become
+    empty views).  Returns the view names.
+    """
+    names = []
+    for n in ALL_TABLES:
+        io.read_table(spark, bronze, n, fmt="csv", on_missing="empty") \
+            .createOrReplaceTempView(prefix + n)
+        names.append(prefix + n)
+    return names
+
+
 def quality_report(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
     """PK / NOT NULL / FK reports over every school table present in ``bronze``."""
     from riskweave.operators import quality as Q
@@ -245,4 +260,4 @@ def run(spark: SparkSession, bronze: str, out_root: str,
 
 
 __all__ = ["read_bronze", "student_profile", "score", "gold", "run", "subject_absences",
-           "manifest", "MANIFEST_SCHEMA", "rule_risk", "targeted", "quality_report"]
+           "manifest", "MANIFEST_SCHEMA", "rule_risk", "targeted", "quality_report", "register_views"]

@@ -170,3 +170,17 @@ def test_dataset_columns_match_original_layout(spark, bronze, tmp_path):
     for name, cols in expect.items():
         assert io.read_dataset(spark, root, "gold", name).columns == cols, name
     assert len(school.SCORE_COLUMNS) == 21
+
+
+def test_sql_over_registered_views(spark, bronze):
+    views = school.register_views(spark, bronze, prefix="t_")
+    assert "t_students" in views and "t_guardians" in views
+    row = spark.sql("""
+        SELECT count(DISTINCT s.student_id) AS n, sum(a.absences) AS absences
+        FROM t_students s JOIN t_attendance a ON a.student_id = s.student_id
+        WHERE s.neighborhood = 'Norte'""").first()
+    b = school.read_bronze(spark, bronze)
+    ids = [r["student_id"] for r in b["students"].where(F.col("neighborhood") == "Norte").collect()]
+    want = b["attendance"].where(F.col("student_id").isin(ids)).agg(F.sum("absences")).first()[0]
+    assert row["n"] == len(ids) and row["absences"] == want
+    assert spark.sql("SELECT count(*) FROM t_guardians").first()[0] == 0   # absent → empty
