@@ -6,6 +6,7 @@ rendered.  Inputs are the published datasets of ``plans.school.run``:
 * ``load_gold``            the five gold tables (missing → AnalysisException)
 * ``load_bronze``          optional bronze tables for the detail panel
 * ``population``           students generated: manifest count, else score rows
+* ``page_params``          default top-N and histogram bins from that count
 * ``filtered``             band / shift / grade sets, min absence rate, search
 * ``kpi_cards``            headline numbers as display text
 * ``risk_histogram`` / ``risk_box``   unfiltered score distribution by band
@@ -62,6 +63,11 @@ def population(spark: SparkSession, scores: DataFrame, manifest_path: str | None
     return agg.select(F.coalesce("_stated", "_rows").alias("students"))
 
 
+def page_params(pop: DataFrame) -> DataFrame:
+    """Default top-N and histogram bins from the population (``population``)."""
+    return X.adaptive_params(pop, count_col="students")
+
+
 def filtered(scores: DataFrame, bands: Sequence[str] | None = None,
              shifts: Sequence[str] | None = None, grades: Sequence[str] | None = None,
              min_absence: float = DEFAULT_MIN_ABSENCE, search: str = "",

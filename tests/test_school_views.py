@@ -27,6 +27,9 @@ def test_gold_and_manifest(spark, lake):
     assert set(g) == set(D.GOLD)
     pop = D.population(spark, g["student_risk_scores"], f"{root}/run_metadata").first()
     assert pop["students"] == io.read_table(spark, bronze, "students", fmt="csv").count()
+    params = D.page_params(D.population(spark, g["student_risk_scores"],
+                                        f"{root}/run_metadata")).first()
+    assert (params["top_n"], params["bins"]) == (20, 20)
     missing = D.population(spark, g["student_risk_scores"], f"{root}/none").first()
     assert missing["students"] == g["student_risk_scores"].count()
     m = io.read_manifest(spark, f"{root}/run_metadata", school.MANIFEST_SCHEMA).first()
