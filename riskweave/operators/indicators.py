@@ -73,5 +73,7 @@ def kpis(scored: DataFrame, status: str, positive: str, risk: str = "risk",
         _avg_units(mark, 2).alias(n["mark"]))
     if auc is not None:
         import math
-        out = out.withColumn(n["auc"], F.lit(math.floor(float(auc) * 10000 + 0.5) / 10000))
+        a = float(auc)
+        value = None if math.isnan(a) else math.floor(a * 10000 + 0.5) / 10000
+        out = out.withColumn(n["auc"], F.lit(value).cast("double"))  # NaN → NULL
     return out

@@ -107,6 +107,10 @@ def score_model(model, df: DataFrame, out: str = "risk") -> DataFrame:
 
 
 def auc_evaluator(pred: DataFrame, label: str = "label", raw: str = "rawPrediction") -> float:
+    """Spark ML's area under ROC; NaN when the rows hold fewer than two classes."""
+    classes = pred.select(label).distinct().limit(2).count()  # bounded probe
+    if classes < 2:
+        return float("nan")
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw,
                                        metricName="areaUnderROC")

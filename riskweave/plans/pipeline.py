@@ -78,6 +78,7 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, method: str = "rule",
         test = R.hash_split(scored, "entity_id").where(F.col("split") == "test").withColumn(
             "lapsed_label", F.when(F.col("status") == A.LAPSED, 1).otherwise(0))
         auc = R.auc_exact(test, "risk", "lapsed_label").first()["auc"]
+        auc = float("nan") if auc is None else auc  # keep the column; NULL value
 
     small = dict(formats=fmts, single_csv_file=True)
     by_area = IND.by_group(scored, "area", "status", A.LAPSED, positive_name="lapsed",

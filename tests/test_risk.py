@@ -65,3 +65,18 @@ def test_model_scores_are_logistic_of_coefficients(spark):
     for r in R.score_model(model, data, out="p").select("x1", "x2", "p").collect():
         z = b + w[0] * r["x1"] + w[1] * r["x2"]
         assert abs(r["p"] - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_degenerate_evaluation_gives_null_auc(spark):
+    from riskweave.operators import indicators as IND
+    df = spark.createDataFrame([(i, float(i), 1.0) for i in range(20)], "id long, x double, y double")
+    data = R.assemble(df, ["x"])
+    two = spark.createDataFrame([(0, 0.0, 0.0), (1, 1.0, 1.0)], "id long, x double, y double")
+    model = R.fit_logistic(R.assemble(two, ["x"]), label="y", max_iter=5)
+    pred = R.score_model(model, data, out="p")
+    assert math.isnan(R.auc_evaluator(pred, label="y"))              # one class only
+    assert math.isnan(R.auc_evaluator(pred.limit(0), label="y"))     # no rows
+    scored = spark.createDataFrame([("a", 0.5, 0.1, 6.0)], "status string, risk double, "
+                                   "miss_rate double, avg_mark double")
+    k = IND.kpis(scored, "status", "a", auc=float("nan")).first()
+    assert k["model_auc"] is None
