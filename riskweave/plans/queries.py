@@ -213,6 +213,7 @@ def q_kpis(spark, sf_dir):
     """KPI row with the held-out AUC as a literal."""
     s = _scored_once(spark, sf_dir)
     auc = R.auc_exact(_test_split(s), "risk", "lapsed_label").first()["auc"]
+    auc = float("nan") if auc is None else auc  # one class only: NULL, column kept
     return IND.kpis(s, "status", A.LAPSED, auc=auc, names={"positives": "lapsed"})
 
 
