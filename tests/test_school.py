@@ -104,19 +104,22 @@ def test_school_year_filter(spark, bronze):
 def test_rule_risk_matches_original_formula(spark, bronze):
     b = school.read_bronze(spark, bronze)
     prof = school.rule_risk(school.student_profile(b)).where(F.col("absence_rate").isNotNull())
+    weights = {"absence": 3.0, "deficit": 1.6, "works": 0.9, "offline": 0.8, "far": 0.6,
+               "no_bus": 0.7, "hunger": 0.5, "engaged": -0.8}
     for r in prof.collect():
-        eng = max(0.0, min(1.0, (r["platform_logins_total"] / 160
-                                 + r["homework_submitted_total"] / 210) / 2))
-        score = -3.1
-        score += 3.0 * r["absence_rate"]
-        score += 1.6 * max(0, 6.0 - r["avg_grade"]) / 6.0
-        score += 0.9 if r["works_after_school"] else 0
-        score += 0.8 if not r["internet_access"] else 0
-        score += 0.6 if r["distance_km"] > 8 else 0
-        score += 0.7 if not r["transport_access"] else 0
-        score += 0.5 if r["food_insecurity_score"] >= 4 else 0
-        score -= 0.8 * eng
-        assert abs(r["rule_risk"] - 1 / (1 + pow(2.71828, -score))) < 1e-12
+        x = {
+            "absence": r["absence_rate"],
+            "deficit": max(0.0, 6.0 - r["avg_grade"]) / 6.0,
+            "works": float(r["works_after_school"] == 1),
+            "offline": float(r["internet_access"] == 0),
+            "far": float(r["distance_km"] > 8),
+            "no_bus": float(r["transport_access"] == 0),
+            "hunger": float(r["food_insecurity_score"] >= 4),
+            "engaged": min(1.0, max(0.0, (r["platform_logins_total"] / 160.0
+                                          + r["homework_submitted_total"] / 210.0) / 2.0)),
+        }
+        z = -3.1 + sum(w * x[k] for k, w in weights.items())
+        assert abs(r["rule_risk"] - 1.0 / (1.0 + 2.71828 ** (-z))) < 1e-12
 
 
 def test_targeting_rule(spark, bronze):
