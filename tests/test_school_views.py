@@ -81,3 +81,15 @@ def test_student_detail(spark, lake):
     grd = d["grades_by_subject"].collect()
     assert all(r["avg_grade"] == 4.5 for r in grd)
     assert os.path.isdir(io.dataset_path(root, "gold", "kpis", "csv"))
+
+
+def test_pretty_printed_manifest(spark, tmp_path):
+    import json
+    path = tmp_path / "run_metadata.json"
+    path.write_text(json.dumps({"students_count": 2500, "seed": 2026,
+                                "generated_at": "2026-01-01T00:00:00+00:00",
+                                "attendance_rows": 200000, "grades_rows": 80000}, indent=2))
+    m = io.read_manifest(spark, str(path), school.MANIFEST_SCHEMA).first()
+    assert (m["students_count"], m["grades_rows"]) == (2500, 80000)
+    scores = spark.createDataFrame([(1,), (2,)], "student_id long")
+    assert D.population(spark, scores, str(path)).first()["students"] == 2500
