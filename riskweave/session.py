@@ -71,19 +71,25 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a shared directory."""
+    """Make sure ``DataFrame.checkpoint()`` has a shared directory; return it.
+
+    Order: the session's ``spark.checkpoint.dir``; else a directory already
+    set on the SparkContext; else (local runs and tests only) a folder of
+    our own, registered on the context.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
+        sc = None
+    if not root and sc is not None and sc.getCheckpointDir():
+        root = sc.getCheckpointDir()
     if not root:
-        # only for local runs and tests: a cluster names its shared folder
         root = os.environ.get("RISKWEAVE_SCRATCH") or "/tmp/riskweave-shared"
         try:
             spark.conf.set("spark.checkpoint.dir", root)
         except Exception:  # a session may reject core settings at run time
             pass
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
-        return root
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
