@@ -169,5 +169,29 @@ def rule_scored(t: A.Tables) -> DataFrame:
     return scored(with_rule_score(profile(t)))
 
 
+def detail_aggs() -> list:
+    """Per (entity, part) detail: lines, missed lines, mean mark (unrounded)."""
+    return [F.count(F.lit(1)).alias("lines"),
+            F.sum(F.when(F.col("l_returnflag") == A.RETURNED_FLAG, 1).otherwise(0)).cast("long")
+            .alias("total_missed"),
+            ratio(F.sum("l_quantity"), F.count(F.lit(1)) * F.lit(A.MARK_DIVISOR)).alias("avg_mark")]
+
+
+DETAIL_COLUMNS = ("entity_id", "part_key", "part_name", "lines", "total_missed", "avg_mark")
+
+
+def entity_detail_all(t: A.Tables) -> DataFrame:
+    """The entity-detail table for every entity: lines of orders before the
+    cut-off per (entity, part), with part names (left join)."""
+    orders = t.orders.where(F.col("o_orderdate") < A.cutoff_col()).select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity_id"))
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity") \
+        .join(orders, "l_orderkey", "inner")
+    agg = lines.groupBy("entity_id", "l_partkey").agg(*detail_aggs())
+    named = agg.join(A.part_dim(t), agg.l_partkey == F.col("part_key"), "left")
+    return named.select("entity_id", F.col("l_partkey").alias("part_key"), "part_name",
+                        "lines", "total_missed", "avg_mark")
+
+
 def split(prof: DataFrame, train_pct: int = 80) -> DataFrame:
     return hash_split(prof, KEY, train_pct)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.functions import (percent_text, ratio, round_half_up, short_percent_text,
+from riskweave.functions import (percent_text, round_half_up, short_percent_text,
                                  thousands_text)
 from riskweave.operators import explore as X
 from riskweave.operators import indicators as IND
@@ -266,13 +266,6 @@ def q_percent_text(spark, sf_dir):
         thousands_text(F.col("views") * F.lit(1000)).alias("views_text"))
 
 
-def _detail_aggs():
-    return [F.count(F.lit(1)).alias("lines"),
-            F.sum(F.when(F.col("l_returnflag") == A.RETURNED_FLAG, 1).otherwise(0)).cast("long")
-            .alias("total_missed"),
-            ratio(F.sum("l_quantity"), F.count(F.lit(1)) * F.lit(A.MARK_DIVISOR)).alias("avg_mark")]
-
-
 def q_entity_detail(spark, sf_dir):
     """Detail panel of the highest-risk entity: per part, its lines, missed
     lines and mean mark (P15 lookup, A9, A10, J7)."""
@@ -281,7 +274,8 @@ def q_entity_detail(spark, sf_dir):
     orders = X.lookup(t.orders, "o_custkey", top).where(
         F.col("o_orderdate") < A.cutoff_col()).select(F.col("o_orderkey").alias("l_orderkey"))
     lines = t.lineitem.join(orders, "l_orderkey", "left_semi")
-    out = X.detail_by(lines, "l_partkey", _detail_aggs(), dim=A.part_dim(t), dim_key="part_key")
+    out = X.detail_by(lines, "l_partkey", flows.detail_aggs(), dim=A.part_dim(t),
+                      dim_key="part_key")
     return out.select(F.lit(top).cast("long").alias("entity_id"),
                       F.col("l_partkey").alias("part_key"), "part_name", "lines",
                       "total_missed", "avg_mark")
@@ -290,15 +284,7 @@ def q_entity_detail(spark, sf_dir):
 def q_entity_detail_all(spark, sf_dir):
     """The same detail table precomputed for every entity (whole tables):
     lines of orders before the cut-off per (entity, part), with part names."""
-    t = _t(spark, sf_dir)
-    orders = t.orders.where(F.col("o_orderdate") < A.cutoff_col()).select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity_id"))
-    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity") \
-        .join(orders, "l_orderkey", "inner")
-    agg = lines.groupBy("entity_id", "l_partkey").agg(*_detail_aggs())
-    named = agg.join(A.part_dim(t), agg.l_partkey == F.col("part_key"), "left")
-    return named.select("entity_id", F.col("l_partkey").alias("part_key"), "part_name",
-                        "lines", "total_missed", "avg_mark")
+    return flows.entity_detail_all(_t(spark, sf_dir))
 
 
 def q_hist(spark, sf_dir):
