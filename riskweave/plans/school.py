@@ -232,10 +232,31 @@ def manifest(b: dict[str, DataFrame], seed: int | None = None) -> DataFrame:
     return m.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST_SCHEMA.fields])
 
 
-def run(spark: SparkSession, bronze: str, out_root: str,
-        seed: int | None = None) -> dict[str, object]:
+def subject_detail(b: dict[str, DataFrame]) -> DataFrame:
+    """Per (student, subject): total absences and mean grade (unrounded), with
+    the subject name — the student panel's two charts for every student.
+
+    Both sides are aggregated to one row per (student, subject) before they
+    meet, so the full outer join is 1:1.
+    """
+    keys = [KEY, "subject_id"]
+    att = b["attendance"].groupBy(*keys).agg(F.sum("absences").cast("long").alias("total_absences"))
+    grd = b["grades"].groupBy(*keys).agg(F.avg("grade").alias("avg_grade"))
+    names = b["subjects"].select("subject_id", "subject_name")
+    return att.join(grd, keys, "full").join(names, "subject_id", "left") \
+        .select(KEY, "subject_id", "subject_name", "total_absences", "avg_grade")
+
+
+def run(spark: SparkSession, bronze: str, out_root: str, seed: int | None = None,
+        detail: bool = True) -> dict[str, object]:
     """Full refresh of silver and gold under ``out_root`` (parquet + CSV),
-    plus ``<out_root>/run_metadata`` (JSON manifest of the bronze counts)."""
+    plus ``<out_root>/run_metadata`` (JSON manifest of the bronze counts).
+
+    ``detail`` also publishes ``student_subject_detail`` (parquet), globally
+    sorted by student: each file holds a disjoint range of students, so a
+    student lookup skips the rest through row-group statistics instead of
+    scanning the attendance and grade facts.
+    """
     configure(spark)
     b = read_bronze(spark, bronze)
     io.write_manifest(manifest(b, seed), f"{out_root.rstrip('/')}/run_metadata")
@@ -256,8 +277,11 @@ def run(spark: SparkSession, bronze: str, out_root: str,
     io.publish(g["dropout_reasons"], out_root, "gold", "dropout_reasons",
                sort_by=[F.col("students").desc(), F.col("dropout_reason")], **small)
     io.publish(g["kpis"], out_root, "gold", "kpis", **small)
+    if detail:
+        io.publish(subject_detail(b), out_root, "gold", "student_subject_detail",
+                   sort_by=[F.col(KEY), F.col("subject_id")])
     return {"auc": auc, "root": out_root}
 
 
 __all__ = ["read_bronze", "student_profile", "score", "gold", "run", "subject_absences",
-           "manifest", "MANIFEST_SCHEMA", "rule_risk", "targeted", "quality_report", "register_views"]
+           "manifest", "MANIFEST_SCHEMA", "rule_risk", "targeted", "quality_report", "register_views", "subject_detail"]

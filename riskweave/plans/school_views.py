@@ -32,6 +32,7 @@ from riskweave.sources import io
 # Fixed values of the original page: datasets read, columns shown, defaults.
 GOLD = ("student_risk_scores", "dropout_by_neighborhood", "subject_absences",
         "dropout_reasons", "kpis")
+DETAIL = "student_subject_detail"   # published by ``school.run(detail=True)``
 DETAIL_BRONZE = ("students", "socioeconomic", "attendance", "grades", "subjects")
 PRIORITY_COLUMNS = ("student_id", "name", "grade_level", "shift", "neighborhood",
                     "dropout_risk", "risk_band", "absence_rate", "avg_grade", "distance_km",
@@ -125,14 +126,26 @@ def priority_table(filt: DataFrame, top_n: int) -> DataFrame:
                             "absence_rate": short_percent_text("absence_rate")})
 
 
-def student_detail(scores: DataFrame, bronze: dict[str, DataFrame],
-                   student_id: int) -> dict[str, DataFrame]:
-    """Score row, bronze rows, absences per subject (desc), mean grade per subject (asc)."""
-    subjects = bronze["subjects"].select("subject_id", "subject_name")
-    att = X.detail_by(X.lookup(bronze["attendance"], "student_id", student_id), "subject_id",
-                      [F.sum("absences").cast("long").alias("total_absences")], subjects)
-    grd = X.detail_by(X.lookup(bronze["grades"], "student_id", student_id), "subject_id",
-                      [F.avg("grade").alias("avg_grade")], subjects)
+def student_detail(scores: DataFrame, bronze: dict[str, DataFrame], student_id: int,
+                   detail: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Score row, bronze rows, absences per subject (desc), mean grade per subject (asc).
+
+    With ``detail`` (the published ``student_subject_detail``, clustered by
+    student) the per-subject charts read one slice of it; without, they are
+    aggregated from the bronze facts as the original page did.
+    """
+    if detail is not None:
+        mine = X.lookup(detail, "student_id", student_id)
+        att = mine.where(F.col("total_absences").isNotNull()).select(
+            "subject_id", "total_absences", "subject_name")
+        grd = mine.where(F.col("avg_grade").isNotNull()).select(
+            "subject_id", "avg_grade", "subject_name")
+    else:
+        subjects = bronze["subjects"].select("subject_id", "subject_name")
+        att = X.detail_by(X.lookup(bronze["attendance"], "student_id", student_id), "subject_id",
+                          [F.sum("absences").cast("long").alias("total_absences")], subjects)
+        grd = X.detail_by(X.lookup(bronze["grades"], "student_id", student_id), "subject_id",
+                          [F.avg("grade").alias("avg_grade")], subjects)
     return {
         "score": X.lookup(scores, "student_id", student_id),
         "student": X.lookup(bronze["students"], "student_id", student_id),

@@ -93,3 +93,17 @@ def test_pretty_printed_manifest(spark, tmp_path):
     assert (m["students_count"], m["grades_rows"]) == (2500, 80000)
     scores = spark.createDataFrame([(1,), (2,)], "student_id long")
     assert D.population(spark, scores, str(path)).first()["students"] == 2500
+
+
+def test_student_detail_from_published_table_equals_bronze(spark, lake):
+    bronze, root = lake
+    s = D.load_gold(spark, root)["student_risk_scores"]
+    detail = io.read_dataset(spark, root, "gold", D.DETAIL)
+    b = D.load_bronze(spark, bronze)
+    for sid in (1, 2, 100, 159):
+        a = D.student_detail(s, b, sid)
+        g = D.student_detail(s, b, sid, detail=detail)
+        for part in ("absences_by_subject", "grades_by_subject"):
+            cols = a[part].columns
+            assert [tuple(r) for r in a[part].collect()] == \
+                   [tuple(r) for r in g[part].select(*cols).collect()], (sid, part)
