@@ -53,3 +53,20 @@ def test_model_scores_cover_population(spark):
     assert s.count() == prof
     assert s.where((F.col("risk") < 0) | (F.col("risk") > 1)).count() == 0
     assert {r["split"] for r in s.select("split").distinct().collect()} <= {"train", "test"}
+
+
+@pytest.mark.parametrize("name", ["q_box", "q_auc", "q_kpis", "q_top_n", "q_reason_share",
+                                  "q_split", "q_hist"])
+def test_results_do_not_depend_on_partitioning(spark, name):
+    def run():
+        df = q(spark, name)
+        return sorted(tuple(r) for r in df.select(*sorted(df.columns)).collect())
+    base = run()
+    old = (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        assert run() == base
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.shuffle.partitions", old[1])
