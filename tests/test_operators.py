@@ -138,3 +138,23 @@ def test_quality_planted_violations(spark):
     assert nulls == {"k": 1, "v": 0}
     o = Q.fk_orphans(child, ForeignKey(("k",), "p", ("k",)), parent).collect()
     assert [(r["k"], r["rows"]) for r in o] == [(3, 2)]
+
+
+def test_bounded_broadcast_only_within_bound(spark):
+    import contextlib
+    import io as _io
+    from riskweave.plans.adapters import bounded_broadcast
+
+    def text(df):
+        buf = _io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="extended")
+        return buf.getvalue()
+
+    dim = spark.range(5).withColumnRenamed("id", "k")
+    assert "broadcast" in text(bounded_broadcast(dim, max_rows=10)).lower()
+    big = spark.range(50).withColumnRenamed("id", "k")
+    hinted = text(bounded_broadcast(big, max_rows=10))
+    assert "strategy=broadcast" not in hinted.replace(" ", "").lower()
+    # the verdict is reused for the same plan over the same input
+    assert bounded_broadcast(big, max_rows=10).count() == 50
