@@ -35,6 +35,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("RISKWEAVE_DRIVER_MEMORY", "8g"))
+        # remove reliable-checkpoint files once their DataFrame is garbage-collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
