@@ -70,3 +70,12 @@ def test_results_do_not_depend_on_partitioning(spark, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old[0])
         spark.conf.set("spark.sql.shuffle.partitions", old[1])
+
+
+def test_model_auc_evaluator_agrees_with_exact_auc(spark):
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("sf0.01 not present")
+    r = queries()["q_ml_auc"](spark, sf).first()
+    assert 0.0 <= r["auc_exact"] <= 1.0
+    assert abs(r["auc_evaluator"] - r["auc_exact"]) < 0.02
