@@ -78,8 +78,9 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, method: str = "rule",
     else:
         scored = flows.scored(flows.with_rule_score(prof))
     fmts = ("parquet", "csv") if csv else ("parquet",)
-    io.publish(scored, out_root, "gold", "scores", formats=fmts,
-               sort_by=[F.col("risk").desc(), F.col("entity_id")])
+    # partitioned by band (3 values): a band filter reads only its directories
+    io.publish(scored, out_root, "gold", "scores", formats=fmts, partition_by=["risk_band"],
+               sort_by=[F.col("risk_band"), F.col("risk").desc(), F.col("entity_id")])
     scored = io.read_dataset(spark, out_root, "gold", "scores")
     if auc is None:
         test = R.hash_split(scored, "entity_id").where(F.col("split") == "test").withColumn(

@@ -65,14 +65,18 @@ def dataset_path(root: str, layer: str, name: str, fmt: str) -> str:
 
 def publish(df: DataFrame, root: str, layer: str, name: str,
             formats: Iterable[str] = ("parquet",), single_csv_file: bool = False,
-            skip_empty: bool = False, sort_by: list | None = None) -> dict[str, str]:
+            skip_empty: bool = False, sort_by: list | None = None,
+            partition_by: list[str] | None = None) -> dict[str, str]:
     """Overwrite ``<root>/<layer>/<name>_<fmt>`` for each format.
 
     The plan runs once: parquet is written first and every other format is
     written from the parquet copy.  ``single_csv_file`` (one CSV part) is
     meant only for small aggregates.  ``sort_by`` orders rows at the sink
     only — upstream plans stay unsorted.  ``skip_empty`` writes nothing for
-    an empty frame (one cheap ``isEmpty`` probe).  Returns written paths.
+    an empty frame (one cheap ``isEmpty`` probe).  ``partition_by`` writes
+    one directory per value of low-cardinality columns, so readers filtering
+    on them prune whole directories; lead ``sort_by`` with the same columns
+    so the writer needs no extra sort.  Returns written paths.
     """
     formats = list(formats)
     if skip_empty and df.isEmpty():
@@ -81,7 +85,10 @@ def publish(df: DataFrame, root: str, layer: str, name: str,
     out: dict[str, str] = {}
     pq = dataset_path(root, layer, name, "parquet")
     src = df.orderBy(*sort_by) if sort_by else df
-    src.write.mode("overwrite").parquet(pq)
+    writer = src.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(pq)
     if "parquet" in formats:
         out["parquet"] = pq
     if "csv" in formats:
@@ -91,7 +98,10 @@ def publish(df: DataFrame, root: str, layer: str, name: str,
         if single_csv_file:
             stored = stored.coalesce(1)
         path = dataset_path(root, layer, name, "csv")
-        stored.write.mode("overwrite").option("header", True).csv(path)
+        cw = stored.write.mode("overwrite").option("header", True)
+        if partition_by:
+            cw = cw.partitionBy(*partition_by)
+        cw.csv(path)
         out["csv"] = path
     return out
 

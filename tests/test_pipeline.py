@@ -30,11 +30,19 @@ def test_publish_run(spark, tmp_path, method):
     for name in ("by_area", "rate_by_dim", "reasons", "kpis"):
         parts = glob.glob(os.path.join(io.dataset_path(root, "gold", name, "csv"), "part-*.csv"))
         assert len(parts) == 1, name
-    csv = io.read_dataset(spark, root, "gold", "scores", fmt="csv", schema=pipeline.SCORED_SCHEMA)
+    csv = io.read_dataset(spark, root, "gold", "scores", fmt="csv")
     assert csv.count() == scores.count()
-    # sink order: risk descending, key ascending
-    rows = [(r["risk"], r["entity_id"]) for r in scores.collect()]
-    assert rows == sorted(rows, key=lambda x: (-x[0], x[1]))
+    # one directory per band; a band filter prunes the others
+    bands = {os.path.basename(p) for p in glob.glob(
+        os.path.join(io.dataset_path(root, "gold", "scores", "parquet"), "risk_band=*"))}
+    assert bands == {f"risk_band={b}" for b in
+                     [r[0] for r in scores.select("risk_band").distinct().collect()]}
+    import contextlib
+    import io as _io
+    buf = _io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        scores.where(F.col("risk_band") == "Alto").explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(risk_band" in buf.getvalue()
 
 
 def test_entity_detail_is_clustered_and_lookup_pushed(spark, tmp_path):
