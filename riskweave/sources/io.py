@@ -40,8 +40,9 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
 
     ``on_missing="error"`` raises ``AnalysisException`` for an absent path
     (gold tables); ``"empty"`` returns an empty frame with the declared
-    schema (optional bronze tables).  CSV is read with a header, no schema
-    inference, empty fields as NULL and FAILFAST on malformed rows.
+    schema (optional bronze tables).  CSV is read with a header (checked
+    against the declared column names), no schema inference, empty fields as
+    NULL and FAILFAST on malformed rows.
     """
     if on_missing not in ("error", "empty"):
         raise ValueError("on_missing must be 'error' or 'empty'")
@@ -50,7 +51,10 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
     reader = spark.read.schema(sch)
     try:
         if fmt == "csv":
+            # enforceSchema=false: the header must name the declared columns in
+            # order, so a reordered file fails instead of loading shifted values
             return (reader.option("header", True).option("mode", "FAILFAST")
+                    .option("enforceSchema", False)
                     .option("dateFormat", "yyyy-MM-dd").csv(target))
         return reader.parquet(target)
     except AnalysisException as exc:

@@ -77,3 +77,11 @@ def test_table_counts(spark):
     got = {r["table_name"]: r["rows"] for r in
            io.table_counts({"x": spark.range(4), "y": spark.range(0)}).collect()}
     assert got == {"x": 4, "y": 0}
+
+
+def test_csv_header_must_match_declared_columns(spark, scratch):
+    p = os.path.join(scratch, "swapped.csv")
+    with open(p, "w") as f:
+        f.write("dropout_reason,dropout_date,student_id\nTrabalho,2026-08-03,1\n")
+    with pytest.raises(Exception):
+        io.read_table(spark, scratch, "swapped", fmt="csv", schema=SCH).collect()
