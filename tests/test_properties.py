@@ -54,3 +54,34 @@ def test_histogram_bins_cover_unit_interval(spark, xs, bins):
     for r in h:
         members = [x for x in xs if min(math.floor(x / width), bins - 1) == r["bin"]]
         assert len(members) == r["entities"]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 10000)),
+                min_size=1, max_size=150))
+def test_box_matches_numpy_percentiles(spark, rows):
+    import numpy as np
+    from riskweave.operators.explore import box
+    df = spark.createDataFrame([(g, u / 10000) for g, u in rows], "g string, v double")
+    got = {r["g"]: r for r in box(df, "v", "g").collect()}
+    for g in {g for g, _ in rows}:
+        vals = [u / 10000 for gg, u in rows if gg == g]
+        for name, p in (("q1", 25), ("median", 50), ("q3", 75)):
+            assert abs(got[g][name] - float(np.percentile(vals, p))) < 1e-9, (g, name)
+        assert got[g]["n"] == len(vals) and got[g]["min"] == min(vals)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 50), st.integers(0, 1)), min_size=2, max_size=200))
+def test_auc_exact_matches_pairwise_on_random_data(spark, rows):
+    from riskweave.operators.risk import auc_exact
+    pairs = [(s / 50, y) for s, y in rows]
+    pos = [s for s, y in pairs if y == 1]
+    neg = [s for s, y in pairs if y == 0]
+    df = spark.createDataFrame(pairs, "s double, y int")
+    got = auc_exact(df, "s", "y").first()["auc"]
+    if not pos or not neg:
+        assert got is None
+        return
+    want = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg)
+    assert abs(got - want / (len(pos) * len(neg))) < 1e-12
