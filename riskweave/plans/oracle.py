@@ -378,6 +378,7 @@ QUALIFY row_number() OVER (ORDER BY scored.risk DESC NULLS LAST, entity_id) <= {
 }
 SQL["q_csv_roundtrip"] = SQL["q_scored"]
 SQL["q_parquet_roundtrip"] = SQL["q_profile"]
+SQL["q_publish_run"] = SQL["q_kpis"]
 
 # Queries without an SQL form (model fit): checked on rows and by unit tests.
 NO_ORACLE = ("q_ml_scores", "q_ml_auc")

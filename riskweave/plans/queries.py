@@ -380,6 +380,15 @@ def q_parquet_roundtrip(spark, sf_dir):
     return io.read_dataset(spark, root, "silver", "profile")
 
 
+def q_publish_run(spark, sf_dir):
+    """The layered publish run (silver + gold, parquet + CSV) into
+    the shared folder; returns the published gold KPI row, read back."""
+    from riskweave.plans.pipeline import run
+    root = shared_dir(spark, "publish")
+    run(spark, sf_dir, root, method="rule")
+    return io.read_dataset(spark, root, "gold", "kpis")
+
+
 OPTIONAL_TABLES = ("customer", "orders", "events", "interventions", "guardians")
 
 
