@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.llm.ann import ann_search
+from riskweave.llm.chat import format_conversations, read_conversations
 from riskweave.llm.common import reader
+from riskweave.llm.dropout import decode_documents, encode_documents
+from riskweave.llm.lines import dedup_lines
+from riskweave.llm.ngram_join import ngram_jaccard_join
 from riskweave.llm.packing import pack_documents
 from riskweave.llm.substrings import dedup_substrings, kept_sha256
+from riskweave.llm.topk import exact_topk
 from riskweave.llm.toxicity import toxicity
+from riskweave.llm.warc import archive_pages, page_of, read_packages
+from riskweave.session import shared_dir
 
 
 def bpe_files() -> tuple[str, str]:
@@ -25,12 +33,61 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(reader(spark, sf_dir, "documents"), reader(spark, sf_dir, "labels"))
 
 
+def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, and of one that imitates the marks, read back from their windows."""
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = reader(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return read_conversations(format_conversations(turns, *bpe_files(), budget=512, history=128))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words per document after removing 13-word runs that an earlier document holds."""
     out = dedup_substrings(reader(spark, sf_dir, "documents"), window=13)
     return out.select("doc_id", "n_words", "n_removed", kept_sha256().alias("kept_sha256"))
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document after keeping one of each component of similar lines."""
+    out = dedup_lines(reader(spark, sf_dir, "documents"), threshold=0.8)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document under merge-dropout, and the digest of the text they decode to."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    ids = encode_documents(reader(spark, sf_dir, "documents"), model, rate=0.1, seed=1, variants=4)
+    return decode_documents(ids, model).select(
+        "doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector over all others."""
+    return exact_topk(reader(spark, sf_dir, "embeddings"), every=20, k=20, scale=64.0)
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and links of every document at 5-word Jaccard similarity 0.8."""
+    return ngram_jaccard_join(reader(spark, sf_dir, "documents"), n=5, threshold=0.8)
+
+
+def op8_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found for every 100th vector."""
+    return ann_search(reader(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in ZIP packages, read back by range."""
+    packages = archive_pages(reader(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
+    return read_packages(packages, with_payload=False).select(
+        page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page_of("refers_to").alias("refers_to"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces in windows of 1024 tokens, with a checksum of their ids."""
     out = pack_documents(docs, *bpe_files(), size=1024)
@@ -44,9 +101,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_toxicity": op1_toxicity,
-    "op3_substring_dedup": op3_substring_dedup,
-    "op10_packing": op10_packing,
+    f.__name__: f for f in (
+        op1_toxicity, op2_chat_windows, op3_substring_dedup, op4_fuzzy_lines, op5_merge_dropout, op6_exact_topk,
+        op7_ngram_jaccard, op8_cross_polytope, op9_warc_zip, op10_packing)
 }
 
 SQL: dict[str, str] = {}
@@ -73,3 +130,33 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - len(stay))::BIGINT AS n_re
        sha256(array_to_string(list_transform(stay, lambda j: ws[j]), ' ')) AS kept_sha256
 FROM k
 """
+
+SQL["op6_exact_topk"] = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+SQL["op9_warc_zip"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex,
+         max(page_id) OVER (PARTITION BY html) AS top FROM p),
+b AS (
+  SELECT *, list_transform(range(0, 32), lambda i:
+    (('0x' || substr(hex, (i * 5 // 4 + 1)::INT, 2))::BIGINT // [8, 4, 2, 1][(i % 4 + 1)::INT]) % 32) AS digits
+  FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(digits, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v::INT + 1, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM b
+"""
