@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.session import ensure_checkpoint_dir, shared_dir
@@ -119,6 +119,22 @@ def within(first: np.ndarray, n: int, total: int) -> np.ndarray:
     return doc[:m] == doc[n - 1:]
 
 
+def carried(names: Sequence[str]) -> list[Column]:
+    """Columns that travel through an operator under names of its own choice,
+    so theirs may clash with any of the operator's."""
+    return [F.col(c).alias(f"_carry{i}") for i, c in enumerate(names)]
+
+
+def restored(names: Sequence[str]) -> list[Column]:
+    """The carried columns under their names."""
+    return [F.col(f"_carry{i}").alias(c) for i, c in enumerate(names)]
+
+
+def carried_schema(df: DataFrame, schema: str) -> str:
+    """``schema`` and the carried columns of ``df``."""
+    return ", ".join([schema, *(f"{c} {t}" for c, t in df.dtypes if c.startswith("_carry"))])
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker, across its tasks."""
     name = "_riskweave_worker"

@@ -16,15 +16,15 @@ only phrases whose anchor occurs in two documents are looked up at all.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import gram_hashes, materialize, text_slices, within, word_hashes
+from riskweave.llm.common import (carried, carried_schema, gram_hashes, materialize, restored, text_slices, within,
+                                  word_hashes)
 
 #: Words of an anchor.
 ANCHOR = 4
@@ -119,17 +119,18 @@ def parse(phrases: np.ndarray, starts: np.ndarray, index: np.ndarray, source: np
 
 
 def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
+                     text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """Find and remove word runs that an earlier document holds.
 
     Every word covered by a ``window``-word phrase that also starts in a
     document with a smaller id is removed; phrases are judged on the input.
     Words are runs of bytes other than 0x20 and 0x09–0x0D.  Returns one row
     per input row: ``doc_id, n_words, n_removed, kept`` (kept words joined by
-    one space) and ``spans`` (array of start word, length, source document).
+    one space), ``spans`` (array of start word, length, source document) and
+    the columns named in ``carry``.
 
     Null text is empty text.  A row without an id is kept whole and removes
-    nothing; rows with the same id never remove each other's words; other
+    nothing; rows with the same id never remove each other's words; further
     columns are ignored; an empty table gives an empty result.  A passage
     that a third of all documents share is reduced before the shuffle to its
     smallest document, and its join back is one that AQE can split.
@@ -172,18 +173,20 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                     spans.append([{"start": s, "length": n, "source": d} for s, n, d in factors])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(rows.start, rows.stop - rows.start), pa.array(n_words, pa.int64()),
-                     pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(span))],
-                    names=["doc_id", "n_words", "n_removed", "kept", "spans"])
+                     pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(span)),
+                     *(c.slice(rows.start, rows.stop - rows.start) for c in batch.columns[3:])],
+                    names=["doc_id", "n_words", "n_removed", "kept", "spans", *batch.schema.names[3:]])
 
-    return (base.join(found.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "hits")
-            .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string, "
-                             "spans array<struct<start:long,length:long,source:long>>"))
+    more = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       *carried(carry))
+    joined = more.join(found.hint("shuffle_hash"), "doc_id", "left").select(
+        "doc_id", "text", "hits", *(c for c in more.columns if c.startswith("_carry")))
+    out = joined.mapInArrow(run, carried_schema(
+        joined, "doc_id long, n_words long, n_removed long, kept string, "
+                "spans array<struct<start:long,length:long,source:long>>"))
+    return out.select("doc_id", "n_words", "n_removed", "kept", "spans", *restored(carry))
 
 
 def kept_sha256(kept: str = "kept"):
     """Lower-case hex digest of the kept words."""
     return F.sha2(F.col(kept).cast("binary"), 256)
-
-
-def digest(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()

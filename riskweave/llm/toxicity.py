@@ -10,7 +10,7 @@ model from fitting the positives hidden in the unlabelled texts as negatives.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.common import carried, carried_schema, restored
+
 BITS = 17
 #: Leading characters of a word that form a feature of their own.
 STEM = 5
@@ -162,12 +164,14 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> li
     return [r["w"] for r in sorted(got, key=lambda r: r["member"])]
 
 
-def score(docs: DataFrame, weights: list[bytes], id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, weights: list[bytes], id_col: str = "doc_id", text_col: str = "text",
+          carry: Sequence[str] = ()) -> DataFrame:
     """``doc_id, score`` of every whole text: mean of the classifiers' sigmoids.
 
+    The columns named in ``carry`` come along.
+
     Null and empty texts get the score of a text without words; repeated rows
-    are scored each; ids may be null; other columns are ignored.  Without
+    are scored each; ids may be null; further columns are ignored.  Without
     classifiers (no text to train on) every score is 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights) if weights else None
@@ -203,15 +207,19 @@ def score(docs: DataFrame, weights: list[bytes], id_col: str = "doc_id",
                 for f in stems:
                     total += weight(f)
                 out.append(float((1 / (1 + np.exp(-np.clip(total, -500, 500)))).mean()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())],
-                                             names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(out, pa.float64()), *batch.columns[2:]],
+                names=["doc_id", "score", *batch.schema.names[2:]])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       *carried(carry))
+    out = rows.mapInArrow(run, carried_schema(rows, "doc_id long, score double"))
+    return out.select("doc_id", "score", *restored(carry))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
-    """Train, then score all: ``doc_id, held_out, score, predicted``."""
-    scored = score(docs, fit(docs, labels, folds, fold))
+def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0,
+             carry: Sequence[str] = ()) -> DataFrame:
+    """Train, then score all: ``doc_id, held_out, score, predicted`` and ``carry``."""
+    scored = score(docs, fit(docs, labels, folds, fold), carry=carry)
     return scored.select("doc_id", in_fold("doc_id", folds, fold).alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), *carry)
