@@ -54,8 +54,8 @@ def ratio_half_up(num: ColumnOrName, den: ColumnOrName, digits: int) -> Column:
 
 
 def clamp(x: ColumnOrName, lo: float, hi: float) -> Column:
-    """``max(lo, min(hi, x))``."""
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x)))
+    """``max(lo, min(hi, x))``; NULL stays NULL."""
+    return F.when(_c(x).isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x))))
 
 
 def logistic(score: ColumnOrName, base: float | None = None) -> Column:

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions import percent_text, ratio, ratio_half_up, round_half_up
+from riskweave.functions import (percent_text, ratio, ratio_half_up, round_half_up, scaled_long,
+                                 thousands_text)
 
 
 # ------------------------------------------------------------------ filters
@@ -28,12 +29,6 @@ def extract_predicate(isin: dict[str, Sequence] | None = None,
     return cond
 
 
-def filter_extract(df: DataFrame, isin: dict[str, Sequence] | None = None,
-                   at_least: dict[str, float] | None = None) -> DataFrame:
-    """Rows passing ``extract_predicate``."""
-    return df.where(extract_predicate(isin, at_least))
-
-
 def search_predicate(text: str, name_col: str, id_col: str, regex: bool = False) -> Column:
     """Lower-cased name contains the trimmed, lower-cased query, or the id
     rendered as text equals it.
@@ -72,6 +67,30 @@ def filter_share(df: DataFrame, cond: Column, digits: int = 4) -> DataFrame:
         .alias("share_text"))
 
 
+def volume_cards(filtered: DataFrame, cond: Column, generated: DataFrame, field: str,
+                 sums: dict[str, Column]) -> DataFrame:
+    """The page's volume cards, one row: filtered rows, sums over them, the
+    generated population (``field`` of a one-row manifest; the rows at hand
+    where it is absent) and the share of it that passes the filter, as text.
+    """
+    hit = F.coalesce(cond, F.lit(False))
+    here = filtered.agg(F.count(F.lit(1)).alias("_rows"), F.count_if(hit).alias("n_filtered"),
+                        *[F.coalesce(F.sum(F.when(hit, c)), F.lit(0)).cast("long").alias(k)
+                          for k, c in sums.items()])
+    made = generated.agg(F.max(field).cast("long")).scalar()
+    both = here.withColumn("_n", F.coalesce(made, F.col("_rows")))
+    n = F.col("_n")
+    return both.select(
+        n.alias("population"), "n_filtered", *sums,
+        thousands_text(n).alias("population_text"), thousands_text("n_filtered").alias("filtered_text"),
+        *[thousands_text(k).alias(f"{k}_text") for k in sums],
+        F.when(n == 0, F.lit("-")).otherwise(percent_text(ratio(F.col("n_filtered"), n), 1)).alias("share_text"))
+
+
+#: Largest adaptive list length.
+TOP_MOST = 200
+
+
 def adaptive_params(df: DataFrame, count_col: str | None = None) -> DataFrame:
     """One row: population ``n``, ``top_n = min(200, max(20, n div 25))`` and
     ``bins = min(40, max(20, n div 100))``.
@@ -84,13 +103,23 @@ def adaptive_params(df: DataFrame, count_col: str | None = None) -> DataFrame:
     n = F.col("n")
     return base.select(
         n.alias("entities"),
-        F.least(F.lit(200), F.greatest(F.lit(20), F.call_function("div", n, F.lit(25))))
+        F.least(F.lit(TOP_MOST), F.greatest(F.lit(20), F.call_function("div", n, F.lit(25))))
         .cast("long").alias("top_n"),
         F.least(F.lit(40), F.greatest(F.lit(20), F.call_function("div", n, F.lit(100))))
         .cast("long").alias("bins"))
 
 
 # ------------------------------------------------------------------- top-N
+def top_n_of(df: DataFrame, by: str, n: Column, most: int, key: str) -> DataFrame:
+    """First ``n`` rows by ``by`` (desc, ties by ``key``) where ``n`` is a
+    scalar subquery of at most ``most``: the top ``most`` are taken first
+    (TakeOrderedAndProject), numbered, and cut at ``n``."""
+    order = [F.col(by).desc_nulls_last(), F.col(key).asc()]
+    rows = df.orderBy(*order).limit(int(most))
+    return (rows.withColumn("_rank", F.row_number().over(Window.partitionBy().orderBy(*order)))
+            .where(F.col("_rank") <= n).drop("_rank"))
+
+
 def top_n(df: DataFrame, by: str, n: int, key: str, ascending: bool = False) -> DataFrame:
     """First ``n`` rows by ``by`` (desc by default), ties broken by ``key``.
 
@@ -101,23 +130,25 @@ def top_n(df: DataFrame, by: str, n: int, key: str, ascending: bool = False) ->
     return df.orderBy(order, F.col(key).asc()).limit(int(n))
 
 
-def sort_desc(df: DataFrame, by: str, key: str) -> DataFrame:
-    """Global descending sort with a key tie-break (for sinks only)."""
-    return df.orderBy(F.col(by).desc_nulls_last(), F.col(key).asc())
-
-
 # ------------------------------------------------------------------- charts
-def histogram(df: DataFrame, value: str, bins: int, by: str | None = None,
-              lo: float = 0.0, hi: float = 1.0, out: str = "entities") -> DataFrame:
-    """Equal-width histogram of ``value`` on ``[lo, hi]`` (``hi`` falls in
-    the last bin), optionally split by ``by``: ``bin, [by,] bin_lo, bin_hi, n``.
+def histogram(df: DataFrame, value: str, bins: Column | int, by: str | None = None,
+              digits: int = 4, out: str = "entities") -> DataFrame:
+    """Equal-width histogram of a published score in [0, 1] (1 falls in the
+    last bin), optionally split by ``by``: ``bin, [by,] bin_lo, bin_hi, n``.
+
+    The score is taken in integer units of ``10^-digits``, so a value that
+    lies on a bin's edge always falls into the bin above it.  ``bins`` may be
+    a column that is the same in every row.
     """
-    width = (hi - lo) / bins
-    b = F.least(F.floor((F.col(value) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    keys = [b.alias("bin")] + ([F.col(by)] if by else [])
-    agg = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return agg.withColumn("bin_lo", F.lit(lo) + F.col("bin") * F.lit(width)) \
-              .withColumn("bin_hi", F.lit(lo) + (F.col("bin") + 1) * F.lit(width))
+    scale = 10 ** digits
+    bins = F.lit(bins) if isinstance(bins, int) else bins
+    h = df.where(F.col(value).isNotNull()).select(
+        F.least(F.call_function("div", scaled_long(value, digits) * bins, F.lit(scale)), bins - 1)
+        .cast("int").alias("bin"), *([by] if by else []), bins.cast("int").alias("_bins"))
+    agg = h.groupBy("bin", *([by] if by else []), "_bins").agg(F.count(F.lit(1)).alias(out))
+    return agg.select("bin", *([by] if by else []), out,
+                      (F.col("bin") / F.col("_bins")).alias("bin_lo"),
+                      ((F.col("bin") + 1) / F.col("_bins")).alias("bin_hi"))
 
 
 def box(df: DataFrame, value: str, by: str, value_digits: int = 4,
@@ -158,17 +189,44 @@ def box(df: DataFrame, value: str, by: str, value_digits: int = 4,
     return g.select(*cols, "max")
 
 
-def facets(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct values of each column as ``(facet, value)`` rows.
+def weighted_histogram(per: DataFrame, value: str, weight: str, by: str, digits: int = 4,
+                       out: str = "entities") -> DataFrame:
+    """``histogram`` with adaptive bins from ``(value, by, weight)`` rows, one
+    per published value and group, so at most ``10^digits + 1`` per group;
+    the population is their sum."""
+    n = F.sum(weight).over(Window.partitionBy())
+    bins = F.least(F.lit(40), F.greatest(F.lit(20), F.call_function("div", n, F.lit(100))))
+    h = per.withColumn("_bins", bins).where(F.col(value).isNotNull())
+    at = F.least(F.call_function("div", scaled_long(value, digits) * F.col("_bins"), F.lit(10 ** digits)),
+                 F.col("_bins") - 1).cast("int")
+    return (h.groupBy(at.alias("bin"), by, "_bins").agg(F.sum(weight).cast("long").alias(out))
+            .select("bin", by, out, (F.col("bin") / F.col("_bins")).alias("bin_lo"),
+                    ((F.col("bin") + 1) / F.col("_bins")).alias("bin_hi")))
+
+
+def place(group: str | None, order: Column, key: str) -> Column:
+    """Place (from 1) of a row in a list ordered by ``order``, ties by ``key``;
+    for lists that are bounded by one entity or by a top-N."""
+    w = Window.partitionBy(*([group] if group else [])).orderBy(order, F.col(key).asc())
+    return F.row_number().over(w).cast("long")
+
+
+def facets(df: DataFrame, cols: Sequence[str], descending: Sequence[str] = ()) -> DataFrame:
+    """Distinct values of each column as ``(facet, position, value)`` rows.
 
     One pass over ``df``: every row is turned into one ``(facet, value)``
     pair per column (``inline`` of an array of structs) and a single
     ``distinct`` removes duplicates — map-side first, so each task ships at
-    most its own distinct pairs.
+    most its own distinct pairs.  ``position`` (from 1) is the place of the
+    value in its list: ascending, or descending for the facets named so.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value"))
                       for c in cols])
-    return df.select(F.inline(pairs)).distinct()
+    found = df.select(F.inline(pairs)).distinct()
+    down = F.col("facet").isin(list(descending)) if descending else F.lit(False)
+    w = Window.partitionBy("facet").orderBy(F.when(~down, F.col("value")).asc_nulls_last(),
+                                            F.when(down, F.col("value")).desc_nulls_last())
+    return found.select("facet", F.row_number().over(w).cast("long").alias("position"), "value")
 
 
 # ------------------------------------------------------------------- detail
@@ -177,6 +235,16 @@ def lookup(df: DataFrame, key: str, value) -> DataFrame:
     return df.where(F.col(key) == F.lit(value))
 
 
+def lookup_counts(tables: dict[str, DataFrame], one: DataFrame, key: str) -> DataFrame:
+    """``table_name, key, rows`` of the entity in the one-row frame ``one``."""
+    parts = [df.join(F.broadcast(one), key).groupBy().agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(n).alias("table_name"), "rows") for n, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn(key, one.select(key).scalar())
+
+
 def detail_by(facts: DataFrame, group_key: str, aggs: Sequence[Column],
               dim: DataFrame | None = None, dim_key: str | None = None) -> DataFrame:
     """Aggregate one entity's facts per ``group_key``, then left join names."""
@@ -187,7 +255,3 @@ def detail_by(facts: DataFrame, group_key: str, aggs: Sequence[Column],
         return out.join(dim, group_key, "left")
     return out.join(dim, out[group_key] == dim[dim_key], "left").drop(dim[dim_key])
 
-
-def as_text(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    """Replace / add display columns (percent and number text)."""
-    return df.withColumns(cols)

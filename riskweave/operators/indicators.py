@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions import ratio_half_up, scaled_long
+from riskweave.functions import ratio_half_up, round_half_up, scaled_long
+from riskweave.operators.risk import hash_split
 
 
 def _avg_units(col: str, digits: int, out_digits: int | None = None):
@@ -47,13 +48,45 @@ def reason_share(reason_counts: DataFrame, count_col: str = "entities",
                  out: str = "share", digits: int = 4) -> DataFrame:
     """Share of each row in the column total.
 
-    Runs a global window, so it must only be given an already-small
-    aggregate (one row per reason category).
+    The total is a scalar subquery, so the table may have any number of rows.
     """
-    total = F.sum(count_col).over(Window.partitionBy())
+    total = reason_counts.agg(F.sum(count_col)).scalar()
     return reason_counts.withColumn(out, ratio_half_up(F.col(count_col), total, digits))
 
 
+def kpis_with_auc(scored: DataFrame, key: str, status: str, positive: str, risk: str = "risk",
+                  rate: str = "miss_rate", mark: str = "avg_mark",
+                  names: dict[str, str] | None = None) -> DataFrame:
+    """``kpis`` with the held-out AUC of the published score, in one pass.
+
+    The table is first reduced to one row per published score (at most
+    10,001, and one for no score), which holds every sum the row needs; the
+    window over those rows is bounded.
+    """
+    n = {"total": "total_entities", "positives": "positives", "risk": "avg_risk",
+         "rate": "avg_miss_rate", "mark": "avg_mark", "auc": "model_auc", **(names or {})}
+    is_pos = F.col(status).eqNullSafe(F.lit(positive))
+    test = (F.col("split") == "test") & F.col(risk).isNotNull()
+    per = hash_split(scored, key).groupBy(risk).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(is_pos).alias("_pos"),
+        F.sum(scaled_long(rate, 4)).alias("_rate"), F.count(rate).alias("_rate_n"),
+        F.sum(scaled_long(mark, 2)).alias("_mark"), F.count(mark).alias("_mark_n"),
+        F.count_if(test & is_pos).cast("decimal(19,0)").alias("_tp"),
+        F.count_if(test & ~is_pos).cast("decimal(19,0)").alias("_tn"))
+    below = F.coalesce(F.sum("_tn").over(Window.partitionBy().orderBy(F.col(risk).asc_nulls_first())
+                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("decimal(19,0)")
+    per = per.withColumn("_below", below)
+    scored_n = F.sum(F.when(F.col(risk).isNotNull(), F.col("_n")))
+    auc = F.try_divide(F.sum(F.col("_tp") * (F.col("_below") + F.col("_below") + F.col("_tn"))).cast("double"),
+                       (F.sum("_tp").cast("decimal(19,0)") * F.sum("_tn").cast("decimal(19,0)")).cast("double") * 2)
+    return per.agg(
+        F.sum("_n").cast("long").alias(n["total"]), F.sum("_pos").cast("long").alias(n["positives"]),
+        ratio_half_up(F.sum(scaled_long(risk, 4) * F.col("_n")), scored_n * F.lit(10 ** 4), 4).alias(n["risk"]),
+        ratio_half_up(F.sum("_rate"), F.sum("_rate_n") * F.lit(10 ** 4), 4).alias(n["rate"]),
+        ratio_half_up(F.sum("_mark"), F.sum("_mark_n") * F.lit(100), 2).alias(n["mark"]),
+        round_half_up(auc, 4).alias(n["auc"]))
+
+
 def kpis(scored: DataFrame, status: str, positive: str, risk: str = "risk",
          rate: str = "miss_rate", mark: str = "avg_mark", auc: float | None = None,
          names: dict[str, str] | None = None) -> DataFrame:

@@ -69,7 +69,8 @@ def fk_orphans(child: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame
     for c in cols:
         nn = nn & F.col(c).isNotNull()
     keys = child.where(nn).groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"))
-    pkeys = parent.select(*[F.col(p).alias(c) for p, c in zip(fk.parent_columns, cols)])
+    # distinct: a key that a third of the parent's rows share is one row in the join
+    pkeys = parent.select(*[F.col(p).alias(c) for p, c in zip(fk.parent_columns, cols)]).distinct()
     return keys.join(pkeys, cols, "left_anti")
 
 
@@ -78,11 +79,16 @@ def fk_summary(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec],
     """``constraint_name, child_table, orphan_keys, orphan_rows`` per declared FK.
 
     ``extra`` adds ``(name, child_table, fk)`` checks that are not declared
-    in the schema (e.g. "every order has at least one line").
+    in the schema (e.g. "every order has at least one line").  A check whose
+    parent table is not among ``tables`` is an error, never skipped.
     """
-    checks = [(fk.name, name, fk) for name in tables for fk in specs[name].foreign_keys
-              if fk.parent in tables]
+    checks = [(fk.name, name, fk) for name in tables for fk in specs[name].foreign_keys]
     checks += list(extra)
+    absent = sorted({f"{cname} ({fk.parent})" for cname, _, fk in checks if fk.parent not in tables})
+    if absent:
+        raise ValueError(f"foreign keys without their parent table: {', '.join(absent)}")
+    if not checks:
+        raise ValueError("no foreign key to check")
     parts = []
     for cname, child_name, fk in checks:
         o = fk_orphans(tables[child_name], fk, tables[fk.parent])

@@ -88,14 +88,14 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
 
 
 def fit_logistic(train: DataFrame, features: str = "features", label: str = "label",
-                 max_iter: int = 50, reg_param: float = 0.0):
+                 max_iter: int = 50, reg_param: float = 0.0, tol: float = 1e-6):
     """Fit ``pyspark.ml`` logistic regression (no regularisation by default).
 
     The estimator persists its input internally for the iterations.
     """
     from pyspark.ml.classification import LogisticRegression
     lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
-                            regParam=reg_param)
+                            regParam=reg_param, tol=tol)
     return lr.fit(train)
 
 
@@ -106,6 +106,24 @@ def score_model(model, df: DataFrame, out: str = "risk") -> DataFrame:
     return pred.withColumn(out, vector_to_array(F.col("probability")).getItem(1))
 
 
+def score_equations(model, train: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """``equation, value`` of the conditions an unregularised logistic fit with
+    an intercept meets on its training rows: the mean probability (4 digits;
+    it equals the positive share), and per feature ``x`` the residual moment
+    ``Σ x·(y − p) / Σ |x|`` (3 digits; 0)."""
+    p = F.col("_p")
+    scored = score_model(model, train, out="_p")
+    wide = scored.agg(
+        F.avg(p).alias("mean_probability"),
+        *[F.try_divide(F.sum(F.col(c) * (F.col(label) - p)), F.sum(F.abs(F.col(c)))).alias(f"residual {c}")
+          for c in features])
+    digits = {c: 4 if c == "mean_probability" else 3 for c in wide.columns}
+    # adding 0.0 turns a rounded -0.0 into 0.0
+    wide = wide.select(*[(F.round(F.coalesce(F.col(f"`{c}`"), F.lit(0.0)), d) + F.lit(0.0)).alias(c)
+                         for c, d in digits.items()])
+    return wide.unpivot([], wide.columns, "equation", "value")
+
+
 def auc_evaluator(pred: DataFrame, label: str = "label", raw: str = "rawPrediction") -> float:
     """Spark ML's area under ROC; NaN when the rows hold fewer than two classes."""
     classes = pred.select(label).distinct().limit(2).count()  # bounded probe
@@ -144,9 +162,11 @@ def auc_exact(df: DataFrame, score: str, label: str, digits: int = 4,
     h = score_histogram(df, score, label, digits)
     w = Window.orderBy("score_value").rowsBetween(Window.unboundedPreceding, -1)
     h = h.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)).cast("long"))
+    # products of two counts may pass 64 bits
+    wide = {c: F.col(c).cast("decimal(19,0)") for c in ("pos", "neg", "neg_below")}
     agg = h.agg(
-        F.sum(F.col("pos") * (F.col("neg_below") * 2 + F.col("neg"))).cast("long").alias("_num"),
-        F.sum("pos").cast("long").alias("_p"), F.sum("neg").cast("long").alias("_n"))
+        F.sum(wide["pos"] * (wide["neg_below"] + wide["neg_below"] + wide["neg"])).alias("_num"),
+        F.sum("pos").cast("decimal(19,0)").alias("_p"), F.sum("neg").cast("decimal(19,0)").alias("_n"))
     return agg.select(
         F.try_divide(F.col("_num").cast("double"),
-                     (F.col("_p") * F.col("_n") * 2).cast("double")).alias(out))
+                     (F.col("_p") * F.col("_n")).cast("double") * 2).alias(out))

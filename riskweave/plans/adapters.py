@@ -2,8 +2,7 @@
 
 The original application works on school tables (students, enrolments,
 attendance, grades, engagement, interventions).  The driver's tables hold
-none of those, so each role is a projection of them, cut at a fixed date so
-that facts used for a label never come from after the label's window:
+none of those, so each role is a projection of them.
 
 ================  ==========================================================
 role              definition
@@ -12,22 +11,27 @@ entity            customer: id, name, nation key, balance, segment
 area dimension    nation ⨝ region: area = nation name, region = region name
 status            per customer over *all* orders: lapsed when the last order
                   is before the cut-off; reason = priority of the last order
-order facts       per order before the cut-off: lines, returned lines,
-                  quantity sum, lines with quantity < 30 (0 for no lines)
+order facts       per order: lines, returned lines, quantity sum, lines with
+                  quantity < 30 (0 for no lines)
 activity          order facts: offered = lines, missed = returned lines
 marks             order facts with ≥1 line: mark = quantity / 5
 engagement        events per user: views, purchases, clicks
-actions           urgent orders before the cut-off (one row each)
-lines by part     lines of orders before the cut-off: part key, 1, returned
+actions           urgent orders (one row each)
+lines by part     lines: part key, 1, returned
 ================  ==========================================================
 
+Roles take all rows.  Only where a label is predicted (profile, scores,
+model) the order facts, marks and actions stop at the cut-off date, so that
+no feature comes from the time its label is taken from; elsewhere ``before``
+is left out.
+
 Scale notes.  ``order_facts`` reduces lineitem to one row per order *before*
 it meets orders (partial aggregation map-side, then a shuffle of one row per
 order); the join with orders is then 1:1 and the per-customer rollups see
 one row per order.  With ``all_orders=True`` the same pass also carries what
 the status needs, so the profile reads orders and lineitem once each
-(``flows.entity_orders``).  Small dimensions are broadcast only after their
-size is checked (``bounded_broadcast``).
+(``flows.entity_orders``).  Joins carry no hints: the planner broadcasts by
+measured size and AQE re-plans at run time.
 """
 
 from __future__ import annotations
@@ -47,31 +51,14 @@ RETURNED_FLAG = "R"                     # a "missed" line is a returned line
 LOW_QUANTITY = 30                       # quantity < 30 ⇔ mark < 6
 MARK_DIVISOR = 5.0                      # mark = quantity / 5 (0.2 .. 10)
 
-DIM_MAX_ROWS = 10_000                   # broadcast bound for dimension tables
-
 
 def cutoff_col():
     return F.lit(CUTOFF).cast("timestamp_ntz")
 
 
-_PROVEN: dict[tuple, bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The proof is a bounded probe (``limit(max_rows + 1).count()``), which
-    reads at most ``max_rows + 1`` rows.  Beyond the bound the frame is
-    returned unchanged and the planner / AQE choose the join.  A verdict is
-    reused within a session only for the same plan (semantic hash) over the
-    same input files.
-    """
-    key = (id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    small = _PROVEN.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _PROVEN[key] = small
-    return F.broadcast(df) if small else df
+def _before(df: DataFrame, column: str, before: str | None) -> DataFrame:
+    """Rows strictly before an instant; all rows where none is given."""
+    return df if before is None else df.where(F.col(column) < F.lit(before).cast("timestamp_ntz"))
 
 
 @dataclass
@@ -98,11 +85,10 @@ def entity(t: Tables) -> DataFrame:
         F.col("c_mktsegment").alias("segment"))
 
 
-def area_dim(t: Tables, broadcast: bool = True) -> DataFrame:
-    dim = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
+def area_dim(t: Tables) -> DataFrame:
+    return (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
            .select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("area"),
                    F.col("r_name").alias("region")))
-    return bounded_broadcast(dim) if broadcast else dim
 
 
 def status_columns(last: str = "_last", last_priority: str = "_last_priority") -> list:
@@ -143,17 +129,16 @@ def line_facts(t: Tables) -> DataFrame:
         .alias("n_low"))
 
 
-def order_facts(t: Tables, all_orders: bool = False) -> DataFrame:
+def order_facts(t: Tables, all_orders: bool = False, before: str | None = None) -> DataFrame:
     """Per order: urgent flag, line counts, quantity sums (0 if no lines).
 
-    By default only orders before the cut-off (the filter reaches the
+    All orders, or those ``before`` an instant (the filter reaches the
     scan).  ``all_orders=True`` keeps every order and adds ``early`` (before
     the cut-off), ``order_date`` and ``priority``, so one pass over orders
     can feed both the status (all orders) and the facts (early orders).
     """
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    if not all_orders:
-        orders = orders.where(F.col("o_orderdate") < cutoff_col())
+    orders = _before(t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+                     "o_orderdate", before)
     lines = line_facts(t)
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
     cols = [F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("entity_id"),
@@ -169,19 +154,19 @@ def order_facts(t: Tables, all_orders: bool = False) -> DataFrame:
     return joined.select(*cols)
 
 
-def activity(t: Tables, facts: DataFrame | None = None) -> DataFrame:
-    f = facts if facts is not None else order_facts(t)
+def activity(t: Tables, facts: DataFrame | None = None, before: str | None = None) -> DataFrame:
+    f = facts if facts is not None else order_facts(t, before=before)
     return f.select("entity_id", F.col("n_lines").alias("offered"),
                     F.col("n_returned").alias("missed"))
 
 
-def marks(t: Tables, facts: DataFrame | None = None) -> DataFrame:
+def marks(t: Tables, facts: DataFrame | None = None, before: str | None = None) -> DataFrame:
     """Orders with lines: quantity sum, line count, low marks (mark = quantity / 5).
 
     Marks are kept as integer-valued quantity sums so that rollups add exact
     numbers; the division by ``MARK_DIVISOR`` happens once, per entity.
     """
-    f = facts if facts is not None else order_facts(t)
+    f = facts if facts is not None else order_facts(t, before=before)
     return f.where(F.col("n_lines") > 0).select(
         "entity_id", "qty_sum", F.col("n_lines").alias("mark_count"),
         F.col("n_low").alias("low_marks"))
@@ -196,30 +181,23 @@ def engagement(t: Tables) -> DataFrame:
         F.when(et == "click", 1).otherwise(0).alias("clicks"))
 
 
-def actions(t: Tables, before_cutoff: bool = True) -> DataFrame:
-    o = t.orders.where(F.col("o_orderpriority") == URGENT_PRIORITY)
-    if before_cutoff:
-        o = o.where(F.col("o_orderdate") < cutoff_col())
+def actions(t: Tables, before: str | None = None) -> DataFrame:
+    o = _before(t.orders.where(F.col("o_orderpriority") == URGENT_PRIORITY), "o_orderdate", before)
     return o.select(F.col("o_custkey").alias("entity_id"), F.col("o_orderkey").alias("action_id"),
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("action_date"))
 
 
-def lines_by_part(t: Tables) -> DataFrame:
-    """Lines of orders before the cut-off (semi join), one row per line."""
-    early = t.orders.where(F.col("o_orderdate") < cutoff_col()).select(
-        F.col("o_orderkey").alias("l_orderkey"))
+def lines_by_part(t: Tables, before: str | None = None) -> DataFrame:
+    """Every line, or those of orders ``before`` an instant (semi join)."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag")
-    return li.join(early, "l_orderkey", "left_semi").select(
-        "l_partkey", F.lit(1).alias("offered"),
-        F.when(F.col("l_returnflag") == RETURNED_FLAG, 1).otherwise(0).alias("missed"))
+    if before is not None:
+        early = _before(t.orders, "o_orderdate", before)
+        li = li.join(early.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    return li.select("l_partkey", F.lit(1).alias("offered"),
+                     F.when(F.col("l_returnflag") == RETURNED_FLAG, 1).otherwise(0).alias("missed"))
 
 
 def part_dim(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_partkey").alias("part_key"), F.col("p_type").alias("part_type"),
                          F.col("p_name").alias("part_name"))
 
-
-def closed_orders(t: Tables) -> DataFrame:
-    """Finished orders (status F) with their priority — the 'reasons' source."""
-    return t.orders.where(F.col("o_orderstatus") == "F").select(
-        F.col("o_custkey").alias("entity_id"), F.col("o_orderpriority").alias("reason"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import clamp, ratio, ratio_half_up, round_half_up
 from riskweave.operators.aggregates import avg_by, count_by, rate_by, sum_by
 from riskweave.operators.profile import FlagRule, add_flags, build_profile
-from riskweave.operators.risk import band, hash_split, rule_score
+from riskweave.operators.risk import band, rule_score
 from riskweave.plans import adapters as A
 
 KEY = "entity_id"
@@ -68,13 +68,13 @@ def rule_terms():
 
 
 # -------------------------------------------------------------- fact rollups
-def entity_rates(t: A.Tables, facts: DataFrame | None = None) -> DataFrame:
-    return rate_by(A.activity(t, facts), KEY, "missed", "offered", num_total="missed_total",
+def entity_rates(t: A.Tables, before: str | None = None) -> DataFrame:
+    return rate_by(A.activity(t, before=before), KEY, "missed", "offered", num_total="missed_total",
                    den_total="offered_total", rate="miss_rate")
 
 
-def entity_marks(t: A.Tables, facts: DataFrame | None = None) -> DataFrame:
-    m = A.marks(t, facts).withColumn("mark_units", F.col("mark_count") * F.lit(A.MARK_DIVISOR))
+def entity_marks(t: A.Tables, before: str | None = None) -> DataFrame:
+    m = A.marks(t, before=before).withColumn("mark_units", F.col("mark_count") * F.lit(A.MARK_DIVISOR))
     # mean mark = Σ quantity / (5 · lines): integer-valued sums, one division
     return avg_by(m, KEY, sum_col="qty_sum", count_col="mark_units", out="avg_mark", digits=2,
                   extra=[F.sum("low_marks").cast("long").alias("low_marks")])
@@ -85,8 +85,8 @@ def entity_engagement(t: A.Tables) -> DataFrame:
                                           "clicks": "clicks"})
 
 
-def entity_actions(t: A.Tables, before_cutoff: bool = True) -> DataFrame:
-    return count_by(A.actions(t, before_cutoff), KEY, "action_count")
+def entity_actions(t: A.Tables, before: str | None = None) -> DataFrame:
+    return count_by(A.actions(t, before), KEY, "action_count")
 
 
 def entity_orders(t: A.Tables) -> DataFrame:
@@ -177,21 +177,20 @@ def detail_aggs() -> list:
             ratio(F.sum("l_quantity"), F.count(F.lit(1)) * F.lit(A.MARK_DIVISOR)).alias("avg_mark")]
 
 
-DETAIL_COLUMNS = ("entity_id", "part_key", "part_name", "lines", "total_missed", "avg_mark")
-
-
-def entity_detail_all(t: A.Tables) -> DataFrame:
-    """The entity-detail table for every entity: lines of orders before the
-    cut-off per (entity, part), with part names (left join)."""
-    orders = t.orders.where(F.col("o_orderdate") < A.cutoff_col()).select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity_id"))
-    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity") \
-        .join(orders, "l_orderkey", "inner")
-    agg = lines.groupBy("entity_id", "l_partkey").agg(*detail_aggs())
+def with_part_names(t: A.Tables, agg: DataFrame) -> DataFrame:
+    """Name the parts of a detail table (left join)."""
     named = agg.join(A.part_dim(t), agg.l_partkey == F.col("part_key"), "left")
     return named.select("entity_id", F.col("l_partkey").alias("part_key"), "part_name",
                         "lines", "total_missed", "avg_mark")
 
 
-def split(prof: DataFrame, train_pct: int = 80) -> DataFrame:
-    return hash_split(prof, KEY, train_pct)
+DETAIL_COLUMNS = ("entity_id", "part_key", "part_name", "lines", "total_missed", "avg_mark")
+
+
+def entity_detail(t: A.Tables) -> DataFrame:
+    """Lines per (entity, part) of every entity; part names are joined at read
+    time (``with_part_names``), so the stored table does not carry them."""
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity_id"))
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity").join(
+        orders, "l_orderkey", "inner")
+    return lines.groupBy("entity_id", "l_partkey").agg(*detail_aggs())

@@ -9,6 +9,7 @@ rounding rules (see ``riskweave.functions``) into SQL expressions.
 from __future__ import annotations
 
 from riskweave.plans import adapters as A
+from riskweave.plans import flows
 from riskweave.plans import queries as QY
 from riskweave.sources.schemas import DRIVER
 
@@ -48,6 +49,10 @@ def short_pct(x: str) -> str:
     return f"(CAST({u} // 100 AS VARCHAR) || '.' || {tail} || '%')"
 
 
+def thousands(x: str) -> str:
+    return f"replace(format('{{:,}}', CAST({x} AS BIGINT)), ',', '.')"
+
+
 def flag(cond: str) -> str:
     return f"CAST(CASE WHEN {cond} THEN 1.0 ELSE 0.0 END AS DOUBLE)"
 
@@ -71,6 +76,9 @@ ORDER_FACTS = f"""order_facts AS (
   FROM orders o LEFT JOIN lines l ON o.o_orderkey = l.l_orderkey
   WHERE o.o_orderdate < {C})"""
 
+# all orders, for queries that predict nothing
+ALL_ORDER_FACTS = ORDER_FACTS.replace(f"\n  WHERE o.o_orderdate < {C}", "")
+
 RATES = """rates AS (
   SELECT entity_id, CAST(sum(n_lines) AS BIGINT) AS offered_total,
          CAST(sum(n_returned) AS BIGINT) AS missed_total,
@@ -94,6 +102,8 @@ ACTS = f"""acts AS (
   SELECT o_custkey AS entity_id, count(*) AS action_count FROM orders
   WHERE o_orderpriority = '1-URGENT' AND o_orderdate < {C} GROUP BY o_custkey)"""
 
+ALL_ACTS = ACTS.replace(f" AND o_orderdate < {C}", "")
+
 STATUS = f"""status AS (
   SELECT o_custkey AS entity_id,
          CASE WHEN max(o_orderdate) < {C} THEN 'lapsed' ELSE 'active' END AS status,
@@ -134,13 +144,13 @@ def profile_ctes(how: str = "JOIN") -> str:
     return ",\n".join([LINES, ORDER_FACTS, RATES, MARKS, ENG, ACTS, STATUS, DIM, prof0, prof])
 
 
-ENG_RATE = ("greatest(0.0, least(1.0, (CAST(views AS DOUBLE) / 160.0 "
-            "+ CAST(purchases AS DOUBLE) / 210.0) / 2.0))")
+ENG_RATE = ("CASE WHEN views IS NOT NULL THEN greatest(0.0, least(1.0, (CAST(views AS DOUBLE) / 160.0 "
+            "+ CAST(purchases AS DOUBLE) / 210.0) / 2.0)) END")
 SCORE = ("-3.1 + 3.0 * miss_rate + 1.6 * (greatest(0.0, 6.0 - avg_mark) / 6.0) "
          "+ 0.9 * low_balance + 0.8 * no_purchases + 0.7 * no_actions + 0.6 * high_missed "
          "+ -0.8 * engagement_rate")
 
-SCORED_CTES = profile_ctes() + f""",
+SCORED_TAIL = f""",
 rs AS (SELECT *, {ENG_RATE} AS engagement_rate FROM prof),
 rs2 AS (SELECT *, 1.0 / (1.0 + exp(-({SCORE}))) AS risk_raw FROM rs),
 scored AS (
@@ -153,6 +163,9 @@ scored AS (
          action_count
   FROM rs2)"""
 
+SCORED_CTES = profile_ctes() + SCORED_TAIL
+SCORED_LEFT_CTES = profile_ctes("LEFT JOIN") + SCORED_TAIL
+
 FILTER = ("risk_band IN ('Alto', 'Medio') AND region IN ('AMERICA', 'ASIA', 'EUROPE') "
           "AND segment IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY') AND miss_rate >= 0.10")
 
@@ -184,7 +197,6 @@ DIM_RATE = f"""dim_rate AS (
   SELECT p.p_type AS part_type, count(*) AS offered_total,
          CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS missed_total
   FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
-  WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderdate < {C})
   GROUP BY p.p_type),
 dim_rate2 AS (
   SELECT *, {half_up("missed_total", "offered_total", 4)} AS miss_rate FROM dim_rate)"""
@@ -248,9 +260,9 @@ def _lit(s: str) -> str:
 
 
 SQL: dict[str, str] = {
-    "q_rate_by_entity": _w(LINES, ORDER_FACTS, RATES) + "SELECT * FROM rates",
+    "q_rate_by_entity": _w(LINES, ALL_ORDER_FACTS, RATES) + "SELECT * FROM rates",
     "q_rate_by_dim": _w(DIM_RATE) + "SELECT * FROM dim_rate2",
-    "q_marks": _w(LINES, ORDER_FACTS, MARKS) + "SELECT * FROM marks",
+    "q_marks": _w(LINES, ALL_ORDER_FACTS, MARKS) + "SELECT * FROM marks",
     "q_engagement": _w(ENG) + "SELECT * FROM eng",
     "q_label": (_w(STATUS) + "SELECT *, " + flag("status = 'lapsed'")
                 + " AS lapsed_label FROM status"),
@@ -258,14 +270,20 @@ SQL: dict[str, str] = {
                                      "no_actions, no_purchases, low_marks FROM prof"),
     "q_profile": _w(profile_ctes()) + "SELECT * FROM prof",
     "q_profile_left": _w(profile_ctes("LEFT JOIN")) + "SELECT * FROM prof",
-    "q_left_fill": _w(ACTS) + ("SELECT c_custkey AS entity_id, c_name AS name, "
+    "q_left_fill": _w(ALL_ACTS) + ("SELECT c_custkey AS entity_id, c_name AS name, "
                                "coalesce(a.action_count, 0) AS action_count FROM customer c "
                                "LEFT JOIN acts a ON a.entity_id = c.c_custkey"),
     "q_rule_score": _w(SCORED_CTES) + (f"SELECT entity_id, {rnd('engagement_rate', 4)} AS "
                                         f"engagement_rate, {rnd('risk_raw', 4)} AS risk FROM rs2"),
     "q_scored": _w(SCORED_CTES) + "SELECT * FROM scored",
-    "q_targeting": _w(SCORED_CTES) + ("SELECT entity_id, risk, miss_rate, avg_mark FROM scored "
-                                      "WHERE risk > 0.35 OR miss_rate > 0.22 OR avg_mark < 5.8"),
+    "q_targeting": _w(SCORED_CTES) + f"""SELECT * FROM (
+  SELECT entity_id, risk_raw > {QY.TARGET_RISK} AS by_risk, miss_rate > {QY.TARGET_RATE} AS by_rate,
+         avg_mark < {QY.TARGET_MARK} AS by_mark FROM rs2) r
+WHERE by_risk OR by_rate OR by_mark""",
+    "q_engagement_clamped": _w(profile_ctes("LEFT JOIN")) + f"""SELECT entity_id, r AS rate, r = 1.0 AS at_limit
+FROM (SELECT entity_id, CASE WHEN views IS NOT NULL THEN least(1.0, greatest(0.0,
+        CAST(views + purchases AS DOUBLE) / {QY.CLAMP_SCALE} / 2.0)) END AS r FROM prof) p""",
+    "q_scored_left": _w(SCORED_LEFT_CTES) + "SELECT * FROM scored",
     "q_split": ("SELECT c_custkey AS entity_id, " + bucket("c_custkey") + " AS bucket, "
                 "CASE WHEN " + bucket("c_custkey") + " < 80 THEN 'train' ELSE 'test' END AS split "
                 "FROM customer"),
@@ -283,10 +301,20 @@ FROM (SELECT reason, count(*) AS entities FROM scored WHERE status = 'lapsed' GR
        {avg_units("avg_mark", 2)} AS avg_mark,
        (SELECT {rnd("auc", 4)} FROM auc) AS model_auc
 FROM scored""",
-    "q_facets": _w(SCORED_CTES) + """SELECT DISTINCT 'risk_band' AS facet, risk_band AS value
-FROM scored
+    "q_facets": _w(SCORED_CTES) + """SELECT facet, value,
+       row_number() OVER (PARTITION BY facet ORDER BY CASE WHEN facet <> 'risk_band' THEN value END NULLS LAST,
+                                   CASE WHEN facet = 'risk_band' THEN value END DESC NULLS LAST) AS position
+FROM (SELECT DISTINCT 'risk_band' AS facet, risk_band AS value FROM scored
 UNION ALL SELECT DISTINCT 'region' AS facet, region AS value FROM scored
-UNION ALL SELECT DISTINCT 'segment' AS facet, segment AS value FROM scored""",
+UNION ALL SELECT DISTINCT 'segment' AS facet, segment AS value FROM scored) f""",
+    "q_volume_cards": _w(SCORED_CTES) + f"""SELECT population, n_filtered, actions, views,
+       {thousands("population")} AS population_text, {thousands("n_filtered")} AS filtered_text,
+       {thousands("actions")} AS actions_text, {thousands("views")} AS views_text,
+       CASE WHEN population = 0 THEN '-'
+            ELSE {pct1("CAST(n_filtered AS DOUBLE) / CAST(population AS DOUBLE)")} END AS share_text
+FROM (SELECT (SELECT count(*) FROM customer) AS population, count(*) FILTER (WHERE {FILTER}) AS n_filtered,
+             CAST(coalesce(sum(action_count) FILTER (WHERE {FILTER}), 0) AS BIGINT) AS actions,
+             CAST(coalesce(sum(views) FILTER (WHERE {FILTER}), 0) AS BIGINT) AS views FROM scored) c""",
     "q_filtered_extract": _w(SCORED_CTES) + f"SELECT * FROM scored WHERE {FILTER}",
     "q_filter_share": _w(SCORED_CTES) + f"""SELECT n_total, n_filtered,
        {half_up("n_filtered", "n_total", 4)} AS filter_share,
@@ -313,40 +341,54 @@ FROM scored""",
        replace(format('{{:,}}', CAST(trunc(balance) AS BIGINT)), ',', '.') AS balance_text,
        replace(format('{{:,}}', views * 1000), ',', '.') AS views_text
 FROM scored""",
-    "q_entity_detail": _w(SCORED_CTES) + f""", top AS (
-  SELECT entity_id FROM scored ORDER BY risk DESC NULLS LAST, entity_id LIMIT 1)
-SELECT (SELECT entity_id FROM top) AS entity_id,
-       l.l_partkey AS part_key, p.p_name AS part_name, count(*) AS lines,
-       CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS total_missed,
-       sum(l.l_quantity) / CAST(count(*) * 5 AS DOUBLE) AS avg_mark
-FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
-WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders
-                       WHERE o_custkey = (SELECT entity_id FROM top) AND o_orderdate < {C})
-GROUP BY l.l_partkey, p.p_name""",
-    "q_entity_detail_all": f"""SELECT o.o_custkey AS entity_id, l.l_partkey AS part_key,
+    "q_entity_detail": _w(SCORED_CTES) + """, top AS (
+  SELECT entity_id FROM scored ORDER BY risk DESC NULLS LAST, entity_id LIMIT 1),
+d AS (
+  SELECT o.o_custkey AS entity_id,
+         l.l_partkey AS part_key, p.p_name AS part_name, count(*) AS lines,
+         CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS total_missed,
+         sum(l.l_quantity) / CAST(count(*) * 5 AS DOUBLE) AS avg_mark
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  LEFT JOIN part p ON p.p_partkey = l.l_partkey
+  WHERE o.o_custkey IN (SELECT entity_id FROM top)
+  GROUP BY o.o_custkey, l.l_partkey, p.p_name)
+SELECT *, row_number() OVER (ORDER BY total_missed DESC, part_key) AS by_missed,
+       row_number() OVER (ORDER BY avg_mark, part_key) AS by_mark FROM d""",
+    "q_entity_tables": _w(SCORED_CTES) + f""", top AS (
+  SELECT * FROM scored ORDER BY risk DESC NULLS LAST, entity_id LIMIT 1),
+c AS (
+  SELECT 'scores' AS table_name, count(*) AS rows FROM scored WHERE entity_id = (SELECT entity_id FROM top)
+  UNION ALL SELECT 'customer', count(*) FROM customer WHERE c_custkey = (SELECT entity_id FROM top)
+  UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_custkey = (SELECT entity_id FROM top)
+  UNION ALL SELECT 'events', count(*) FROM events WHERE user_id = (SELECT entity_id FROM top)
+  UNION ALL SELECT 'actions', count(*) FROM orders
+    WHERE o_custkey = (SELECT entity_id FROM top) AND o_orderpriority = '1-URGENT')
+SELECT table_name, rows, (SELECT entity_id FROM top) AS entity_id,
+       (SELECT {pct1("risk")} FROM top) AS risk_text, (SELECT {pct1("miss_rate")} FROM top) AS rate_text,
+       (SELECT printf('%.2f', avg_mark) FROM top) AS mark_text
+FROM c""",
+    "q_entity_detail_all": """SELECT o.o_custkey AS entity_id, l.l_partkey AS part_key,
        p.p_name AS part_name, count(*) AS lines,
        CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS total_missed,
        sum(l.l_quantity) / CAST(count(*) * 5 AS DOUBLE) AS avg_mark
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 LEFT JOIN part p ON p.p_partkey = l.l_partkey
-WHERE o.o_orderdate < {C}
 GROUP BY o.o_custkey, l.l_partkey, p.p_name""",
-    "q_hist": _w(SCORED_CTES) + """, nb AS (
-  SELECT least(40, greatest(20, count(*) // 100)) AS b FROM scored),
-hb AS (SELECT CAST(least(floor((risk - 0.0) / (CAST(1.0 AS DOUBLE) / nb.b)), nb.b - 1)
-                   AS INTEGER) AS bin,
-              risk_band, CAST(1.0 AS DOUBLE) / nb.b AS width
+    "q_hist": _w(SCORED_CTES) + f""", nb AS (
+  SELECT CAST(least(40, greatest(20, count(*) // 100)) AS BIGINT) AS b FROM scored),
+hb AS (SELECT least({units("risk", 4)} * nb.b // 10000, nb.b - 1) AS bin, risk_band, nb.b
        FROM scored, nb WHERE risk IS NOT NULL)
-SELECT bin, risk_band, count(*) AS entities, 0.0 + bin * any_value(width) AS bin_lo,
-       0.0 + (bin + 1) * any_value(width) AS bin_hi
-FROM hb GROUP BY bin, risk_band""",
+SELECT CAST(bin AS INTEGER) AS bin, risk_band, count(*) AS entities,
+       CAST(bin AS DOUBLE) / CAST(b AS DOUBLE) AS bin_lo, CAST(bin + 1 AS DOUBLE) / CAST(b AS DOUBLE) AS bin_hi
+FROM hb GROUP BY bin, risk_band, b""",
     "q_box": _w(SCORED_CTES) + f"""SELECT risk_band, count(*) AS n, min(r) AS min,
        {rnd("quantile_cont(r, 0.25)", 6)} AS q1,
        {rnd("quantile_cont(r, 0.5)", 6)} AS median,
        {rnd("quantile_cont(r, 0.75)", 6)} AS q3, max(r) AS max
 FROM (SELECT risk_band, {rnd("risk", 4)} AS r FROM scored WHERE risk IS NOT NULL) s
 GROUP BY risk_band""",
-    "q_top_n": _w(SCORED_CTES) + f"""SELECT {SCORED_COLS} FROM scored
+    "q_top_n": _w(SCORED_CTES) + f"""SELECT {SCORED_COLS},
+       row_number() OVER (ORDER BY risk DESC NULLS LAST, entity_id) AS position FROM scored
 QUALIFY row_number() OVER (ORDER BY risk DESC NULLS LAST, entity_id) <= {TOPN}""",
     "q_top_area": _w(SCORED_CTES, BY_AREA) + (
         "SELECT * FROM by_area2 ORDER BY lapsed_rate DESC NULLS LAST, area "
@@ -365,20 +407,49 @@ FROM scored WHERE {FILTER}
 QUALIFY row_number() OVER (ORDER BY scored.risk DESC NULLS LAST, entity_id) <= {TOPN}""",
     "q_fk_orphans": _fk_sql(),
     "q_pk_violations": _pk_sql(),
-    "q_null_counts": _null_sql(),
+    "q_null_counts": _w(profile_ctes("LEFT JOIN")) + _null_sql() + "".join(
+        f"\nUNION ALL\nSELECT 'profile_left' AS table_name, '{c}' AS column_name, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM prof"
+        for c in ("miss_rate", "avg_mark", "views", "purchases", "action_count", "reason")),
+    "q_fk_event_users": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS constraint_name, '{child}' AS child_table, count(DISTINCT k) AS orphan_keys, "
+        f"count(*) AS orphan_rows FROM (SELECT {col} AS k FROM {src}) c "
+        f"WHERE k IS NOT NULL AND k NOT IN (SELECT {pcol} FROM {parent} WHERE {pcol} IS NOT NULL)"
+        for name, child, col, src, pcol, parent in (
+            ("viewers_buy", "views", "user_id", "(SELECT user_id FROM events WHERE event_type = 'view') v",
+             "user_id", "(SELECT user_id FROM events WHERE event_type = 'purchase') b"),
+            ("buyers_order", "buyers", "user_id", "(SELECT user_id FROM events WHERE event_type = 'purchase') b",
+             "o_custkey", "orders"),
+            ("customers_view", "orders", "o_custkey", "orders",
+             "user_id", "(SELECT user_id FROM events WHERE event_type = 'view') v"))),
     "q_optional_source": _optional_sql(),
     "q_run_manifest": f"""SELECT (SELECT count(*) FROM customer) AS entities_count,
-       (SELECT count(*) FROM orders WHERE o_orderdate < {C}) AS activity_rows,
-       (SELECT count(*) FROM orders o WHERE o_orderdate < {C}
-          AND EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)) AS marks_rows,
+       (SELECT count(*) FROM orders) AS activity_rows,
+       (SELECT count(*) FROM orders o
+          WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)) AS marks_rows,
        (SELECT count(*) FROM events) AS engagement_rows,
-       (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT'
-          AND o_orderdate < {C}) AS actions_rows,
+       (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT') AS actions_rows,
        CAST({QY.SEED} AS BIGINT) AS seed""",
+    "q_ml_split": _w(SCORED_CTES) + f"""SELECT entity_id,
+       CASE WHEN {bucket("entity_id")} < 80 THEN 'train' ELSE 'test' END AS split, true AS is_probability
+FROM scored""",
+    "q_ml_calibration": _w(profile_ctes()) + f"""SELECT 'mean_probability' AS equation,
+       round(avg(lapsed_label), 4) AS value FROM prof WHERE {bucket("entity_id")} < 80
+""" + "".join(f"UNION ALL SELECT 'residual {c}', CAST(0 AS DOUBLE)\n" for c in flows.MODEL_FEATURES),
 }
 SQL["q_csv_roundtrip"] = SQL["q_scored"]
 SQL["q_parquet_roundtrip"] = SQL["q_profile"]
-SQL["q_publish_run"] = SQL["q_kpis"]
+SQL["q_publish_run"] = _w(SCORED_CTES, DIM_RATE) + """, c AS (
+  SELECT 'profile' AS dataset, count(*) AS rows, ['parquet'] AS formats FROM prof
+  UNION ALL SELECT 'scores', count(*), ['parquet', 'csv'] FROM scored
+  UNION ALL SELECT 'by_area', count(*), ['parquet', 'csv'] FROM (SELECT DISTINCT area FROM scored) a
+  UNION ALL SELECT 'rate_by_dim', count(*), ['parquet', 'csv'] FROM dim_rate2
+  UNION ALL SELECT 'reasons', count(*), ['parquet', 'csv']
+    FROM (SELECT DISTINCT reason FROM scored WHERE status = 'lapsed') r
+  UNION ALL SELECT 'kpis', 1, ['parquet', 'csv']
+  UNION ALL SELECT 'entity_detail', count(*), ['parquet']
+    FROM (SELECT DISTINCT o.o_custkey, l.l_partkey FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey) e)
+SELECT dataset, unnest(formats) AS format, rows FROM c"""
 
 # Queries without an SQL form (model fit): checked on rows and by unit tests.
 NO_ORACLE = ("q_ml_scores", "q_ml_auc")

@@ -34,21 +34,31 @@ SCORED_SCHEMA = T.StructType([
 ])
 
 
-def fit_and_score(prof: DataFrame, features=flows.MODEL_FEATURES, label: str = "lapsed_label",
-                  train_pct: int = 80, max_iter: int = 50,
-                  thresholds=flows.RULE_THRESHOLDS) -> tuple[DataFrame, float]:
-    """Fit logistic regression on the train split, score everyone, evaluate on test.
+def fit_model(prof: DataFrame, features=flows.MODEL_FEATURES, label: str = "lapsed_label",
+              train_pct: int = 80, max_iter: int = 50, tol: float = 1e-6):
+    """Assembled rows with their split, and the logistic model of the train rows.
 
-    Returns the scored table (with ``split`` and the label) and the held-out
-    AUC from Spark ML's evaluator.  A NULL feature is an error, reported
-    before the fit (the assembler's own check is lazy and fires late).
+    A NULL feature is an error, reported before the fit (the assembler's own
+    check is lazy and fires late).
     """
     prof = R.materialize(prof)
     nulls = {c: n for c, n in R.null_feature_counts(prof, features).items() if n}
     if nulls:
         raise ValueError(f"NULL model features (rows per column): {nulls}")
     data = R.assemble(R.hash_split(prof, "entity_id", train_pct), features)
-    model = R.fit_logistic(data.where(F.col("split") == "train"), label=label, max_iter=max_iter)
+    model = R.fit_logistic(data.where(F.col("split") == "train"), label=label, max_iter=max_iter, tol=tol)
+    return data, model
+
+
+def fit_and_score(prof: DataFrame, features=flows.MODEL_FEATURES, label: str = "lapsed_label",
+                  train_pct: int = 80, max_iter: int = 50,
+                  thresholds=flows.RULE_THRESHOLDS) -> tuple[DataFrame, float]:
+    """Fit logistic regression on the train split, score everyone, evaluate on test.
+
+    Returns the scored table (with ``split`` and the label) and the held-out
+    AUC from Spark ML's evaluator.
+    """
+    data, model = fit_model(prof, features, label, train_pct, max_iter)
     pred = R.score_model(model, data, out="risk_raw")
     auc = R.auc_evaluator(pred.where(F.col("split") == "test"), label=label)
     out = flows.scored(pred, "risk_raw", thresholds, extra=("split", label))
@@ -62,7 +72,7 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, method: str = "rule",
     ``out_root``.
 
     ``entity_detail`` (per entity and part) is written globally sorted by
-    ``(entity_id, part_key)``: the sort range-partitions it, so every file
+    ``(entity_id, l_partkey)``: the sort range-partitions it, so every file
     holds a disjoint, ordered slice of entities and parquet's row-group
     min/max statistics let a lookup (``entity_detail``) skip all data of
     other entities instead of scanning lineitem.
@@ -81,7 +91,7 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, method: str = "rule",
     # partitioned by band (3 values): a band filter reads only its directories
     io.publish(scored, out_root, "gold", "scores", formats=fmts, partition_by=["risk_band"],
                sort_by=[F.col("risk_band"), F.col("risk").desc(), F.col("entity_id")])
-    scored = io.read_dataset(spark, out_root, "gold", "scores")
+    scored = io.read_dataset(spark, out_root, "gold", "scores").select(*scored.columns)
     if auc is None:
         test = R.hash_split(scored, "entity_id").where(F.col("split") == "test").withColumn(
             "lapsed_label", F.when(F.col("status") == A.LAPSED, 1).otherwise(0))
@@ -103,12 +113,37 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, method: str = "rule",
                sort_by=[F.col("entities").desc(), F.col("reason")], **small)
     k = IND.kpis(scored, "status", A.LAPSED, auc=auc, names={"positives": "lapsed"})
     io.publish(k, out_root, "gold", "kpis", **small)
-    io.publish(flows.entity_detail_all(t), out_root, "gold", "entity_detail",
-               sort_by=[F.col("entity_id"), F.col("part_key")])
+    io.publish(flows.entity_detail(t), out_root, "gold", "entity_detail",
+               sort_by=[F.col("entity_id"), F.col("l_partkey")])
     written.update({"gold": f"{out_root}/gold"})
     return written
 
 
+#: Published datasets: layer, name, formats.
+DATASETS = (("silver", "profile", ("parquet",)), ("gold", "scores", ("parquet", "csv")),
+            ("gold", "by_area", ("parquet", "csv")), ("gold", "rate_by_dim", ("parquet", "csv")),
+            ("gold", "reasons", ("parquet", "csv")), ("gold", "kpis", ("parquet", "csv")),
+            ("gold", "entity_detail", ("parquet",)))
+
+
+def published_counts(spark: SparkSession, out_root: str) -> DataFrame:
+    """``dataset, format, rows`` of everything ``run`` published, read back
+    (CSV with the schema of its parquet copy, malformed rows an error)."""
+    parts = []
+    for layer, name, formats in DATASETS:
+        stored = io.read_dataset(spark, out_root, layer, name)
+        # partition columns come last in the stored schema but not in the CSV
+        columns = SCORED_SCHEMA if name == "scores" else stored.schema
+        for fmt in formats:
+            df = io.read_dataset(spark, out_root, layer, name, fmt, schema=columns) if fmt == "csv" else stored
+            parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("dataset"), F.lit(fmt).alias("format"), "rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def entity_detail(spark: SparkSession, out_root: str, entity_id: int) -> DataFrame:
     """One entity's detail rows from the published, entity-clustered table.
 
@@ -127,4 +162,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
                         rate_name="lapsed_rate")
 
 
-__all__ = ["SCORED_SCHEMA", "fit_and_score", "run", "flagship", "entity_detail"]
+__all__ = ["SCORED_SCHEMA", "fit_model", "fit_and_score", "run", "published_counts", "flagship",
+           "entity_detail"]

@@ -38,7 +38,6 @@ from riskweave.operators import indicators as IND
 from riskweave.operators import risk as R
 from riskweave.operators.aggregates import avg_by, count_by, rate_by, rate_by_dim, sum_by
 from riskweave.operators.profile import FlagRule, add_flags, build_profile
-from riskweave.plans.adapters import bounded_broadcast
 from riskweave.session import configure
 from riskweave.sources import io
 
@@ -110,7 +109,7 @@ def student_profile(b: dict[str, DataFrame], how: str = "inner",
     prof = build_profile(
         b["students"], KEY,
         attributes=[b["socioeconomic"], b["enrollments"]],
-        dimension=(bounded_broadcast(b["classes"]), "class_id"),
+        dimension=(b["classes"], "class_id"),
         facts=[attendance_features(facts["attendance"]), grade_features(facts["grades"]),
                engagement_features(facts["digital_engagement"])],
         how=how,

@@ -82,7 +82,7 @@ def filtered(scores: DataFrame, bands: Sequence[str] | None = None,
 
 
 def facet_options(scores: DataFrame) -> DataFrame:
-    return X.facets(scores, ["risk_band", "shift", "grade_level"])
+    return X.facets(scores, ["risk_band", "shift", "grade_level"], descending=["risk_band"])
 
 
 def kpi_cards(kpis: DataFrame) -> DataFrame:
@@ -122,8 +122,8 @@ def scatter(filt: DataFrame, n: int = SCATTER_ROWS) -> DataFrame:
 
 def priority_table(filt: DataFrame, top_n: int) -> DataFrame:
     rows = X.top_n(filt, "dropout_risk", top_n, "student_id").select(*PRIORITY_COLUMNS)
-    return X.as_text(rows, {"dropout_risk": short_percent_text("dropout_risk"),
-                            "absence_rate": short_percent_text("absence_rate")})
+    return rows.withColumns({"dropout_risk": short_percent_text("dropout_risk"),
+                             "absence_rate": short_percent_text("absence_rate")})
 
 
 def student_detail(scores: DataFrame, bronze: dict[str, DataFrame], student_id: int,

@@ -51,11 +51,7 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply our defaults to an existing session where they are unset."""
     conf = spark.conf
     for k, v in _DEFAULTS.items():
-        if k == "spark.sql.session.timeZone":
-            # results over timestamp_ntz columns do not depend on it, but
-            # rendered dates do; pin it so text output is stable
-            conf.set(k, v)
-        elif conf.get(k, None) is None:
+        if conf.get(k, None) is None:
             conf.set(k, v)
     return spark
 
@@ -87,7 +83,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root and sc is not None and sc.getCheckpointDir():
         root = sc.getCheckpointDir()
     if not root:
-        root = os.environ.get("RISKWEAVE_SCRATCH") or "/tmp/riskweave-shared"
+        root = os.environ.get("RISKWEAVE_SCRATCH")
+        if not root:
+            master = sc.master if sc is not None else ""
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            root = "/tmp/riskweave-shared"
         try:
             spark.conf.set("spark.checkpoint.dir", root)
         except Exception:  # a session may reject core settings at run time

@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 
 from riskweave.sources.schemas import nullable_schema, spec
 
+#: Largest dataset that is written as one CSV file.
+SINGLE_FILE_ROWS = 100_000
+
 _EXT = {"parquet": "parquet", "csv": "csv"}
 
 
@@ -56,6 +59,9 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
             return (reader.option("header", True).option("mode", "FAILFAST")
                     .option("enforceSchema", False)
                     .option("dateFormat", "yyyy-MM-dd").csv(target))
+        absent = [c for c in sch.fieldNames() if c not in spark.read.parquet(target).columns]
+        if absent:  # a declared schema would read them as NULL in every row
+            raise ValueError(f"{target} has no column {', '.join(absent)}")
         return reader.parquet(target)
     except AnalysisException as exc:
         if on_missing == "empty" and _is_missing(exc):
@@ -73,39 +79,40 @@ def publish(df: DataFrame, root: str, layer: str, name: str,
             partition_by: list[str] | None = None) -> dict[str, str]:
     """Overwrite ``<root>/<layer>/<name>_<fmt>`` for each format.
 
-    The plan runs once: parquet is written first and every other format is
-    written from the parquet copy.  ``single_csv_file`` (one CSV part) is
-    meant only for small aggregates.  ``sort_by`` orders rows at the sink
-    only — upstream plans stay unsorted.  ``skip_empty`` writes nothing for
-    an empty frame (one cheap ``isEmpty`` probe).  ``partition_by`` writes
-    one directory per value of low-cardinality columns, so readers filtering
-    on them prune whole directories; lead ``sort_by`` with the same columns
-    so the writer needs no extra sort.  Returns written paths.
+    With several formats the plan runs once: parquet is written first and the
+    CSV copy is written from it; a CSV alone leaves no parquet behind.
+    ``single_csv_file`` asks for one CSV part and is honoured only up to
+    ``SINGLE_FILE_ROWS`` rows.  ``sort_by`` orders rows at the sink only —
+    upstream plans stay unsorted — and once: the CSV copy is not sorted
+    again.  ``partition_by`` writes one parquet directory per value of
+    low-cardinality columns, so readers filtering on them prune whole
+    directories; CSV files always hold every column.  With ``skip_empty`` an
+    empty frame writes the format's empty dataset, so nothing of an earlier
+    run stays readable, and no path is returned.  Returns written paths.
     """
     formats = list(formats)
     if skip_empty and df.isEmpty():
+        publish(df, root, layer, name, formats)
         return {}
     spark = df.sparkSession
     out: dict[str, str] = {}
-    pq = dataset_path(root, layer, name, "parquet")
     src = df.orderBy(*sort_by) if sort_by else df
-    writer = src.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(pq)
     if "parquet" in formats:
+        pq = dataset_path(root, layer, name, "parquet")
+        writer = src.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(pq)
         out["parquet"] = pq
+        # partition columns move to the end of the stored schema: name them in their order
+        src = spark.read.schema(df.schema).parquet(pq).select(*df.columns)
     if "csv" in formats:
-        stored = spark.read.parquet(pq)
-        if sort_by:
-            stored = stored.orderBy(*sort_by)
-        if single_csv_file:
-            stored = stored.coalesce(1)
+        if single_csv_file and src.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
+            # few rows: sort them in the one file
+            src = src.coalesce(1)
+            src = src.sortWithinPartitions(*sort_by) if sort_by else src
         path = dataset_path(root, layer, name, "csv")
-        cw = stored.write.mode("overwrite").option("header", True)
-        if partition_by:
-            cw = cw.partitionBy(*partition_by)
-        cw.csv(path)
+        src.write.mode("overwrite").option("header", True).csv(path)
         out["csv"] = path
     return out
 
@@ -115,11 +122,29 @@ def read_dataset(spark: SparkSession, root: str, layer: str, name: str,
     """Read a published dataset (all part files).  Missing → AnalysisException."""
     path = dataset_path(root, layer, name, fmt)
     if fmt == "csv":
-        reader = spark.read.option("header", True)
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-        return reader.csv(path)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+        if schema is None:
+            raise ValueError("a CSV dataset is read with its declared schema")
+        return read_csv(spark, path, schema)
+    stored = spark.read.parquet(path)
+    if schema is None:
+        return stored
+    absent = [c for c in schema.fieldNames() if c not in stored.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A headed CSV with its declared schema; a malformed row is an error."""
+    return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+            .option("enforceSchema", False).csv(path))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own on whatever file system it lies on."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
 def write_csv_extract(df: DataFrame, path: str) -> str:
@@ -164,8 +189,8 @@ def run_manifest(tables: Mapping[str, DataFrame], names: Mapping[str, str],
     row = keyed.select(*[F.col(f"`{t}`").cast("long").alias(f) for f, t in names.items()])
     for k, v in facts.items():
         row = row.withColumn(k, F.lit(v))
-    row = row.withColumn(
-        "generated_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    row = row.withColumn("generated_at", F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     return row.select(*fields, *facts.keys(), "generated_at")
 
 

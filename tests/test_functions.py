@@ -28,6 +28,7 @@ def test_round_half_up_and_clamp(spark):
     assert one(spark, RF.clamp(F.lit(1.7), 0.0, 1.0)) == 1.0
     assert one(spark, RF.clamp(F.lit(-0.2), 0.0, 1.0)) == 0.0
     assert one(spark, RF.clamp(F.lit(0.3), 0.0, 1.0)) == 0.3
+    assert one(spark, RF.clamp(F.lit(None).cast("double"), 0.0, 1.0)) is None
 
 
 def test_band_thresholds_inclusive(spark):

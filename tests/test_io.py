@@ -44,9 +44,45 @@ def test_publish_parquet_and_csv_roundtrip(spark, scratch):
 
 
 def test_publish_skips_empty(spark, scratch):
+    full = spark.createDataFrame([(1, None, "x")], SCH)
+    io.publish(full, scratch, "bronze", "none", formats=("parquet", "csv"))
     df = spark.createDataFrame([], SCH)
-    assert io.publish(df, scratch, "bronze", "none", skip_empty=True) == {}
-    assert not os.path.exists(io.dataset_path(scratch, "bronze", "none", "parquet"))
+    assert io.publish(df, scratch, "bronze", "none", formats=("parquet", "csv"), skip_empty=True) == {}
+    # nothing of the earlier run stays readable
+    assert io.read_dataset(spark, scratch, "bronze", "none").count() == 0
+    assert io.read_dataset(spark, scratch, "bronze", "none", fmt="csv", schema=SCH).count() == 0
+
+
+def test_csv_alone_leaves_no_parquet(spark, scratch):
+    df = spark.createDataFrame([(1, None, "x")], SCH)
+    io.publish(df, scratch, "gold", "only", formats=("csv",))
+    assert not os.path.exists(io.dataset_path(scratch, "gold", "only", "parquet"))
+    assert io.read_dataset(spark, scratch, "gold", "only", fmt="csv", schema=SCH).count() == 1
+    with pytest.raises(ValueError):
+        io.read_dataset(spark, scratch, "gold", "only", fmt="csv")
+
+
+def test_partition_column_stays_in_place(spark, scratch):
+    df = spark.createDataFrame([(1, "a", 2.0), (2, "b", 3.0)], "k long, band string, v double")
+    io.publish(df, scratch, "gold", "p", formats=("parquet", "csv"), partition_by=["band"], sort_by=["band", "k"])
+    csv = io.read_dataset(spark, scratch, "gold", "p", fmt="csv", schema=df.schema)
+    assert csv.columns == df.columns and sorted(map(tuple, csv.collect())) == sorted(map(tuple, df.collect()))
+    back = io.read_dataset(spark, scratch, "gold", "p", schema=df.schema)
+    assert back.columns == df.columns
+
+
+def test_missing_parquet_column_is_an_error(spark, scratch):
+    spark.range(3).withColumnRenamed("id", "other").write.parquet(io.table_path(scratch, "t"))
+    with pytest.raises(ValueError, match="student_id"):
+        io.read_table(spark, scratch, "t", schema=SCH)
+
+
+def test_corrupt_csv_row_is_an_error(spark, scratch):
+    p = os.path.join(scratch, "bad.csv")
+    with open(p, "w") as f:
+        f.write("student_id,dropout_date,dropout_reason\nnot a number,,x\n")
+    with pytest.raises(Exception):
+        io.read_csv(spark, p, SCH).collect()
 
 
 def test_manifest_roundtrip_missing_and_corrupt(spark, scratch):

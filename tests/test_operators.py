@@ -125,8 +125,8 @@ def test_adaptive_params(spark):
 
 def test_facets(spark):
     df = spark.createDataFrame([("A", "x"), ("B", "x"), ("A", "y")], "band string, s string")
-    got = sorted(tuple(r) for r in X.facets(df, ["band", "s"]).collect())
-    assert got == [("band", "A"), ("band", "B"), ("s", "x"), ("s", "y")]
+    got = sorted(tuple(r) for r in X.facets(df, ["band", "s"], descending=["band"]).collect())
+    assert got == [("band", 1, "B"), ("band", 2, "A"), ("s", 1, "x"), ("s", 2, "y")]
 
 
 def test_quality_planted_violations(spark):
@@ -140,21 +140,33 @@ def test_quality_planted_violations(spark):
     assert [(r["k"], r["rows"]) for r in o] == [(3, 2)]
 
 
-def test_bounded_broadcast_only_within_bound(spark):
-    import contextlib
-    import io as _io
-    from riskweave.plans.adapters import bounded_broadcast
-
-    def text(df):
-        buf = _io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain(mode="extended")
-        return buf.getvalue()
-
-    dim = spark.range(5).withColumnRenamed("id", "k")
-    assert "broadcast" in text(bounded_broadcast(dim, max_rows=10)).lower()
-    big = spark.range(50).withColumnRenamed("id", "k")
-    hinted = text(bounded_broadcast(big, max_rows=10))
-    assert "strategy=broadcast" not in hinted.replace(" ", "").lower()
-    # the verdict is reused for the same plan over the same input
-    assert bounded_broadcast(big, max_rows=10).count() == 50
+def test_fk_summary_without_a_parent_is_an_error(spark):
+    child = spark.createDataFrame([(1,)], "k long")
+    from riskweave.sources.schemas import DRIVER
+    with pytest.raises(ValueError, match="orders"):
+        Q.fk_summary({"lineitem": child}, DRIVER)
+
+
+def test_histogram_edges_fall_into_the_upper_bin(spark):
+    df = spark.range(10_001).select((F.col("id") / 10_000).alias("v"))
+    for bins in (20, 26, 40):
+        got = {r["bin"]: r["entities"] for r in X.histogram(df, "v", bins).collect()}
+        want = {}
+        for u in range(10_001):
+            b = min(u * bins // 10_000, bins - 1)
+            want[b] = want.get(b, 0) + 1
+        assert got == want
+        edge = X.histogram(df.where("v in (0.15, 0.3, 0.7)"), "v", bins).collect()
+        assert sum(r["entities"] for r in edge if r["bin_lo"] <= 0.7 < r["bin_hi"]) >= 1
+
+
+def test_auc_of_large_populations(spark):
+    from riskweave.operators import risk as R
+    big = 3_000_000_000
+    h = spark.createDataFrame([(0.2, 0, big), (0.7, big, 0)], "score_value double, pos long, neg long")
+    orig = R.score_histogram
+    R.score_histogram = lambda *a, **k: h
+    try:
+        assert R.auc_exact(h, "score_value", "pos").first()["auc"] == 1.0
+    finally:
+        R.score_histogram = orig

@@ -42,17 +42,16 @@ def test_percent_texts_match_decimal_formatting(spark, units):
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.floats(0, 1, allow_nan=False), min_size=1, max_size=100),
-       st.integers(20, 40))
-def test_histogram_bins_cover_unit_interval(spark, xs, bins):
+@given(st.lists(st.integers(0, 10_000), min_size=1, max_size=100), st.integers(20, 40))
+def test_histogram_bins_cover_unit_interval(spark, units, bins):
     from riskweave.operators.explore import histogram
-    df = spark.createDataFrame([(x,) for x in xs], "r double")
+    df = spark.createDataFrame([(u / 10_000,) for u in units], "r double")
     h = histogram(df, "r", bins).collect()
-    assert sum(r["entities"] for r in h) == len(xs)
-    assert all(0 <= r["bin"] < bins for r in h)
-    width = 1.0 / bins
+    assert sum(r["entities"] for r in h) == len(units)
     for r in h:
-        members = [x for x in xs if min(math.floor(x / width), bins - 1) == r["bin"]]
+        # the bin's edges as exact fractions
+        lo, hi = Fraction(r["bin"], bins), Fraction(r["bin"] + 1, bins)
+        members = [u for u in units if lo <= Fraction(u, 10_000) < hi or (u == 10_000 and r["bin"] == bins - 1)]
         assert len(members) == r["entities"]
 
 
