@@ -31,7 +31,7 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     not repeat its plan, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -137,8 +137,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     phrases = materialize(repeated_phrases(base, window), "phrases")
-    index = (phrases.groupBy("w").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
-             .where("source < last").select("w", "source"))
+    index = (phrases.groupBy("w").agg(F.min("doc_id").alias("source"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("w", "source"))
     found = (phrases.join(index, "w").where("source < doc_id")
              .groupBy("doc_id").agg(F.collect_list(F.struct("w", "source")).alias("hits")))
 
