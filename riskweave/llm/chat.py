@@ -7,9 +7,9 @@ within the budget.  Windows are cut at turns only.  Each window opens with
 the system turn and up to ``history`` tokens of the turns before it; those
 repeated turns carry no loss, so every assistant text is a target once.
 
-A turn is ``### <role>: <text></turn>\\n`` and the characters ``\\``, ``#`` and
-``<`` (in roles also ``:``) are escaped by a backslash, so no text can forge a
-mark and reading back is exact.
+A turn is ``### <role>: <text></turn>\\n``.  Inside texts and roles ``\\``, ``#``
+and ``<`` (in roles also ``:``) are written ``\\b``, ``\\h``, ``\\l`` and ``\\c``, so
+no mark can occur in them and reading back is exact.
 """
 
 from __future__ import annotations
@@ -27,23 +27,25 @@ from riskweave.llm.tokens import byte_bpe
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
 _TEXT = re.compile(r"[\\#<]")
 _ROLE = re.compile(r"[\\#<:]")
-_BACK = re.compile(r"\\(.)", re.S)
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.)*)</turn>\n", re.S)
+_BACK = re.compile(r"\\([bhlc])")
+_NAMES = {"\\": "\\b", "#": "\\h", "<": "\\l", ":": "\\c"}
+_SIGNS = {v[1]: k for k, v in _NAMES.items()}
+_TURN = re.compile(r"### ([^:#<]*): ([^#<]*)</turn>\n", re.S)
 
 WINDOW_SCHEMA = ("conv_id long, window long, formatted string, n_repeated int, n_tokens long, "
                  "loss array<struct<start:int,length:int>>")
 
 
 def escape_text(text: str) -> str:
-    return _TEXT.sub(r"\\\g<0>", text)
+    return _TEXT.sub(lambda m: _NAMES[m[0]], text)
 
 
 def escape_role(role: str) -> str:
-    return _ROLE.sub(r"\\\g<0>", role)
+    return _ROLE.sub(lambda m: _NAMES[m[0]], role)
 
 
 def unescape(text: str) -> str:
-    return _BACK.sub(r"\1", text)
+    return _BACK.sub(lambda m: _SIGNS[m[1]], text)
 
 
 def format_turn(role: str, text: str) -> tuple[str, int, int]:
