@@ -35,7 +35,7 @@ SCORED_SCHEMA = T.StructType([
 
 
 def fit_model(prof: DataFrame, features=flows.MODEL_FEATURES, label: str = "lapsed_label",
-              train_pct: int = 80, max_iter: int = 50, tol: float = 1e-6):
+              train_pct: int = 80, max_iter: int = 50, tol: float = 1e-6, key: str = flows.KEY):
     """Assembled rows with their split, and the logistic model of the train rows.
 
     A NULL feature is an error, reported before the fit (the assembler's own
@@ -45,7 +45,7 @@ def fit_model(prof: DataFrame, features=flows.MODEL_FEATURES, label: str = "laps
     nulls = {c: n for c, n in R.null_feature_counts(prof, features).items() if n}
     if nulls:
         raise ValueError(f"NULL model features (rows per column): {nulls}")
-    data = R.assemble(R.hash_split(prof, "entity_id", train_pct), features)
+    data = R.assemble(R.hash_split(prof, key, train_pct), features)
     model = R.fit_logistic(data.where(F.col("split") == "train"), label=label, max_iter=max_iter, tol=tol)
     return data, model
 

@@ -38,6 +38,7 @@ from riskweave.operators import indicators as IND
 from riskweave.operators import risk as R
 from riskweave.operators.aggregates import avg_by, count_by, rate_by, rate_by_dim, sum_by
 from riskweave.operators.profile import FlagRule, add_flags, build_profile
+from riskweave.plans.pipeline import fit_model
 from riskweave.session import configure
 from riskweave.sources import io
 
@@ -189,13 +190,7 @@ def quality_report(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
 def score(profile: DataFrame, thresholds=R.DEFAULT_THRESHOLDS, train_pct: int = 80,
           max_iter: int = 50) -> tuple[DataFrame, float]:
     """Fit on the hash-split train rows, score everyone, AUC on the test rows."""
-    profile = R.materialize(profile)
-    nulls = {c: n for c, n in R.null_feature_counts(profile, FEATURES).items() if n}
-    if nulls:
-        raise ValueError(f"NULL model features (rows per column): {nulls}")
-    data = R.assemble(R.hash_split(profile, KEY, train_pct), FEATURES)
-    model = R.fit_logistic(data.where(F.col("split") == "train"), label="dropout_label",
-                           max_iter=max_iter)
+    data, model = fit_model(profile, FEATURES, "dropout_label", train_pct, max_iter, key=KEY)
     pred = R.score_model(model, data, out="_risk")
     auc = R.auc_evaluator(pred.where(F.col("split") == "test"), label="dropout_label")
     banded = R.band(pred, "_risk", thresholds, out="risk_band")

@@ -79,7 +79,7 @@ def test_constraints_on_planted_violations(spark, bronze, tmp_path):
         "household_size", F.when(F.col("student_id") == 2, None).otherwise(F.col("household_size")))
     orphan = b["grades"].unionByName(b["grades"].limit(1).withColumn("student_id", F.lit(999)))
     tables = {"students": dup, "socioeconomic": nul, "grades": orphan,
-              "subjects": b["subjects"], "enrollments": b["enrollments"]}
+              "subjects": b["subjects"], "enrollments": b["enrollments"], "classes": b["classes"]}
     pk = {r["table_name"]: r for r in Q.pk_summary(tables, SCHOOL).collect()}
     assert pk["students"]["dup_keys"] == 1 and pk["students"]["dup_rows"] == 2
     assert pk["enrollments"]["dup_keys"] == 0
