@@ -162,7 +162,7 @@ def exact_topk(vectors: DataFrame, every: int = 20, k: int = 20, scale: float =
                .groupBy("query_id").agg(F.max("bin").alias("bin")))
         # with fewer than k candidates everything counts: the range stays at its low end
         state = checkpoint(state.join(kth, "query_id", "left").select(
-            "query_id", (F.col("low") + F.coalesce("bin", F.lit(0)) * F.lit(step)).alias("low")))
+            "query_id", (F.col("low") + F.coalesce("bin", F.lit(0)).cast("long") * F.lit(step).cast("long")).alias("low")))
     best = tasks(state).applyInPandas(take, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows a candidate block at most
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
