@@ -15,7 +15,7 @@ def table(spark, rows):
 def vectors(n=400, dims=16, seed=0, copies=30):
     rng = np.random.default_rng(seed)
     m = rng.normal(size=(n, dims)).astype(np.float32)
-    m[100:100 + copies] = m[7]
+    m[100:100 + copies] = m[min(7, n - 1)]
     return [(int(i), [float(x) for x in m[i]]) for i in range(n)]
 
 
