@@ -31,8 +31,9 @@ def corpus(seed=0, n=60):
         for j, x in enumerate(w):
             text += x + ("\n" if j % 11 == 10 else rng.choice([" ", " ", " ", "\t", "  ", " "]))
         rows.append((i * 3 + 1, text))
+    longer = [t for _, t in rows if len(t.split()) >= 60]
     for i in range(8):  # near and exact copies
-        base = rows[-(i + 1)][1].split(" ")
+        base = longer[i % len(longer)].split(" ")
         if len(base) > 30 and i % 2:
             base[rng.randrange(len(base))] = "changed"
         rows.append((1000 + i, " ".join(base)))
