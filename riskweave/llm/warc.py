@@ -29,6 +29,8 @@ PACKAGE_BYTES = 256 << 20
 PACKAGE_RECORDS = 100_000
 #: Bytes of records that are read at once.
 RANGE_BYTES = 4 << 20
+#: Tasks that packages or ranges are dealt to.
+MAX_TASKS = 20_000
 #: Payloads smaller than this are never revisits.
 MIN_REVISIT_BYTES = 0
 
@@ -223,6 +225,12 @@ def record_ranges(paths: DataFrame) -> DataFrame:
     return paths.select("path").mapInPandas(run, "path string, offset long, lengths array<int>")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Small rows that stand for much reading: a task each, up to MAX_TASKS
+    (by their size alone, adaptive execution would put them all in one)."""
+    return rows.repartition(max(1, min(rows.count(), MAX_TASKS)))
+
+
 def read_packages(paths: DataFrame, with_payload: bool = True) -> DataFrame:
     """Records of the packages (rows of RECORD_SCHEMA), read range by range."""
     columns = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
@@ -241,8 +249,8 @@ def read_packages(paths: DataFrame, with_payload: bool = True) -> DataFrame:
                     at += n
                 yield type(pdf)(rows, columns=columns)
 
-    ranges = materialize(record_ranges(paths), "record-ranges")
-    return ranges.repartition("path", "offset").mapInPandas(run, RECORD_SCHEMA)
+    ranges = materialize(record_ranges(_dealt(paths)), "record-ranges")
+    return _dealt(ranges).mapInPandas(run, RECORD_SCHEMA)
 
 
 def archive_pages(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
