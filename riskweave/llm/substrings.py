@@ -1,13 +1,15 @@
-"""Substring deduplication by relative Lempel-Ziv parsing.
-
-The reference that documents are parsed against is the corpus itself, cut into
-blocks by phrase: block *b* holds every phrase (run of ``window`` words) whose
-hash falls into it, with the smallest document it starts in.  A document is
-factored greedily against all blocks: from a phrase that starts in an earlier
-document the factor runs on for as long as the following phrases do, too; the
-words between factors are literals.  A factor ends with the last word of its
-last phrase, and the phrases that begin inside its last ``window - 1`` words
-are looked up as well, so nothing that straddles a factor's end is missed.
+"""Substring deduplication by a join of phrase hashes.
+
+A phrase is a run of ``window`` words.  The reference is the table of all
+phrases that two documents hold, dealt out by phrase hash: each with the
+smallest document it starts in and its first place there.  A document is cut
+into factors: from a phrase that starts in an earlier document the factor runs
+on for as long as the next phrase of this document is the next one of the same
+source, too; the words between factors are literals.  This is not a
+Lempel-Ziv parse: a factor is not the longest match over all documents but the
+run in the earliest document that holds its phrases.  The phrases that begin
+inside a factor's last ``window - 1`` words are looked up as well, so nothing
+that straddles a factor's end is missed, and factors may overlap.
 
 Few phrases repeat, so most are never sent anywhere.  Any two equal phrases
 have the same lightest ``ANCHOR``-word run (their anchor) at the same place;
@@ -16,6 +18,7 @@ only phrases whose anchor occurs in two documents are looked up at all.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -70,7 +73,11 @@ def document_anchors(docs: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
-    """``w, doc_id``: hashes of the phrases whose anchor two documents share."""
+    """``w, doc_id, place``: hashes of the phrases whose anchor two documents share.
+
+    ``place`` is the first word of the phrase's first occurrence, under a
+    checksum of the text, so that rows which share an id have other places.
+    """
     shared = document_anchors(docs, window).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = (document_anchors(docs, window).join(shared.select("h"), "h")
               .groupBy("doc_id").agg(F.collect_set("h").alias("hs")))
@@ -84,28 +91,32 @@ def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
                 starts, light, _ = anchors(words, first, window)
                 phrases = gram_hashes(words, window)[starts]
                 bounds = np.searchsorted(starts, first)
-                out, of = [], []
+                out, of, places = [], [], []
                 for i in range(rows.stop - rows.start):
                     a, b = bounds[i], bounds[i + 1]
                     hs = lists[rows.start + i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                    found = np.unique(phrases[a:b][np.isin(light[a:b], hs)])
+                    mine = np.flatnonzero(np.isin(light[a:b], hs))
+                    found, at = np.unique(phrases[a:b][mine], return_index=True)
+                    text = zlib.crc32(data[off[i]:off[i + 1]]) & 0x7FFFFFFF
                     out.append(found)
+                    places.append((starts[a:b][mine[at]] - first[i]) + (text << 32))
                     of.append(np.full(len(found), ids[rows.start + i], np.int64))
-                yield pa.RecordBatch.from_arrays([_long(np.concatenate(out)), pa.array(np.concatenate(of))],
-                                                 names=["w", "doc_id"])
+                yield pa.RecordBatch.from_arrays(
+                    [_long(np.concatenate(out)), pa.array(np.concatenate(of)),
+                     pa.array(np.concatenate(places).astype(np.int64))], names=["w", "doc_id", "place"])
 
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "hs").mapInArrow(run, "w long, doc_id long")
+    return docs.join(wanted, "doc_id").select("doc_id", "text", "hs").mapInArrow(run, "w long, doc_id long, place long")
 
 
-def parse(phrases: np.ndarray, starts: np.ndarray, index: np.ndarray, source: np.ndarray,
+def parse(phrases: np.ndarray, starts: np.ndarray, index: np.ndarray, source: np.ndarray, place: np.ndarray,
           window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors (start, length, earliest source document) of one document.
+    """Factors (start, length, earliest source document) of one document.
 
-    ``index`` (ascending) holds the phrase hashes of the reference blocks that
-    an earlier document has, ``source`` their documents.  A factor is opened
-    at the first indexed phrase and extended while each next phrase is
-    indexed; consecutive factors may overlap, since the phrases that start in
-    a factor's last words are looked up like any other.
+    ``index`` (ascending) holds the phrase hashes that an earlier document
+    has, ``source`` and ``place`` where.  A factor is opened at the first
+    indexed phrase and extended while each next phrase is the next one of its
+    source; consecutive factors may overlap, since the phrases that start in a
+    factor's last words are looked up like any other.
     """
     if not len(index) or not len(phrases):
         return []
@@ -113,8 +124,9 @@ def parse(phrases: np.ndarray, starts: np.ndarray, index: np.ndarray, source: np
     hit = np.flatnonzero(index[at] == phrases)
     if not len(hit):
         return []
-    cut = np.flatnonzero(np.diff(starts[hit]) > 1) + 1
-    return [(int(starts[run[0]]), int(starts[run[-1]] - starts[run[0]]) + window, int(source[at[run]].min()))
+    of, to = source[at[hit]], place[at[hit]]
+    cut = np.flatnonzero((np.diff(starts[hit]) > 1) | (of[1:] != of[:-1]) | (np.diff(to) != 1)) + 1
+    return [(int(starts[run[0]]), int(starts[run[-1]] - starts[run[0]]) + window, int(source[at[run[0]]]))
             for run in np.split(hit, cut)]
 
 
@@ -127,7 +139,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     Words are runs of bytes other than 0x20 and 0x09–0x0D.  Returns one row
     per input row: ``doc_id, n_words, n_removed, kept`` (kept words joined by
     one space), ``spans`` (array of start word, length, source document) and
-    the columns named in ``carry``.
+    the columns named in ``carry``.  The source of a span holds all of its
+    words in a row; spans may overlap.
 
     Null text is empty text.  A row without an id is kept whole and removes
     nothing; rows with the same id never remove each other's words; further
@@ -137,10 +150,11 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     phrases = materialize(repeated_phrases(base, window), "phrases")
-    index = (phrases.groupBy("w").agg(F.min("doc_id").alias("source"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("w", "source"))
-    found = (phrases.join(index, "w").where("source < doc_id")
-             .groupBy("doc_id").agg(F.collect_list(F.struct("w", "source")).alias("hits")))
+    index = (phrases.groupBy("w").agg(F.min("doc_id").alias("source"), F.min_by("place", "doc_id").alias("place"),
+                                       F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("w", "source", "place"))
+    found = (phrases.select("w", "doc_id").join(index, "w").where("source < doc_id")
+             .groupBy("doc_id").agg(F.collect_list(F.struct("w", "source", "place")).alias("hits")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("source", pa.int64())])
@@ -161,7 +175,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                         order = np.argsort(w)
                         a, b = bounds[i], bounds[i + 1]
                         factors = parse(hashes[a:b], starts[a:b] - first[i], w[order],
-                                        pairs.field("source").to_numpy(zero_copy_only=False)[order], window)
+                                        pairs.field("source").to_numpy(zero_copy_only=False)[order],
+                                        pairs.field("place").to_numpy(zero_copy_only=False)[order], window)
                     n_words.append(len(own))
                     if factors:
                         stay = np.ones(len(own), bool)

@@ -42,3 +42,20 @@ def test_spans_name_the_words_and_an_earlier_document(spark):
 def test_empty_table_and_sql(spark):
     assert dedup_substrings(docs(spark, [])).count() == 0
     assert "op3_substring_dedup" in SQL
+
+
+def test_a_source_holds_the_whole_span(spark):
+    p = [f"p{i}" for i in range(40)]
+    rows = [(-5, " ".join(p[:20])), (-4, " ".join(p)), (-3, "x " + " ".join(p)),
+            (-2, " ".join([*p[20:40], "between", *p[:20]])), (-1, " ".join([*p[20:40], *p[:20]]))] + corpus(3)
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, []).append(b" " + b" ".join((t or "").encode().split()) + b" ")
+    out = dedup_substrings(docs(spark, rows).repartition(4)).collect()
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in out}
+    assert got[-4] == [(0, 20, -5)] and got[-3] == [(1, 20, -5), (9, 32, -4)]
+    assert got[-2] == [(0, 20, -4), (21, 20, -5)]
+    for i, spans in got.items():
+        for start, length, source in spans:
+            run = [b" " + b" ".join(t.split()[start:start + length]) + b" " for t in texts[i]]
+            assert source < i and any(r in t for r in run for t in texts[source])
