@@ -3,9 +3,14 @@
 Pieces and scores come from a public model file; the agenda is our own, since
 the library's sampling cannot be seeded per text.  Merges of a chunk leave an
 agenda in score order (ties: leftmost first); a merge that comes up is skipped
-for good if a hash of (seed, variant, chunk, place of the merge) falls below
-the rate.  Every segmentation is made of vocabulary pieces and bytes, so it
-decodes to the very text.
+for good if a hash of (seed, text, place of the chunk, place of the merge)
+falls below the rate, so each occurrence of a word draws its own.  Every
+segmentation is made of vocabulary pieces and bytes, so it decodes to the very
+text.
+
+The agenda is deterministic once it is known which merges are dropped: a
+worker remembers, per chunk and merges dropped so far, the merges that come up
+next and the pieces they lead to.
 """
 
 from __future__ import annotations
@@ -24,8 +29,8 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import worker_cache
 
 SPACE = "\u2581"
-#: Chunks a worker remembers, and the longest that it does.
-CACHE_ENTRIES = 300_000
+#: Runs of the agenda that a worker remembers, and the longest chunk of which it does.
+CACHE_ENTRIES = 150_000
 CACHE_CHARS = 40
 #: A run of spaces with the word after it; no piece of the model crosses these borders.
 _CHUNK = re.compile(r" *[^ \n]+|\n| +")
@@ -35,17 +40,18 @@ _M64 = (1 << 64) - 1
 class MergeDropout:
     """Encoder and decoder of one model.
 
-    ``variants`` bounds how many segmentations a word has under one seed: the
-    n-th chunk of a text takes variant ``(hash of the text + n) % variants``.
+    With ``variants`` 0 each occurrence of a chunk draws its own merges; a
+    positive number bounds how many segmentations a chunk has under one seed
+    (the n-th chunk of a text takes ``(hash of the text + n) % variants``).
     """
 
-    def __init__(self, model: str, rate: float, seed: int, variants: int) -> None:
+    def __init__(self, model: str, rate: float, seed: int, variants: int = 0) -> None:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         size = sp.get_piece_size()
         self.limit = int(rate * 2 ** 64)
-        self.seed, self.variants = seed, max(1, variants)
+        self.seed, self.variants = seed, variants
         self.ids, self.rank, self.bytes_of = {}, {}, [b""] * size
         self.byte_id = [0] * 256
         plain = []
@@ -67,9 +73,21 @@ class MergeDropout:
             before = score
             self.rank[piece] = order
         self.cache: dict = {}
+        self.entries = 0
 
-    def _merge(self, symbols: list, key: int) -> list:
-        """Symbols after the agenda; ``None`` symbols never merge."""
+    def _dropped(self, h: int) -> bool:
+        """Whether the hash of an occurrence and a merge's place falls below the rate."""
+        h = ((h ^ (h >> 31)) * 0x7FB5D329728EA185) & _M64
+        h = ((h ^ (h >> 27)) * 0x81DADEF4BC2DD44D) & _M64
+        return h ^ (h >> 33) < self.limit
+
+    def _merge(self, symbols: list, key: int | None, skip: frozenset = frozenset(),
+               steps: list | None = None) -> list:
+        """Symbols after the agenda; ``None`` symbols never merge.
+
+        Merges are dropped by ``key``; without one, those in ``skip`` are.
+        ``steps`` takes the places of all merges that come up, dropped or not.
+        """
         n, rank, limit = len(symbols), self.rank.get, self.limit
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         length = [1] * n
@@ -87,11 +105,11 @@ class MergeDropout:
             if length[i] != la or j >= n or length[j] != lb:
                 continue  # one side has been merged since
             if limit:
-                h = (key ^ (i * 0x9E3779B97F4A7C15 + (j + lb) * 0xC2B2AE3D27D4EB4F + j)) & _M64
-                h = ((h ^ (h >> 31)) * 0x7FB5D329728EA185) & _M64
-                h = ((h ^ (h >> 27)) * 0x81DADEF4BC2DD44D) & _M64
-                if h ^ (h >> 33) < limit:
-                    continue  # dropped
+                place = (i * 0x9E3779B97F4A7C15 + (j + lb) * 0xC2B2AE3D27D4EB4F + j) & _M64
+                if steps is not None:
+                    steps.append(place)
+                if place in skip if key is None else self._dropped(key ^ place):
+                    continue
             symbols[i] += symbols[j]
             length[i] = la + lb
             length[j] = 0
@@ -109,12 +127,11 @@ class MergeDropout:
                     heapq.heappush(agenda, (q, p, length[p], length[i]))
         return [(i, symbols[i]) for i in range(n) if length[i]]
 
-    def chunk_ids(self, chunk: str, variant: int) -> bytes:
-        key = xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), self.seed * 65537 + variant)
+    def _ids(self, chunk: str, key: int | None, skip: frozenset = frozenset(), steps: list | None = None) -> bytes:
         known = self.ids
         symbols = [SPACE if c == " " else c if c != SPACE and c in known else None for c in chunk]
         out = array("I")
-        for i, s in self._merge(symbols, key):
+        for i, s in self._merge(symbols, key, skip, steps):
             if s is None:
                 out.extend(self.byte_id[b] for b in chunk[i].encode())
             else:
@@ -123,23 +140,52 @@ class MergeDropout:
             out.byteswap()
         return out.tobytes()
 
+    def _run(self, chunk: str, skip: frozenset = frozenset()) -> tuple[list, bytes, frozenset, dict]:
+        """(merges that come up, ids, dropped merges, runs with one more dropped) if ``skip`` is dropped."""
+        self.entries += 1
+        steps: list = []
+        ids = self._ids(chunk, None, skip, steps)
+        return steps, ids, skip, {}
+
+    def chunk_ids(self, chunk: str, key: int) -> bytes:
+        """Ids of the occurrence ``key`` of a chunk."""
+        if len(chunk) > CACHE_CHARS:
+            return self._ids(chunk, key)
+        run = self.cache.get(chunk)
+        if run is None:
+            if self.entries >= CACHE_ENTRIES:
+                self.cache.clear()
+                self.entries = 0
+            run = self.cache[chunk] = self._run(chunk)
+        at = 0
+        while True:
+            steps, ids, skip, more = run
+            for at in range(at, len(steps)):
+                place = steps[at]
+                if place not in skip and self._dropped(key ^ place):
+                    break
+            else:
+                return ids
+            # up to this merge the run with it dropped is the same
+            run = more.get(place)
+            if run is None:
+                run = self._run(chunk, skip | {place})
+                if self.entries < CACHE_ENTRIES:
+                    more[place] = run
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers; the empty text has none."""
         if not text:
             return b""
-        variants, cache, out = self.variants, self.cache, []
-        at = xxhash.xxh3_64_intdigest(text.encode(), self.seed) if variants > 1 else 0
-        for chunk in _CHUNK.findall(" " + text):
-            at += 1
-            key = (chunk, at % variants)
-            got = cache.get(key)
-            if got is None:
-                got = self.chunk_ids(chunk, at % variants)
-                if len(chunk) <= CACHE_CHARS:
-                    if len(cache) >= CACHE_ENTRIES:
-                        cache.clear()
-                    cache[key] = got
-            out.append(got)
+        variants, out = self.variants, []
+        base = xxhash.xxh3_64_intdigest(text.encode(), self.seed)
+        for at, chunk in enumerate(_CHUNK.findall(" " + text), 1):
+            if variants:
+                key = xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"),
+                                               self.seed * 65537 + (base + at) % variants)
+            else:
+                key = (base + at * 0xD6E8FEB86659FD93) & _M64
+            out.append(self.chunk_ids(chunk, key))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
@@ -158,7 +204,7 @@ def coder(model: str, rate: float, seed: int, variants: int) -> MergeDropout:
     return cache[key]
 
 
-def encode_documents(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int = 4,
+def encode_documents(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, variants: int = 0,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_pieces, ids`` (little-endian unsigned 32-bit) of every whole text.
 

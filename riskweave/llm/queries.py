@@ -59,7 +59,7 @@ def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    ids = encode_documents(reader(spark, sf_dir, "documents"), model, rate=0.1, seed=1, variants=4)
+    ids = encode_documents(reader(spark, sf_dir, "documents"), model, rate=0.1, seed=1)
     return decode_documents(ids, model).select(
         "doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -43,3 +43,21 @@ def test_dataframe_round_trip(spark):
     assert sorted((str(r.doc_id), r.decoded) for r in out) == sorted((str(i), t or "") for i, t in rows)
     assert all(r.n_pieces * 4 == len(r.ids) for r in out)
     assert decode_documents(encode_documents(docs(spark, []), MODEL), MODEL).count() == 0
+
+
+def test_every_occurrence_draws_its_own():
+    coder = MergeDropout(MODEL, 0.1, 1)
+    word = " internationalisation"
+    keys = [k * 0x9E3779B97F4A7C15 % 2 ** 64 for k in range(2000)]
+    got = [coder.chunk_ids(word, k) for k in keys]
+    assert got == [coder._ids(word, k) for k in keys]  # the remembered runs are the plain agenda
+    assert len(set(got)) > 20
+    steps = coder._run(word)[0]
+    whole = sum(not any(coder._dropped(k ^ p) for p in steps) for k in keys) / 2000
+    assert abs(whole - 0.9 ** len(steps)) < 0.03
+    text = "internationalisation " * 500
+    pieces, of = set(), coder.encode(text)
+    assert coder.decode(of) == text
+    for one in (coder.chunk_ids(" internationalisation", k) for k in keys):
+        pieces.add(one)
+    assert sum(one in of for one in pieces) > 4
