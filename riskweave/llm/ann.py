@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskweave.llm.common import checkpoint
-from riskweave.llm.vectors import clean_vectors
+from riskweave.llm.common import checkpoint, union_all
+from riskweave.llm.vectors import clean_vectors, lengths_of
 
 TABLES = 12
 PROBES = 6
@@ -66,8 +66,8 @@ def ann_search(vectors: DataFrame, every: int = 100, k: int = 10, tables: int =
     in double precision); ties go to the smaller id.
 
     Rows with a null id, a null, empty or all-zero vector, or a null or
-    non-finite component take no part, nor do vectors of another length than
-    the longest.  A repeated id counts once, with its smallest vector.  Other
+    non-finite component take no part; each length of vector is searched by
+    itself.  A repeated id counts once, with its smallest vector.  Other
     columns are ignored; an empty table gives an empty result.  A query whose
     buckets hold fewer than ``k`` rows is compared with all rows instead, in
     blocks, so it gets all candidates if there are fewer than ``k``.
@@ -75,13 +75,16 @@ def ann_search(vectors: DataFrame, every: int = 100, k: int = 10, tables: int =
     A bucket with many rows (copies of one vector) is split by row hash and
     its queries are repeated for each part; no row is dropped.
     """
-    out = "query_id long, rank int, vec_id long, score double"
     clean = clean_vectors(vectors, id_col, vec_col).where(F.exists("v", lambda x: x != 0))
     clean = checkpoint(clean.groupBy("vec_id").agg(F.min("v").alias("v")))
-    dims = clean.agg(F.max(F.size("v"))).first()[0]
-    if dims is None:
-        return vectors.sparkSession.createDataFrame([], out)
-    clean = clean.where(F.size("v") == dims)
+    found = [_search(clean.where(F.size("v") == n), every, k, tables, probes, seed) for n in lengths_of(clean)]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return union_all(found)
+
+
+def _search(clean: DataFrame, every: int, k: int, tables: int, probes: int, seed: int) -> DataFrame:
+    """The search among vectors of one length."""
 
     def hashes(n):
         def run(batches):

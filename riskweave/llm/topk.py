@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskweave.llm.common import checkpoint
-from riskweave.llm.vectors import block_count, block_of, clean_vectors
+from riskweave.llm.common import checkpoint, union_all
+from riskweave.llm.vectors import block_count, block_of, clean_vectors, lengths_of
 
 #: Rows of a block of queries and of a block of candidates.
 QUERY_ROWS = 256
@@ -73,7 +73,7 @@ def exact_topk(vectors: DataFrame, every: int = 20, k: int = 20, scale: float =
     rank`` (from 1)``, vec_id, score``.
 
     Rows with a null id or vector, or with a null or non-finite component,
-    take no part, nor do vectors of another length than the longest; an id
+    take no part; each length of vector is searched by itself; an id
     that occurs more than once counts with each of its rows as a candidate
     and with one of them (the smallest vector) as a query.  Other columns are
     ignored.  Scores must fit 64 bits.
@@ -85,12 +85,15 @@ def exact_topk(vectors: DataFrame, every: int = 20, k: int = 20, scale: float =
     clean = clean_vectors(vectors, id_col, vec_col)
     clean = clean.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
     clean = checkpoint(clean)
-    dims = clean.agg(F.max(F.size("v"))).first()[0]
-    out = "query_id long, rank int, vec_id long, score long"
-    if dims is None:
-        return vectors.sparkSession.createDataFrame([], out)
-    clean = clean.where(F.size("v") == dims)
     queries = clean.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    found = [_search(clean.where(F.size("v") == n), queries.where(F.size("v") == n), k) for n in lengths_of(clean)]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return union_all(found)
+
+
+def _search(clean: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The search among vectors of one length."""
     nq, nc = block_count(queries, QUERY_ROWS), block_count(clean, CANDIDATE_ROWS)
 
     longest = clean.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]

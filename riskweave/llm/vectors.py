@@ -15,6 +15,12 @@ def clean_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
             .where(F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.coalesce(finite, F.lit(False))))
 
 
+def lengths_of(df: DataFrame) -> list[int]:
+    """The lengths that vectors of two ids or more have."""
+    ids = df.groupBy(F.size("v").alias("n")).agg(F.min("vec_id").alias("a"), F.max("vec_id").alias("b"))
+    return sorted(r.n for r in ids.where("a < b").collect())
+
+
 def block_count(df: DataFrame, rows: int) -> int:
     """Blocks needed so that one holds about ``rows`` rows."""
     return max(1, -(-df.count() // rows))

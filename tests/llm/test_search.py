@@ -94,3 +94,14 @@ def test_hadamard_is_a_rotation_and_axes_are_nearest():
     assert np.allclose(hadamard(hadamard(x)), x)
     near = nearest_axes(x, 0, 3, 1)
     assert (near == nearest_axes(-x, 0, 3, 1)).sum() == 0 and ((near + 64) % 128 == nearest_axes(-x, 0, 3, 1)).all()
+
+
+def test_each_length_is_searched_by_itself(spark):
+    rows, longer = vectors(60), [(10_000 + i, v) for i, v in vectors(50, 17, 4)]
+    got = sorted(tuple(r) for r in exact_topk(table(spark, rows + longer), every=20, k=5).collect())
+    assert got == sorted(brute_topk(rows, 20, 5) + brute_topk(longer, 20, 5))
+    one = [(10_001, [1.0] * 17)]  # one odd row takes nothing away
+    assert sorted(tuple(r) for r in exact_topk(table(spark, rows + one), every=20, k=5).collect()
+                  ) == brute_topk(rows, 20, 5)
+    near = ann_search(table(spark, vectors(6) + one), every=3, k=10).collect()
+    assert {(r.query_id, r.vec_id) for r in near} == {(q, j) for q in (0, 3) for j in range(6) if j != q}
