@@ -16,7 +16,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import checkpoint, components, gram_hashes, materialize, text_slices, within, word_hashes
+from riskweave.llm.common import (carried, checkpoint, components, gram_hashes, materialize, restored, text_slices,
+                                  within, word_hashes)
 
 #: Entities of one block of a candidate group.
 BLOCK = 512
@@ -190,6 +191,14 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
     group of copies of any size is one row after a map-side aggregate, and a
     large group of near copies is spread over block pairs.
     """
+    return ngram_classes(docs, n, threshold, recall, id_col, text_col, seed).drop("class_key")
+
+
+def ngram_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999,
+                  id_col: str = "doc_id", text_col: str = "text", seed: int = 7,
+                  carry: Sequence[str] = ()) -> DataFrame:
+    """``ngram_jaccard_join`` with ``class_key``, which names the class whatever the ids (null: a text without
+    grams, alone in its class), and the columns named in ``carry``."""
     bands, rows = banding(threshold, recall)
     text = F.col(text_col).cast("string")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
@@ -232,7 +241,9 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, reca
              .withColumn("root", F.coalesce("root", "entity")))
     firsts = named.groupBy("root").agg(F.min("first").alias("class_id"))
     named = named.join(firsts, "root").select(
-        "entity", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return (_signatures(base.select("doc_id", "text"), n).join(named, "entity", "left")
+        "entity", F.col("root").alias("class_key"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    every = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *carried(carry))
+    return (_signatures(every, n).join(named, "entity", "left")
             .select("doc_id", F.when(F.col("entity").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-                    .alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+                    .alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "class_key",
+                    *restored(carry)))
