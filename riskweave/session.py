@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours relies on.  They are applied with
 # ``setIfMissing`` semantics on an existing cluster session: a cluster that
@@ -96,3 +96,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
+
+
+def spill(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: later jobs do
+    not repeat its plan, and a lost executor costs no recomputation.
+    ``release`` removes the folder."""
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._spilled = (path,)
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove the folders behind frames of ``spill`` (or of what was built on
+    one and says so in ``_spilled``) once nothing reads them any more."""
+    for df in frames:
+        for path in getattr(df, "_spilled", ()):
+            remove(df.sparkSession, path)
+        df._spilled = ()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own on whatever file system it lies on."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)

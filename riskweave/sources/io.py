@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.session import remove  # noqa: F401
 from riskweave.sources.schemas import nullable_schema, spec
 
 #: Largest dataset that is written as one CSV file.
@@ -140,13 +141,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             .option("enforceSchema", False).csv(path))
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of our own on whatever file system it lies on."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
-
-
 def write_csv_extract(df: DataFrame, path: str) -> str:
     """Export rows as headed CSV (the 'download filtered extract' action)."""
     df.write.mode("overwrite").option("header", True).csv(path)
