@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.session import ensure_checkpoint_dir, shared_dir
+from riskweave.session import ensure_checkpoint_dir, release  # noqa: F401
+from riskweave.session import spill as materialize  # noqa: F401
 
 # Odd multipliers of the polynomial hashes (any odd 64-bit numbers will do).
 P_BYTE = np.uint64(0x9E3779B97F4A7C15)
@@ -26,15 +27,6 @@ def reader(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later jobs do
-    not repeat its plan, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = shared_dir(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -12,6 +12,7 @@ from riskweave.llm.chat import format_conversations, read_conversations
 from riskweave.llm.common import reader
 from riskweave.llm.dropout import decode_documents, encode_documents
 from riskweave.llm.lines import dedup_lines
+from riskweave.llm.merkle import folded, lower_ascii, manifest, proof_digest
 from riskweave.llm.ngram_join import ngram_jaccard_join
 from riskweave.llm.packing import pack_documents
 from riskweave.llm.substrings import dedup_substrings, kept_sha256
@@ -100,10 +101,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(reader(spark, sf_dir, "documents"))
 
 
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and roots of every document, and whether its leaf, tampered
+    with in every third document, still gives the root."""
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(third, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    tree = manifest(reader(spark, sf_dir, "documents"), "lang", "doc_id", LEAF_FIELDS, altered={"text": text})
+    return (tree.withColumn("folded_root", folded(F.col("path"), F.col("tampered")))
+            .select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_chat_windows, op3_substring_dedup, op4_fuzzy_lines, op5_merge_dropout, op6_exact_topk,
-        op7_ngram_jaccard, op8_cross_polytope, op9_warc_zip, op10_packing)
+        op7_ngram_jaccard, op8_cross_polytope, op9_warc_zip, op10_packing, op12_merkle_manifest)
 }
 
 SQL: dict[str, str] = {}
@@ -160,3 +175,83 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
        CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM b
 """
+
+#: Unsigned crc32 of a text: the table comes from the polynomial, the bytes
+#: from the hex of the text.
+CRC32 = """
+bits AS (
+  SELECT 0 AS step, i AS c, i AS place FROM range(256) t(i)
+  UNION ALL
+  SELECT step + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, place FROM bits WHERE step < 8),
+crc AS (
+  SELECT list(c ORDER BY place) AS t FROM bits WHERE step = 8)"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL of the crc32 of ``text``; the table ``crc`` must be in scope."""
+    bytes_of = f"list_transform(range(0, octet_length(encode({text}))), lambda b: ('0x' || substr(hex(encode({text})), (2 * b + 1)::INT, 2))::BIGINT)"
+    step = "xor(t[(xor(c, b) % 256 + 1)::INT], c // 256)"
+    return f"xor(list_reduce({bytes_of}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+SQL["op12_merkle_manifest"] = rf"""
+WITH RECURSIVE {CRC32.strip()},
+d AS (
+  SELECT doc_id, lang, source, n_chars, text,
+         CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 3 = 0
+              THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other
+  FROM documents, crc),
+f AS (
+  SELECT doc_id, lang, [doc_id::VARCHAR, source, lang, n_chars::VARCHAR, text] AS a,
+         [doc_id::VARCHAR, source, lang, n_chars::VARCHAR, other] AS b FROM d),
+g AS (
+  SELECT doc_id, lang,
+         sha256(array_to_string(list_transform(a, lambda x: coalesce(octet_length(encode(x)) || ':' || x, '-')), '')) AS leaf,
+         sha256(array_to_string(list_transform(b, lambda x: coalesce(octet_length(encode(x)) || ':' || x, '-')), '')) AS other
+  FROM f),
+leaves AS (
+  SELECT doc_id, leaf, other, coalesce('1' || lang, '0') AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY lang) AS n FROM g),
+low AS (
+  SELECT 0 AS level, tree, place, n, leaf AS hash FROM leaves
+  UNION ALL
+  SELECT level + 1, tree, place // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY place)) FROM low
+  WHERE n > 1 GROUP BY level, tree, place // 8, n),
+subroots AS (
+  SELECT tree, hash AS subroot, level AS height,
+         row_number() OVER (ORDER BY encode(tree)) - 1 AS nth, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, nth AS place, n, subroot AS hash FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY place)) FROM high
+  WHERE n > 1 GROUP BY level, place // 8, n),
+top AS (
+  SELECT hash AS root FROM high WHERE n = 1),
+nodes AS (
+  SELECT level, tree, place, hash FROM low WHERE n > 1
+  UNION ALL
+  SELECT s.height + h.level, s.tree, h.place, h.hash FROM subroots s JOIN high h ON h.n > 1
+    AND h.place // 8 = s.nth // (8 ** (h.level + 1))::BIGINT),
+sides AS (
+  SELECT level, tree, place,
+         coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM nodes WINDOW w AS (PARTITION BY level, tree, place // 8 ORDER BY place)),
+steps AS (
+  SELECT e.tree AS tree, e.place AS place, s.level, s.l, s.r FROM leaves e JOIN subroots t USING (tree) JOIN sides s
+    ON s.tree = e.tree AND s.place = CASE WHEN s.level < t.height THEN e.place // (8 ** s.level)::BIGINT
+                                          ELSE t.nth // (8 ** (s.level - t.height))::BIGINT END),
+proofs AS (
+  SELECT tree, place, string_agg(l || r, '' ORDER BY level) AS proof, list([l, r] ORDER BY level) AS steps
+  FROM steps GROUP BY tree, place),
+fold AS (
+  SELECT 0 AS level, e.tree AS tree, e.place AS place, other AS h, coalesce(steps, []) AS steps FROM leaves e LEFT JOIN proofs USING (tree, place)
+  UNION ALL
+  SELECT level + 1, tree, place, sha256(steps[level + 1][1] || h || steps[level + 1][2]), steps FROM fold
+  WHERE level < len(steps))
+SELECT e.doc_id, e.leaf, t.subroot, top.root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+       f.h AS folded_root, f.h = top.root AS verified
+FROM leaves e JOIN subroots t USING (tree) CROSS JOIN top LEFT JOIN proofs p USING (tree, place)
+JOIN fold f ON f.tree = e.tree AND f.place = e.place AND f.level = len(f.steps)
+"""
