@@ -11,6 +11,7 @@ from riskweave.llm.ann import ann_search
 from riskweave.llm.chat import format_conversations, read_conversations
 from riskweave.llm.common import reader
 from riskweave.llm.dropout import decode_documents, encode_documents
+from riskweave.llm.extraction import extract_main_text
 from riskweave.llm.lines import dedup_lines
 from riskweave.llm.merkle import folded, lower_ascii, manifest, proof_digest
 from riskweave.llm.ngram_join import ngram_jaccard_join
@@ -115,10 +116,17 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = extract_main_text(reader(spark, sf_dir, "pages"), carry=("url",))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_chat_windows, op3_substring_dedup, op4_fuzzy_lines, op5_merge_dropout, op6_exact_topk,
-        op7_ngram_jaccard, op8_cross_polytope, op9_warc_zip, op10_packing, op12_merkle_manifest)
+        op7_ngram_jaccard, op8_cross_polytope, op9_warc_zip, op10_packing, op12_merkle_manifest,
+        op13_html_extraction)
 }
 
 SQL: dict[str, str] = {}
