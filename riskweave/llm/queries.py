@@ -16,6 +16,7 @@ from riskweave.llm.lines import dedup_lines
 from riskweave.llm.merkle import folded, lower_ascii, manifest, proof_digest
 from riskweave.llm.ngram_join import ngram_jaccard_join
 from riskweave.llm.packing import pack_documents
+from riskweave.llm.spelling import spelling_variants
 from riskweave.llm.substrings import dedup_substrings, kept_sha256
 from riskweave.llm.topk import exact_topk
 from riskweave.llm.toxicity import toxicity
@@ -102,6 +103,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(reader(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, one letter of every 31st (document, word) lost, and their forms."""
+    return spelling_variants(reader(spark, sf_dir, "documents"), drop_one_in=31)
+
+
 LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -125,7 +131,7 @@ def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_chat_windows, op3_substring_dedup, op4_fuzzy_lines, op5_merge_dropout, op6_exact_topk,
-        op7_ngram_jaccard, op8_cross_polytope, op9_warc_zip, op10_packing, op12_merkle_manifest,
+        op7_ngram_jaccard, op8_cross_polytope, op9_warc_zip, op10_packing, op11_spelling_variants, op12_merkle_manifest,
         op13_html_extraction)
 }
 
@@ -202,6 +208,44 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce({bytes_of}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
 
 
+SQL["op11_spelling_variants"] = rf"""
+WITH RECURSIVE {CRC32.strip()},
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+once AS (
+  SELECT doc_id, run, count(*) AS times FROM runs GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, times, {crc32_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM once, crc),
+made AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         times FROM hashed),
+words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT w.word, w.n, c.word, c.n FROM words w JOIN cuts c ON c.rest = w.word
+  UNION
+  SELECT c.word, c.n, w.word, w.n FROM words w JOIN cuts c ON c.rest = w.word),
+best AS (
+  SELECT word, n, count(*) AS n_near, max(other_n) AS top,
+         list(other ORDER BY other_n DESC, encode(other))[1] AS other FROM pairs GROUP BY word, n),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.top >= 10 * w.n THEN b.other END AS form,
+         CASE WHEN b.top >= 10 * w.n THEN b.top END AS form_n
+  FROM words w LEFT JOIN best b USING (word)),
+walk AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL
+  SELECT k.word, f.form FROM walk k JOIN forms f ON f.word = k.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, k.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN walk k ON k.word = f.word JOIN forms e ON e.word = k.at AND e.form IS NULL
+"""
+
 SQL["op12_merkle_manifest"] = rf"""
 WITH RECURSIVE {CRC32.strip()},
 d AS (
