@@ -19,6 +19,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +33,18 @@ _NAMES = {"\\": "\\b", "#": "\\h", "<": "\\l", ":": "\\c"}
 _SIGNS = {v[1]: k for k, v in _NAMES.items()}
 _TURN = re.compile(r"### ([^:#<]*): ([^#<]*)</turn>\n", re.S)
 
+#: Ids stay whole numbers in Arrow, next to null ids too.
+WINDOW_TYPES = pa.schema([
+    ("conv_id", pa.int64()), ("window", pa.int64()), ("formatted", pa.string()), ("n_repeated", pa.int32()),
+    ("n_tokens", pa.int64()), ("loss", pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))])
 WINDOW_SCHEMA = ("conv_id long, window long, formatted string, n_repeated int, n_tokens long, "
                  "loss array<struct<start:int,length:int>>")
 
 
+def record_batch(rows: list[tuple], types: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), types)], schema=types)
+
+
 def escape_text(text: str) -> str:
     return _TEXT.sub(lambda m: _NAMES[m[0]], text)
 
@@ -151,7 +160,7 @@ def format_conversations(turns: DataFrame, ranks_path: str, pattern: str, budget
 
     def run(batches: Iterator) -> Iterator:
         bpe = byte_bpe(ranks_path, pattern)
-        conv, windows, number, frame = object(), None, 0, None
+        conv, windows, number = None, None, 0
         rows: list[tuple] = []
 
         def put(done):
@@ -160,16 +169,8 @@ def format_conversations(turns: DataFrame, ranks_path: str, pattern: str, budget
                 rows.append((conv, number, done[0], done[1], done[2], done[3]))
                 number += 1
 
-        def flush():
-            out = frame(rows, columns=["conv_id", "window", "formatted", "n_repeated", "n_tokens", "loss"])
-            out["conv_id"] = out["conv_id"].astype("Int64")
-            rows.clear()
-            return out
-
-        for pdf in batches:
-            frame = type(pdf)
-            ids = [None if c != c else int(c) for c in pdf["conv_id"].astype(object)]
-            for c, role, text in zip(ids, pdf["role"], pdf["text"]):
+        for batch in batches:
+            for c, role, text in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
                 if windows is None or c != conv:
                     if windows is not None:
                         put(windows.close())
@@ -182,15 +183,19 @@ def format_conversations(turns: DataFrame, ranks_path: str, pattern: str, budget
                     _fits(windows, last[4])
                     windows.turns.append(last)
                 if len(rows) >= 2000:
-                    yield flush()
+                    yield record_batch(rows, WINDOW_TYPES)
+                    rows.clear()
         if windows is not None:
             put(windows.close())
         if rows:
-            yield flush()
+            yield record_batch(rows, WINDOW_TYPES)
 
-    return ordered.mapInPandas(run, WINDOW_SCHEMA)
+    return ordered.mapInArrow(run, WINDOW_SCHEMA)
 
 
+DIGEST_TYPES = pa.schema([
+    ("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
+    ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_windows", pa.int64())])
 DIGEST_SCHEMA = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                  "formatted_chars long, n_windows long")
 
@@ -201,7 +206,7 @@ def read_conversations(windows: DataFrame) -> DataFrame:
     ordered = windows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
 
     def run(batches: Iterator) -> Iterator:
-        state, frame = None, None
+        state = None
         rows: list[tuple] = []
 
         def put():
@@ -209,16 +214,9 @@ def read_conversations(windows: DataFrame) -> DataFrame:
                 rows.append((state["conv"], state["n"], state["turns"].hexdigest(), state["chars"],
                              state["loss"].hexdigest(), state["all"], state["windows"]))
 
-        def flush():
-            out = frame(rows, columns=[c.split()[0] for c in DIGEST_SCHEMA.split(", ")])
-            out["conv_id"] = out["conv_id"].astype("Int64")
-            rows.clear()
-            return out
-
-        for pdf in batches:
-            frame = type(pdf)
-            ids = [None if c != c else int(c) for c in pdf["conv_id"].astype(object)]
-            for c, formatted, lead, spans in zip(ids, pdf["formatted"], pdf["n_repeated"], pdf["loss"]):
+        for batch in batches:
+            named = (batch.column(batch.schema.get_field_index(k)) for k in ("conv_id", "formatted", "n_repeated", "loss"))
+            for c, formatted, lead, spans in zip(*(k.to_pylist() for k in named)):
                 if state is None or c != state["conv"]:
                     put()
                     state = {"conv": c, "n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(),
@@ -233,9 +231,10 @@ def read_conversations(windows: DataFrame) -> DataFrame:
                 state["all"] += len(formatted)
                 state["windows"] += 1
             if len(rows) >= 2000:
-                yield flush()
+                yield record_batch(rows, DIGEST_TYPES)
+                rows.clear()
         put()
         if rows:
-            yield flush()
+            yield record_batch(rows, DIGEST_TYPES)
 
-    return ordered.mapInPandas(run, DIGEST_SCHEMA)
+    return ordered.mapInArrow(run, DIGEST_SCHEMA)

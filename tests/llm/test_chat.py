@@ -72,3 +72,18 @@ def test_marks_are_escaped_reversibly():
 def test_no_rows(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert read_conversations(format_conversations(df, *bpe_files())).count() == 0
+
+
+def test_large_ids_beside_null_ones(spark):
+    """Ids and turn numbers that a double cannot hold stay apart, also in a batch with nulls."""
+    big = 2 ** 60
+    data = [(big + k, t, "assistant", f"text {k} {t}") for k in (1, 2, 3) for t in (big + 1, big + 2)]
+    data += [(None, big + 2, "assistant", "b"), (None, None, "user", "z"), (None, big + 1, "assistant", "a"), (None, big + 1, "user", "q")]
+    df = spark.createDataFrame([(*r, 1, "x") for r in data], SCHEMA).coalesce(1)
+    windows = format_conversations(df, *bpe_files())
+    assert {w.conv_id for w in windows.collect()} == {None, big + 1, big + 2, big + 3}
+    got = {r.conv_id: r for r in read_conversations(windows).collect()}
+    assert {k: r.n_turns for k, r in got.items()} == {None: 4, big + 1: 2, big + 2: 2, big + 3: 2}
+    turns = "".join(f"assistant\ntext 2 {t}\n" for t in (big + 1, big + 2))
+    assert got[big + 2].turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
+    assert got[None].loss_sha256 == hashlib.sha256(b"ab").hexdigest()
