@@ -189,6 +189,66 @@ def box(df: DataFrame, value: str, by: str, value_digits: int = 4,
     return g.select(*cols, "max")
 
 
+def score_counts(df: DataFrame, value: str, by: str, digits: int = 4) -> DataFrame:
+    """``by, value, rows, below, total``: rows per published value (at most
+    ``10^digits + 1`` a group for a score in [0, 1]), and the rows of the group
+    below it and in all."""
+    h = (df.where(F.col(value).isNotNull()).groupBy(by, round_half_up(F.col(value), digits).alias("value"))
+         .agg(F.count(F.lit(1)).alias("rows")))
+    group = Window.partitionBy(by)
+    running = F.sum("rows").over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    return h.select(by, "value", "rows", (running - F.col("rows")).alias("below"), F.sum("rows").over(group).alias("total"))
+
+
+def box_drawn(counts: DataFrame, by: str, digits: int = 6) -> DataFrame:
+    """The box as the page's chart draws it, one row per group of ``score_counts``.
+
+    Quartiles lie at the 0-based place ``p·n − 1/2``, between the two values
+    around it; the fences are 1.5 interquartile ranges from the box; a whisker
+    ends at the outermost value inside its fence, and values beyond are
+    outliers.  ``notch_lo`` and ``notch_hi`` are the median ± 1.57
+    interquartile ranges over √n.
+    """
+    names = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+    def at_rank(rank: Column) -> Column:
+        return F.min(F.when(F.col("below") + F.col("rows") > rank, F.col("value")))
+
+    aggs = [F.max("total").cast("long").alias("n"), F.min("value").alias("min"), F.max("value").alias("max")]
+    for name, p in names.items():
+        place = F.greatest(F.lit(0.0), F.least(F.col("total") * F.lit(p) - 0.5, F.col("total") - F.lit(1.0)))
+        aggs += [at_rank(F.floor(place)).alias(f"_{name}_lo"), at_rank(F.ceil(place)).alias(f"_{name}_hi")]
+    g = counts.groupBy(by).agg(*aggs)
+    for name, p in names.items():
+        place = F.greatest(F.lit(0.0), F.least(F.col("n") * F.lit(p) - 0.5, F.col("n") - F.lit(1.0)))
+        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        g = g.withColumn(name, round_half_up(lo + (place - F.floor(place)) * (hi - lo), digits))
+    spread = F.col("q3") - F.col("q1")
+    notch = F.lit(1.57) * spread / F.sqrt(F.col("n").cast("double"))
+    box = g.select(by, "n", "min", "q1", "median", "q3", "max",
+                   round_half_up(F.col("q1") - 1.5 * spread, digits).alias("fence_lo"),
+                   round_half_up(F.col("q3") + 1.5 * spread, digits).alias("fence_hi"),
+                   round_half_up(F.col("median") - notch, digits).alias("notch_lo"),
+                   round_half_up(F.col("median") + notch, digits).alias("notch_hi"))
+    v, rows = F.col("value"), F.col("rows")
+    ends = (counts.join(box.select(F.col(by).alias("_by"), "fence_lo", "fence_hi", "q1", "q3"),
+                        F.col(by).eqNullSafe(F.col("_by")))
+            .groupBy("_by").agg(
+                F.least(F.min(F.when(v >= F.col("fence_lo"), v)), F.first("q1")).alias("whisker_lo"),
+                F.greatest(F.max(F.when(v <= F.col("fence_hi"), v)), F.first("q3")).alias("whisker_hi"),
+                F.coalesce(F.sum(F.when(v < F.col("fence_lo"), rows)), F.lit(0)).cast("long").alias("outliers_lo"),
+                F.coalesce(F.sum(F.when(v > F.col("fence_hi"), rows)), F.lit(0)).cast("long").alias("outliers_hi")))
+    return box.join(ends, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
+
+
+def box_outliers(counts: DataFrame, box: DataFrame, by: str) -> DataFrame:
+    """``by, value, rows``: the points drawn beyond the whiskers."""
+    fences = box.select(F.col(by).alias("_by"), "fence_lo", "fence_hi")
+    joined = counts.join(fences, F.col(by).eqNullSafe(F.col("_by")))
+    return (joined.where((F.col("value") < F.col("fence_lo")) | (F.col("value") > F.col("fence_hi")))
+            .select(by, "value", "rows"))
+
+
 def weighted_histogram(per: DataFrame, value: str, weight: str, by: str, digits: int = 4,
                        out: str = "entities") -> DataFrame:
     """``histogram`` with adaptive bins from ``(value, by, weight)`` rows, one

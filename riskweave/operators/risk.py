@@ -6,6 +6,7 @@
 * ``fit_logistic`` / ``score_model``  ``pyspark.ml`` logistic regression
 * ``auc_exact``    exact ROC AUC of a score with bounded resolution, as one
                    bounded aggregate (no global sort of the population)
+* ``auc_ranked``   exact ROC AUC of an unrounded score, by a distributed rank
 * ``auc_evaluator`` Spark ML's ``BinaryClassificationEvaluator``
 """
 
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import band as band_expr
 from riskweave.functions import hash_bucket, logistic, round_half_up
+from riskweave.operators.ranking import running_sums
+from riskweave.session import release
 
 Term = tuple[Column | str, float]
 
@@ -162,6 +165,11 @@ def auc_exact(df: DataFrame, score: str, label: str, digits: int = 4,
     h = score_histogram(df, score, label, digits)
     w = Window.orderBy("score_value").rowsBetween(Window.unboundedPreceding, -1)
     h = h.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)).cast("long"))
+    return _auc_of(h, out)
+
+
+def _auc_of(h: DataFrame, out: str) -> DataFrame:
+    """One row from ``pos, neg, neg_below`` per distinct score."""
     # products of two counts may pass 64 bits
     wide = {c: F.col(c).cast("decimal(19,0)") for c in ("pos", "neg", "neg_below")}
     agg = h.agg(
@@ -170,3 +178,24 @@ def auc_exact(df: DataFrame, score: str, label: str, digits: int = 4,
     return agg.select(
         F.try_divide(F.col("_num").cast("double"),
                      (F.col("_p") * F.col("_n")).cast("double") * 2).alias(out))
+
+
+def auc_ranked(df: DataFrame, score: str, label: str, out: str = "auc", partitions: int | None = None) -> DataFrame:
+    """One-row ROC AUC over the score as it is, however many values it has.
+
+    Rows are reduced to positives and negatives per distinct score (map-side
+    first), so a tie is one row and cannot straddle two ranges, and a score
+    that a third of all rows share is small.  Those rows are ranked in two
+    passes (``ranking.running_sums``): dealt by range of the score, negatives
+    summed per range, and a running sum over the ranges; only that table, one
+    row a range, is in one task.  NULL scores and labels take no part; NULL
+    when either class is empty.
+    """
+    h = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+         .groupBy(F.col(score).alias("score_value"))
+         .agg(F.count_if(F.col(label) == 1).cast("long").alias("pos"),
+              F.count_if(F.col(label) != 1).cast("long").alias("neg")))
+    ranked = running_sums(h, [F.col("score_value")], ["neg"], partitions=partitions)
+    one = materialize(_auc_of(ranked, out))
+    release(ranked)
+    return one

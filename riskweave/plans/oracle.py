@@ -186,6 +186,31 @@ auc AS (
   SELECT CAST(sum(pos * (neg_below * 2 + neg)) AS DOUBLE)
          / nullif(CAST(sum(pos) * sum(neg) * 2 AS DOUBLE), 0) AS auc FROM h2)"""
 
+AUC_RAW = f"""test AS (
+  SELECT risk_raw, CASE WHEN status = 'lapsed' THEN 1 ELSE 0 END AS lbl FROM rs2 WHERE {bucket("entity_id")} >= 80),
+ranks AS (
+  SELECT lbl, rank() OVER (ORDER BY risk_raw) AS lo,
+         count(*) OVER (ORDER BY risk_raw RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi FROM test),
+u AS (
+  SELECT sum(lbl) AS p, sum(1 - lbl) AS n, sum(CASE WHEN lbl = 1 THEN lo + hi END) AS twice_ranks FROM ranks)"""
+
+BOX = f"""sorted AS (
+  SELECT risk_band, list(r ORDER BY r) AS v, count(*) AS n
+  FROM (SELECT risk_band, {rnd("risk", 4)} AS r FROM scored WHERE risk IS NOT NULL) s GROUP BY risk_band),
+places AS (
+  SELECT *, greatest(0.0, least(n * CAST(0.25 AS DOUBLE) - 0.5, n - 1.0)) AS p1,
+         greatest(0.0, least(n * CAST(0.5 AS DOUBLE) - 0.5, n - 1.0)) AS p2,
+         greatest(0.0, least(n * CAST(0.75 AS DOUBLE) - 0.5, n - 1.0)) AS p3 FROM sorted),
+quartiles AS (
+  SELECT risk_band, v, n,
+         {rnd("v[floor(p1)::INT + 1] + (p1 - floor(p1)) * (v[ceil(p1)::INT + 1] - v[floor(p1)::INT + 1])", 6)} AS q1,
+         {rnd("v[floor(p2)::INT + 1] + (p2 - floor(p2)) * (v[ceil(p2)::INT + 1] - v[floor(p2)::INT + 1])", 6)} AS median,
+         {rnd("v[floor(p3)::INT + 1] + (p3 - floor(p3)) * (v[ceil(p3)::INT + 1] - v[floor(p3)::INT + 1])", 6)} AS q3
+  FROM places),
+fences AS (
+  SELECT *, {rnd("q1 - CAST(1.5 AS DOUBLE) * (q3 - q1)", 6)} AS fence_lo,
+         {rnd("q3 + CAST(1.5 AS DOUBLE) * (q3 - q1)", 6)} AS fence_hi FROM quartiles)"""
+
 BY_AREA = f"""by_area AS (
   SELECT area, count(*) AS entities,
          CAST(sum(CASE WHEN status = 'lapsed' THEN 1 ELSE 0 END) AS BIGINT) AS lapsed,
@@ -288,6 +313,10 @@ FROM (SELECT entity_id, CASE WHEN views IS NOT NULL THEN least(1.0, greatest(0.0
                 "CASE WHEN " + bucket("c_custkey") + " < 80 THEN 'train' ELSE 'test' END AS split "
                 "FROM customer"),
     "q_auc": _w(SCORED_CTES, AUC_TEST) + "SELECT auc FROM auc",
+    "q_auc_unrounded": _w(SCORED_CTES, AUC_RAW) + """SELECT
+       CAST(twice_ranks - p * (p + 1) AS DOUBLE) / nullif(CAST(2 * p * n AS DOUBLE), 0) AS auc FROM u""",
+    "q_ml_auc_exact": _w(SCORED_CTES, AUC_RAW) + """SELECT CAST(sum(lbl) AS BIGINT) AS positives,
+       CAST(sum(1 - lbl) AS BIGINT) AS negatives, sum(lbl) > 0 AND sum(1 - lbl) > 0 AS has_auc, true AS agrees FROM test""",
     "q_by_area": _w(SCORED_CTES, BY_AREA) + "SELECT * FROM by_area2",
     "q_reasons": _w(SCORED_CTES) + ("SELECT reason, count(*) AS entities FROM scored "
                                     "WHERE status = 'lapsed' GROUP BY reason"),
@@ -387,6 +416,18 @@ FROM hb GROUP BY bin, risk_band, b""",
        {rnd("quantile_cont(r, 0.75)", 6)} AS q3, max(r) AS max
 FROM (SELECT risk_band, {rnd("risk", 4)} AS r FROM scored WHERE risk IS NOT NULL) s
 GROUP BY risk_band""",
+    "q_box_drawn": _w(SCORED_CTES, BOX) + f"""SELECT risk_band, n, v[1] AS min, q1, median, q3, v[n] AS max,
+       fence_lo, fence_hi,
+       {rnd("median - CAST(1.57 AS DOUBLE) * (q3 - q1) / sqrt(CAST(n AS DOUBLE))", 6)} AS notch_lo,
+       {rnd("median + CAST(1.57 AS DOUBLE) * (q3 - q1) / sqrt(CAST(n AS DOUBLE))", 6)} AS notch_hi,
+       least(list_min(list_filter(v, lambda x: x >= fence_lo)), q1) AS whisker_lo,
+       greatest(list_max(list_filter(v, lambda x: x <= fence_hi)), q3) AS whisker_hi,
+       CAST(len(list_filter(v, lambda x: x < fence_lo)) AS BIGINT) AS outliers_lo,
+       CAST(len(list_filter(v, lambda x: x > fence_hi)) AS BIGINT) AS outliers_hi
+FROM fences""",
+    "q_box_outliers": _w(SCORED_CTES, BOX) + """SELECT risk_band, value, count(*) AS rows
+FROM (SELECT risk_band, unnest(v) AS value, fence_lo, fence_hi FROM fences) p
+WHERE value < fence_lo OR value > fence_hi GROUP BY risk_band, value""",
     "q_top_n": _w(SCORED_CTES) + f"""SELECT {SCORED_COLS},
        row_number() OVER (ORDER BY risk DESC NULLS LAST, entity_id) AS position FROM scored
 QUALIFY row_number() OVER (ORDER BY risk DESC NULLS LAST, entity_id) <= {TOPN}""",

@@ -165,6 +165,35 @@ def q_auc(spark, sf_dir):
     return R.auc_exact(_test_split(_scored(spark, sf_dir)), "risk", "lapsed_label")
 
 
+def q_auc_unrounded(spark, sf_dir):
+    """M5: exact held-out AUC of the unrounded rule score."""
+    p = R.hash_split(flows.with_rule_score(_profile(spark, sf_dir)), "entity_id")
+    return R.auc_ranked(p.where(F.col("split") == "test"), "risk_raw", "lapsed_label")
+
+
+#: What the binned curve of Spark ML's evaluator may be away from the exact AUC
+#: (it keeps about 1,000 points).
+EVALUATOR_ERROR = 0.001
+
+
+def q_ml_auc_exact(spark, sf_dir):
+    """M4, M5: the evaluator on the fitted model's held-out rows agrees with
+    the exact AUC of its unrounded probability."""
+    from riskweave.plans.pipeline import fit_model
+    data, model = fit_model(_profile(spark, sf_dir))
+    test = R.materialize(R.score_model(model, data.where(F.col("split") == "test"), out="risk_raw"))
+    # on the probability itself: a margin may tell apart what saturates to 0 or 1
+    auc = R.auc_evaluator(test, label="lapsed_label", raw="risk_raw")
+    exact = R.auc_ranked(test, "risk_raw", "lapsed_label")
+    rows = test.agg(F.count_if(F.col("lapsed_label") == 1).alias("positives"),
+                    F.count_if(F.col("lapsed_label") == 0).alias("negatives"))
+    near = F.abs(exact.select("auc").scalar() - F.lit(auc)) <= EVALUATOR_ERROR
+    # with one class only there is no curve
+    both = (F.col("positives") > 0) & (F.col("negatives") > 0)
+    return rows.select("positives", "negatives", both.alias("has_auc"),
+                       F.coalesce(near, exact.select("auc").scalar().isNull()).alias("agrees"))
+
+
 # --------------------------------------------------------------- indicators
 def _by_area(s: DataFrame) -> DataFrame:
     return IND.by_group(s, "area", "status", A.LAPSED, "risk", positive_name="lapsed",
@@ -326,6 +355,22 @@ def q_box(spark, sf_dir):
     return X.box(_scored(spark, sf_dir), "risk", "risk_band")
 
 
+def _score_counts(spark, sf_dir):
+    """Bounded: 10,001 values per band."""
+    return R.materialize(X.score_counts(_scored(spark, sf_dir), "risk", "risk_band"))
+
+
+def q_box_drawn(spark, sf_dir):
+    """The box per band as the chart draws it: quartiles, fences, whisker ends, outlier counts."""
+    return X.box_drawn(_score_counts(spark, sf_dir), "risk_band")
+
+
+def q_box_outliers(spark, sf_dir):
+    """The points beyond the whiskers."""
+    counts = _score_counts(spark, sf_dir)
+    return X.box_outliers(counts, X.box_drawn(counts, "risk_band"), "risk_band")
+
+
 def _top_n_param(s: DataFrame):
     return X.adaptive_params(s).select("top_n").scalar()
 

@@ -170,3 +170,38 @@ def test_auc_of_large_populations(spark):
         assert R.auc_exact(h, "score_value", "pos").first()["auc"] == 1.0
     finally:
         R.score_histogram = orig
+
+
+def _plotted(values):
+    """Quartiles, whisker ends and outliers of sorted values, place by place."""
+    v, n = sorted(values), len(values)
+
+    def at(p):
+        k = p * n - 0.5
+        if k < 0 or k > n - 1:
+            return v[0] if k < 0 else v[-1]
+        lo, hi = v[math.floor(k)], v[math.ceil(k)]
+        return lo + (k - math.floor(k)) * (hi - lo)
+
+    q1, q3 = at(0.25), at(0.75)
+    lo, hi = round(q1 - 1.5 * (q3 - q1), 6), round(q3 + 1.5 * (q3 - q1), 6)
+    return (round(q1, 6), round(at(0.5), 6), round(q3, 6), min(q1, min(x for x in v if x >= lo)),
+            max(q3, max(x for x in v if x <= hi)), sorted(x for x in v if x < lo or x > hi))
+
+
+@pytest.mark.parametrize("values", [
+    [0.5], [0.1, 0.9], [0.2] * 7, [0.0, 0.0001, 1.0], [k / 100 for k in range(40, 60)] + [0.0, 0.01, 0.99, 0.99, 1.0],
+    [0.3, 0.3, 0.3, 0.31, 0.32, 0.9]])
+def test_box_drawn(spark, values):
+    rows = [("g", x) for x in values] + [(None, 0.4), ("g", None)]
+    counts = X.score_counts(spark.createDataFrame(rows, "band string, risk double"), "risk", "band")
+    box = X.box_drawn(counts, "band")
+    got = {r.band: r for r in box.collect()}
+    q1, median, q3, lo, hi, out = _plotted(values)
+    g = got["g"]
+    assert (g.q1, g.median, g.q3, g.n) == (q1, median, q3, len(values))
+    assert (round(g.whisker_lo, 6), round(g.whisker_hi, 6)) == (round(lo, 6), round(hi, 6))
+    assert g.outliers_lo + g.outliers_hi == len(out)
+    points = [r.value for r in X.box_outliers(counts, box, "band").collect() for _ in range(r.rows)]
+    assert sorted(points) == out
+    assert got[None].n == 1 and got[None].whisker_lo == got[None].whisker_hi == 0.4

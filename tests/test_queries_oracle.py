@@ -48,22 +48,20 @@ def test_every_query_has_an_oracle_or_is_documented():
 
 
 def test_new_part_files_are_seen_in_the_same_session(spark, tmp_path):
-    import shutil
-
+    # a fresh copy of the tables, customer and orders as folders of part files
     root = str(tmp_path / "sf")
-    shutil.copytree(SF, root)
-    customer = f"{root}/customer.parquet"
-    shutil.move(customer, f"{root}/one.parquet")
-    os.makedirs(customer)
-    shutil.move(f"{root}/one.parquet", f"{customer}/part-0.parquet")
+    os.makedirs(root)
+    customer, orders = f"{root}/customer.parquet", f"{root}/orders.parquet"
+    for t in "region nation customer supplier part orders lineitem events".split():
+        target = f"{root}/{t}.parquet"
+        if target in (customer, orders):
+            os.makedirs(target)
+            target += "/part-0.parquet"
+        duckdb.sql(f"SELECT * FROM '{SF}/{t}.parquet'").write_parquet(target)
     names = ("q_left_fill", "q_profile_left", "q_scored_left")
     before = {n: QUERIES[n](spark, root).count() for n in names}
     extra = duckdb.sql(f"SELECT * REPLACE (c_custkey + 1000000 AS c_custkey) FROM '{customer}/part-0.parquet' LIMIT 20")
     extra.write_parquet(f"{customer}/part-1.parquet")
-    orders = f"{root}/orders.parquet"
-    shutil.move(orders, f"{root}/one.parquet")
-    os.makedirs(orders)
-    shutil.move(f"{root}/one.parquet", f"{orders}/part-0.parquet")
     duckdb.sql(f"SELECT * REPLACE (o_custkey + 1000000 AS o_custkey, o_orderkey + 100000000 AS o_orderkey) "
                f"FROM '{orders}/part-0.parquet' WHERE o_custkey IN (SELECT c_custkey - 1000000 FROM "
                f"'{customer}/part-1.parquet')").write_parquet(f"{orders}/part-1.parquet")

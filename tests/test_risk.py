@@ -1,5 +1,7 @@
 import math
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import risk as R
@@ -80,3 +82,26 @@ def test_degenerate_evaluation_gives_null_auc(spark):
                                    "miss_rate double, avg_mark double")
     k = IND.kpis(scored, "status", "a", auc=float("nan")).first()
     assert k["model_auc"] is None
+
+
+@pytest.mark.parametrize("seed, ties", [(0, False), (1, True), (2, True)])
+def test_auc_ranked_equals_pair_counting(spark, seed, ties):
+    rng = random.Random(seed)
+    rows = [(round(rng.random(), 1) if ties else rng.random(), int(rng.random() < 0.4)) for _ in range(300)]
+    rows += [(0.5, int(i % 3 == 0)) for i in range(400)]  # one score holds more than half of all rows
+    pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
+    expected = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    df = spark.createDataFrame([*rows, (None, 1), (0.3, None)], "score double, y int")
+    for parts in (1, 7):
+        assert R.auc_ranked(df, "score", "y", partitions=parts).first().auc == expected
+
+
+def test_auc_ranked_needs_both_classes(spark):
+    for rows in ([], [(0.1, 1), (0.2, 1)], [(0.1, 0)]):
+        assert R.auc_ranked(spark.createDataFrame(rows, "score double, y int"), "score", "y").first().auc is None
+
+
+def test_auc_ranked_equals_the_evaluator(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(rng.random(), float(rng.random() < 0.3)) for _ in range(900)], "score double, label double")
+    assert abs(R.auc_ranked(df, "score", "label").first().auc - R.auc_evaluator(df, raw="score")) < 1e-9
