@@ -63,14 +63,17 @@ def _before(df: DataFrame, column: str, before: str | None) -> DataFrame:
 
 @dataclass
 class Tables:
-    """Lazily-read driver tables for one scale-factor directory."""
+    """Driver tables of one scale-factor directory, each read at its first use
+    and only then; one object serves one query."""
     spark: SparkSession
     root: str
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.root, name)
+        table = read_table(self.spark, self.root, name)
+        setattr(self, name, table)
+        return table
 
 
 def tables(spark: SparkSession, root: str) -> Tables:

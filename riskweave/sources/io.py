@@ -60,16 +60,94 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
             return (reader.option("header", True).option("mode", "FAILFAST")
                     .option("enforceSchema", False)
                     .option("dateFormat", "yyyy-MM-dd").csv(target))
-        absent = [c for c in sch.fieldNames() if c not in spark.read.parquet(target).columns]
-        if absent:  # a declared schema would read them as NULL in every row
-            raise ValueError(f"{target} has no column {', '.join(absent)}")
-        return reader.parquet(target)
+        out = reader.parquet(target)
+        check_parts(out, sch)
+        return out
     except AnalysisException as exc:
         if on_missing == "empty" and _is_missing(exc):
             return spark.createDataFrame([], sch)
         raise
 
 
+#: Part files whose footers are read at once on the driver; beyond that, tasks read them.
+DRIVER_FOOTERS = 64
+
+
+def check_parts(stored: DataFrame, schema: T.StructType) -> None:
+    """Raise if a part file of ``stored`` lacks a column of ``schema``, which
+    would read as NULL there.  Names the first files and their columns.
+
+    A few footers are read on the driver, which takes no job; many by the
+    executors (``part_columns``), one row a file.  Columns that are folders
+    (``band=Alto``) are no columns of the files and count as present.
+    """
+    files = stored.inputFiles()
+    names = schema.fieldNames()
+    if len(files) <= DRIVER_FOOTERS:
+        bad = [(f, absent) for f in files if (absent := _absent(f, footer_columns(stored.sparkSession, f), names))]
+    else:
+        rows = part_columns(stored.sparkSession, files)
+        folders = F.expr("filter(split(file, '/'), x -> x like '%=%')")
+        absent = F.array_except(F.array(*map(F.lit, names)), F.concat(
+            "columns", F.transform(folders, lambda x: F.substring_index(x, "=", 1))))
+        found = rows.select("file", absent.alias("absent")).where(F.size("absent") > 0)
+        bad = [(r.file, r.absent) for r in found.orderBy("file").limit(5).collect()]
+    if bad:
+        raise ValueError("; ".join(f"{f} has no column {', '.join(absent)}" for f, absent in bad[:5]))
+
+
+def _absent(file: str, columns: list[str], names: list[str]) -> list[str]:
+    folders = {x.split("=", 1)[0] for x in file.split("/") if "=" in x}
+    return [c for c in names if c not in columns and c not in folders]
+
+
+def footer_columns(spark: SparkSession, file: str) -> list[str]:
+    """Top-level columns in one file's footer, through the session's file systems."""
+    jvm = spark._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        return [f.getName() for f in reader.getFileMetaData().getSchema().getFields()]
+    finally:
+        reader.close()
+
+
+def part_columns(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``file, columns`` of many part files; each task reads the footers of its paths.
+
+    Paths are opened by the store their URI names (local, HDFS or an object
+    store); where Python knows no such store, the driver reads the footers.
+    """
+    from urllib.parse import unquote, urlparse
+
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    def columns_of(file: str) -> list[str]:
+        uri = urlparse(file)
+        if uri.scheme in ("", "file"):
+            return pq.read_schema(unquote(uri.path)).names
+        store, path = pafs.FileSystem.from_uri(file)
+        return pq.read_schema(path, filesystem=store).names
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.column(0).slice(at, 256)
+                yield pa.RecordBatch.from_arrays(
+                    [some, pa.array([columns_of(f) for f in some.to_pylist()], pa.list_(pa.string()))],
+                    names=["file", "columns"])
+
+    schema = "file string, columns array<string>"
+    if urlparse(files[0]).scheme not in ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss"):
+        return spark.createDataFrame([(f, footer_columns(spark, f)) for f in files], schema)
+    tasks = min(len(files), 4 * spark.sparkContext.defaultParallelism)
+    return spark.createDataFrame([(f,) for f in files], "file string").repartition(tasks).mapInArrow(run, schema)
+
+
 def dataset_path(root: str, layer: str, name: str, fmt: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}_{fmt}"
 
@@ -126,13 +204,11 @@ def read_dataset(spark: SparkSession, root: str, layer: str, name: str,
         if schema is None:
             raise ValueError("a CSV dataset is read with its declared schema")
         return read_csv(spark, path, schema)
-    stored = spark.read.parquet(path)
     if schema is None:
-        return stored
-    absent = [c for c in schema.fieldNames() if c not in stored.columns]
-    if absent:
-        raise ValueError(f"{path} has no column {', '.join(absent)}")
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        return spark.read.parquet(path)
+    stored = spark.read.schema(schema).parquet(path)
+    check_parts(stored, schema)
+    return stored.select(*schema.fieldNames())
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -77,6 +77,48 @@ def test_missing_parquet_column_is_an_error(spark, scratch):
         io.read_table(spark, scratch, "t", schema=SCH)
 
 
+@pytest.mark.parametrize("parts", [2, io.DRIVER_FOOTERS + 6])
+@pytest.mark.parametrize("odd", ["first", "last"])
+def test_one_odd_part_file_is_an_error(spark, scratch, parts, odd):
+    """Whichever file lacks a column, and whoever reads the footers."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = io.table_path(scratch, "t")
+    os.makedirs(path)
+    at = 0 if odd == "first" else parts - 1
+    for k in range(parts):
+        row = {"student_id": [k], "dropout_date": pa.array([None], pa.date32()), "dropout_reason": ["x"]}
+        if k == at:
+            del row["dropout_reason"]
+        pq.write_table(pa.table(row), f"{path}/part-{k:05d}.parquet")
+    with pytest.raises(ValueError, match=f"part-{at:05d}.parquet has no column dropout_reason"):
+        io.read_table(spark, scratch, "t", schema=SCH)
+    sound = T.StructType(SCH.fields[:2])
+    assert io.read_table(spark, scratch, "t", schema=sound).count() == parts
+    with pytest.raises(ValueError, match="dropout_reason"):
+        io.read_table(spark, scratch, "t", schema=SCH, path=f"{path}/*.parquet")
+
+
+def test_many_part_files_with_a_folder_column(spark, scratch):
+    n = io.DRIVER_FOOTERS + 6
+    df = spark.range(n).select("id", F.col("id").cast("string").alias("band"))
+    io.publish(df, scratch, "gold", "p", partition_by=["band"])
+    assert io.read_dataset(spark, scratch, "gold", "p", schema=df.schema).count() == n
+
+
+def test_reading_takes_no_job(spark, scratch):
+    """Schemas come from the declaration and footers from the driver."""
+    spark.range(3).select(F.col("id").alias("student_id"), F.lit(None).cast("date").alias("dropout_date"),
+                          F.lit("x").alias("dropout_reason")).write.parquet(io.table_path(scratch, "t"))
+    spark.sparkContext.setJobGroup("reading", "reading")
+    try:
+        io.read_table(spark, scratch, "t", schema=SCH)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("reading")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_corrupt_csv_row_is_an_error(spark, scratch):
     p = os.path.join(scratch, "bad.csv")
     with open(p, "w") as f:
