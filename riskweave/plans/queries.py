@@ -8,6 +8,7 @@ matching SQL for an independent engine lives in ``plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from riskweave.operators.profile import build_profile
 from riskweave.plans import adapters as A
 from riskweave.plans import flows
 from riskweave.session import configure, shared_dir
-from riskweave.sources import io
+from riskweave.sources import io, ordered, quarantine, versions
 from riskweave.sources.schemas import DRIVER, SCHOOL, ForeignKey, TableSpec
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -383,32 +384,56 @@ def q_top_n(spark, sf_dir):
 
 
 def q_top_area(spark, sf_dir):
-    """O2: top 20 areas by lapsed rate."""
-    return X.top_n(_by_area(_scored(spark, sf_dir)), "lapsed_rate", TOP_AREAS, "area")
+    """O2: top 20 areas by lapsed rate, with their place."""
+    top = X.top_n(_by_area(_scored(spark, sf_dir)), "lapsed_rate", TOP_AREAS, "area")
+    return top.withColumn("position", X.place(None, F.desc_nulls_last("lapsed_rate"), "area"))
 
 
 def q_top_dim(spark, sf_dir):
-    """O2: top 15 part types by miss rate."""
-    return X.top_n(q_rate_by_dim(spark, sf_dir), "miss_rate", TOP_DIMS, "part_type")
+    """O2: top 15 part types by miss rate, with their place."""
+    top = X.top_n(q_rate_by_dim(spark, sf_dir), "miss_rate", TOP_DIMS, "part_type")
+    return top.withColumn("position", X.place(None, F.desc_nulls_last("miss_rate"), "part_type"))
+
+
+def _stored_scores(spark, sf_dir):
+    """The scored table as the sink stores it, by risk descending (ties: key);
+    its folder, and its rows with their file and place."""
+    from riskweave.plans.pipeline import SCORED_SCHEMA
+    root = shared_dir(spark, "stored-scores")
+    paths = io.publish(_scored(spark, sf_dir), root, "gold", "scores",
+                       sort_by=[F.col("risk").desc_nulls_last(), F.col("entity_id")])
+    return root, ordered.read_placed(spark, paths["parquet"], SCORED_SCHEMA)
+
+
+def q_stored_order(spark, sf_dir):
+    """O1: the stored order, proved from the files: rows that come too early
+    inside a file, files that begin too early, and the ends of the list."""
+    root, placed = _stored_scores(spark, sf_dir)
+    order = F.struct(F.col("risk").isNull(), -F.col("risk"), "entity_id")
+    at = F.struct("_file", "_row")
+    ends = placed.agg(F.min_by("entity_id", at).alias("first_entity"), F.max_by("entity_id", at).alias("last_entity"))
+    proof = ordered.order_proof(placed, order).select("rows", "breaks_inside", "breaks_between")
+    return _read_back(root, proof.crossJoin(ends))  # one row each
 
 
 def q_scatter(spark, sf_dir):
-    """O3: first 1000 filtered entities by risk."""
-    f = _scored(spark, sf_dir).where(_filter_cond())
-    return X.top_n(f, "risk", SCATTER_ROWS, "entity_id").select(
+    """O3: the first 1000 filtered entities in stored order, with their place."""
+    root, placed = _stored_scores(spark, sf_dir)
+    first = ordered.first_in_file_order(placed, SCATTER_ROWS, _filter_cond())
+    return _read_back(root, first.select(
         "entity_id", "name", "segment", "region", "area", "risk", "risk_band", "miss_rate",
-        "avg_mark")
+        "avg_mark", "position"))
 
 
 def q_priority_list(spark, sf_dir):
-    """Priority list of the filtered entities with display text."""
-    s = _scored(spark, sf_dir)
-    f = X.top_n_of(s.where(_filter_cond()), "risk", _top_n_param(s), X.TOP_MOST, "entity_id")
-    return f.select(
+    """Priority list of the filtered entities in stored order, with display text and place."""
+    root, placed = _stored_scores(spark, sf_dir)
+    f = ordered.first_in_file_order(placed, _top_n_param(placed), _filter_cond(), most=X.TOP_MOST)
+    return _read_back(root, f.select(
         "entity_id", "name", "segment", "region", "area",
         short_percent_text("risk").alias("risk"), "risk_band",
         short_percent_text("miss_rate").alias("miss_rate"), "avg_mark", "balance",
-        "purchases", "action_count")
+        "purchases", "action_count", "position"))
 
 
 # ----------------------------------------------------------------- quality
@@ -493,20 +518,90 @@ def q_optional_source(spark, sf_dir):
     return io.table_counts(frames)
 
 
-MANIFEST_FIELDS = {"entities_count": "entities", "activity_rows": "activity",
-                   "marks_rows": "marks", "engagement_rows": "engagement",
-                   "actions_rows": "actions"}
+MANIFEST_FIELDS = ("entities_count", "activity_rows", "marks_rows", "engagement_rows", "actions_rows")
 
 
 def q_run_manifest(spark, sf_dir):
-    """Run manifest written as JSON and read back."""
-    t = _t(spark, sf_dir)
-    frames = {"entities": A.entity(t), "activity": A.activity(t), "marks": A.marks(t), "engagement": A.engagement(t), "actions": A.actions(t)}
-    m = io.run_manifest(frames, MANIFEST_FIELDS, seed=SEED)
-    path = shared_dir(spark, "manifest")
-    io.write_manifest(m, path)
-    back = _read_back(path, io.read_manifest(spark, path))
-    return back.select(*MANIFEST_FIELDS.keys(), "seed")
+    """Run manifest written as JSON and read back.  Its counts are
+    taken by the writes of the tables; each is read once."""
+    t, root = _t(spark, sf_dir), shared_dir(spark, "manifest")
+    made = io.write_counted(A.entity(t), root, "bronze", "entities")
+    facts = io.write_counted(A.order_facts(t), root, "bronze", "order_facts", {
+        "activity": F.count(F.lit(1)), "marks": F.count_if(F.col("n_lines") > 0), "actions": F.sum("urgent")})
+    clicks = io.write_counted(A.engagement(t), root, "bronze", "engagement")
+    counts = {"entities_count": made["rows"], "activity_rows": facts["activity"], "marks_rows": facts["marks"],
+              "engagement_rows": clicks["rows"], "actions_rows": facts["actions"]}
+    io.write_manifest(io.manifest_of(spark, counts, seed=SEED), f"{root}/manifest")
+    return _read_back(root, io.read_manifest(spark, f"{root}/manifest")).select(*MANIFEST_FIELDS, "seed")
+
+
+def q_skip_empty(spark, sf_dir):
+    """Tables written with their counts; an empty one leaves no dataset."""
+    root, rows = shared_dir(spark, "skip-empty"), []
+    for name in OPTIONAL_TABLES:
+        sch = (DRIVER.get(name) or SCHOOL[name]).schema
+        table = io.read_table(spark, sf_dir, name, on_missing="empty", schema=sch)
+        n = io.write_counted(table, root, "bronze", name)["rows"]
+        back = io.read_table(spark, root, name, on_missing="empty", schema=sch,
+                             path=io.dataset_path(root, "bronze", name, "parquet"))
+        stored = io.exists(spark, io.dataset_path(root, "bronze", name, "parquet"))
+        rows.append(back.agg(F.count(F.lit(1)).alias("read_back")).select(
+            F.lit(name).alias("table_name"), F.lit(n).cast("long").alias("counted"), "read_back", F.lit(stored).alias("stored")))
+    return _read_back(root, reduce(DataFrame.unionByName, rows))
+
+
+def q_refresh_versions(spark, sf_dir):
+    """Two refreshes and one that dies half-way; rows of every
+    dataset in each version that was committed, and the one that readers see."""
+    t, root = _t(spark, sf_dir), shared_dir(spark, "refresh")
+
+    def write(how: str, dies: bool = False):
+        def run(folder: str) -> dict:
+            prof = flows.profile(t, how=how)
+            n = io.write_counted(prof, folder, "silver", "profile")["rows"]
+            if dies:
+                raise InterruptedError("half-way")
+            areas = io.read_dataset(spark, folder, "silver", "profile").groupBy("region", "area").agg(
+                F.count(F.lit(1)).alias("entities"))
+            return {"profile": n, "areas": io.write_counted(areas, folder, "gold", "areas")["rows"]}
+        return run
+
+    versions.refresh(spark, root, write("inner"))
+    versions.refresh(spark, root, write("left"))
+    try:
+        versions.refresh(spark, root, write("inner", dies=True))
+    except InterruptedError:
+        pass
+    now = versions.current(spark, root).number
+    rows = [io.read_dataset(spark, v.path, layer, name).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(v.number).cast("long").alias("version"), F.lit(v.number == now).alias("is_current"),
+                F.lit(name).alias("dataset"), "rows", F.lit(v.facts[name]).cast("long").alias("counted"))
+            for v in versions.commits(spark, root) for layer, name in (("silver", "profile"), ("gold", "areas"))]
+    return _read_back(root, reduce(DataFrame.unionByName, rows))
+
+
+#: Where q_quarantine spoils a customer's line: key divisible by, and how.
+SPOILED = {97: "balance", 89: "more", 83: "fewer"}
+
+
+def q_quarantine(spark, sf_dir):
+    """Customers written as CSV with spoiled lines, loaded with the bad
+    rows set aside; rows per reason and the sums of what was loaded."""
+    t, root = _t(spark, sf_dir), shared_dir(spark, "quarantine")
+    schema = DRIVER["customer"].schema
+    key, fields = F.col("c_custkey"), [F.col(f.name).cast("string") for f in schema.fields]
+    spoil = {how: key % n == 0 for n, how in SPOILED.items()}
+    bad_balance = [F.lit("none") if f.name == "c_acctbal" else c for f, c in zip(schema.fields, fields)]
+    line = (F.when(spoil["balance"], F.concat_ws(",", *bad_balance))
+            .when(spoil["more"], F.concat_ws(",", *fields, F.lit("extra")))
+            .when(spoil["fewer"], F.concat_ws(",", *fields[:-1])).otherwise(F.concat_ws(",", *fields)))
+    t.customer.select(line.alias("line")).write.text(f"{root}/csv")
+    loaded = quarantine.load_csv(spark, f"{root}/csv", schema, f"{root}/loaded", header=False)
+    good = loaded.good.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("rows"),
+                           F.sum("c_custkey").alias("keys"))
+    raw_key = F.substring_index("raw", ",", 1).cast("long")
+    bad = loaded.bad.where("file is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("rows"), F.sum(raw_key).alias("keys"))
+    return _read_back(root, good.unionByName(bad))
 
 
 # ---------------------------------------------------------------------- ML

@@ -40,7 +40,7 @@ from riskweave.operators.aggregates import avg_by, count_by, rate_by, rate_by_di
 from riskweave.operators.profile import FlagRule, add_flags, build_profile
 from riskweave.plans.pipeline import fit_model
 from riskweave.session import configure
-from riskweave.sources import io
+from riskweave.sources import io, versions
 
 KEY = "student_id"
 
@@ -277,5 +277,11 @@ def run(spark: SparkSession, bronze: str, out_root: str, seed: int | None = None
     return {"auc": auc, "root": out_root}
 
 
-__all__ = ["read_bronze", "student_profile", "score", "gold", "run", "subject_absences",
+def refresh(spark: SparkSession, bronze: str, root: str, seed: int | None = None,
+            detail: bool = True) -> versions.Version:
+    """``run`` as a new version of ``root``: readers see all of it or none of it."""
+    return versions.refresh(spark, root, lambda folder: {"auc": run(spark, bronze, folder, seed, detail)["auc"]})
+
+
+__all__ = ["read_bronze", "student_profile", "score", "gold", "run", "refresh", "subject_absences",
            "manifest", "MANIFEST_SCHEMA", "rule_risk", "targeted", "quality_report", "register_views", "subject_detail"]

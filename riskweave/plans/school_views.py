@@ -27,7 +27,7 @@ from riskweave.functions import percent_text, short_percent_text, thousands_text
 from riskweave.operators import explore as X
 from riskweave.operators import indicators as IND
 from riskweave.plans import school
-from riskweave.sources import io
+from riskweave.sources import io, versions
 
 # Fixed values of the original page: datasets read, columns shown, defaults.
 GOLD = ("student_risk_scores", "dropout_by_neighborhood", "subject_absences",
@@ -42,6 +42,8 @@ TOP_NEIGHBORHOODS, TOP_SUBJECTS, SCATTER_ROWS = 20, 15, 1000
 
 
 def load_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The gold datasets; of the current version, where ``root`` holds versions."""
+    root = versions.resolve(spark, root)
     return {n: io.read_dataset(spark, root, "gold", n) for n in GOLD}
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,8 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
         raise ValueError("on_missing must be 'error' or 'empty'")
     sch = nullable_schema(schema if schema is not None else spec(name).schema)
     target = path or table_path(root, name, fmt)
+    if on_missing == "empty" and not exists(spark, target):
+        return spark.createDataFrame([], sch)
     reader = spark.read.schema(sch)
     try:
         if fmt == "csv":
@@ -196,6 +198,41 @@ def publish(df: DataFrame, root: str, layer: str, name: str,
     return out
 
 
+def write_counted(df: DataFrame, root: str, layer: str, name: str, metrics: Mapping[str, Column] | None = None,
+                  skip_empty: bool = True) -> dict[str, int]:
+    """Write ``<root>/<layer>/<name>_parquet`` and count while writing.
+
+    ``metrics`` (name → integer aggregate; ``rows`` is always there) are
+    collected by the write's own tasks (``DataFrame.observe``), so no table is
+    read a second time for its counts.  They stand directly below the write,
+    in its result stage, where a repeated task counts once.  An empty table is
+    known by the same count; with ``skip_empty`` it leaves no dataset, also
+    none of an earlier run.
+    """
+    seen = Observation()
+    aggregates = {"rows": F.count(F.lit(1)), **(metrics or {})}
+    path = dataset_path(root, layer, name, "parquet")
+    (df.observe(seen, *[F.coalesce(a, F.lit(0)).cast("long").alias(k) for k, a in aggregates.items()])
+     .write.mode("overwrite").parquet(path))
+    got = {k: int(seen.get.get(k) or 0) for k in aggregates}
+    if skip_empty and not got["rows"]:
+        remove(df.sparkSession, path)
+    return got
+
+
+def manifest_of(spark: SparkSession, counts: Mapping[str, int], **facts) -> DataFrame:
+    """One-row run manifest from counts that are already known; ``generated_at``
+    is the UTC time of the run."""
+    row = spark.range(1).select(*[F.lit(int(v)).cast("long").alias(k) for k, v in counts.items()],
+                                *[F.lit(v).alias(k) for k, v in facts.items()])
+    return row.withColumn("generated_at", _utc_text())
+
+
+def _utc_text() -> Column:
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
 def read_dataset(spark: SparkSession, root: str, layer: str, name: str,
                  fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """Read a published dataset (all part files).  Missing → AnalysisException."""
@@ -217,6 +254,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             .option("enforceSchema", False).csv(path))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file, a folder or a match of a pattern is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def write_csv_extract(df: DataFrame, path: str) -> str:
     """Export rows as headed CSV (the 'download filtered extract' action)."""
     df.write.mode("overwrite").option("header", True).csv(path)
@@ -259,8 +303,7 @@ def run_manifest(tables: Mapping[str, DataFrame], names: Mapping[str, str],
     row = keyed.select(*[F.col(f"`{t}`").cast("long").alias(f) for f, t in names.items()])
     for k, v in facts.items():
         row = row.withColumn(k, F.lit(v))
-    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
-    row = row.withColumn("generated_at", F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    row = row.withColumn("generated_at", _utc_text())
     return row.select(*fields, *facts.keys(), "generated_at")
 
 
@@ -276,6 +319,8 @@ def read_manifest(spark: SparkSession, path: str,
     A missing path or a corrupt document gives no row, so the caller's
     ``coalesce(field, default)`` applies, as it does for an absent field.
     """
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
     try:
         return (spark.read.schema(schema).option("multiLine", True)
                 .option("mode", "DROPMALFORMED").json(path))
