@@ -97,3 +97,14 @@ def fk_summary(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec],
                      .select(F.lit(cname).alias("constraint_name"),
                              F.lit(child_name).alias("child_table"), "orphan_keys", "orphan_rows"))
     return _union(parts)
+
+
+def cardinality_report(frames: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """``frame, keys, rows`` per frame declared to have one row per key: the
+    keys with more, and their rows (null keys join nothing and do not count)."""
+    parts = []
+    for name, df in frames.items():
+        v = pk_violations(df.where(F.col(key).isNotNull()).select(key), [key])
+        parts.append(v.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
+                     .select(F.lit(name).alias("frame"), "keys", "rows"))
+    return _union(parts)

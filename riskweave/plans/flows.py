@@ -119,13 +119,15 @@ def entity_orders(t: A.Tables) -> DataFrame:
 
 
 # ------------------------------------------------------------------ profile
-def profile(t: A.Tables, how: str = "inner", flags: bool = True) -> DataFrame:
+def profile(t: A.Tables, how: str = "inner", flags: bool = True, check: tuple[str, ...] = ()) -> DataFrame:
     """Wide per-entity profile.
 
     ``how="inner"`` keeps entities with activity, marks and engagement (an
     entity missing any of them vanishes, as in the original pipeline);
     ``how="left"`` keeps every entity with a status, NULLs where facts are
-    missing.  Action counts are filled with 0 in both.
+    missing.  Action counts are filled with 0 in both.  All frames but the
+    entity and the dimension are aggregates by the key; ``check`` has those
+    two checked as well (``q_guarded_profile``).
     """
     per = entity_orders(t)
     if how == "inner":
@@ -138,7 +140,7 @@ def profile(t: A.Tables, how: str = "inner", flags: bool = True) -> DataFrame:
         dimension=(A.area_dim(t), "nation_key"),
         facts=[entity_engagement(t)],
         how=how,
-        fill={"action_count": 0})
+        fill={"action_count": 0}, check=check)
     out = out.select(*PROFILE_COLUMNS)
     return add_flags(out, FLAG_RULES) if flags else out
 

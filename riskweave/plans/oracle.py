@@ -513,5 +513,20 @@ SQL["q_publish_run"] = _w(SCORED_CTES, DIM_RATE) + """, c AS (
     FROM (SELECT DISTINCT o.o_custkey, l.l_partkey FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey) e)
 SELECT dataset, unnest(formats) AS format, rows FROM c"""
 
+SQL["q_entity_lookup"] = SQL["q_entity_detail"].replace(" FROM d", ", true AS few_rows_read FROM d")
+SQL["q_search_index"] = SQL["q_search"].replace("risk_band FROM", "risk_band, true AS few_rows_read FROM")
+SQL["q_guarded_profile"] = SQL["q_profile"]
+SQL["q_cube_kpis"], SQL["q_cube_hist"], SQL["q_cube_facets"] = SQL["q_kpis"], SQL["q_hist"], SQL["q_facets"]
+SQL["q_cube_cards"] = _w(SCORED_CTES) + f"""SELECT count(*) AS n_total, count(*) FILTER (WHERE {FILTER}) AS n_filtered,
+       CAST(coalesce(sum(action_count) FILTER (WHERE {FILTER}), 0) AS BIGINT) AS actions,
+       CAST(coalesce(sum(views) FILTER (WHERE {FILTER}), 0) AS BIGINT) AS views FROM scored"""
+SQL["q_join_violations"] = "\nUNION ALL\n".join(
+    f"SELECT '{frame}' AS frame, count(*) AS keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows FROM "
+    f"(SELECT {key}, count(*) AS n FROM {source} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1) k"
+    for frame, key, source in (
+        ("entity", "c_custkey", "customer"), ("status", "k", "(SELECT DISTINCT o_custkey AS k FROM orders) o"),
+        ("engagement", "k", "(SELECT DISTINCT user_id AS k FROM events) e"), ("raw_events", "user_id", "events"),
+        ("raw_orders", "o_custkey", "orders")))
+
 # Queries without an SQL form (model fit): checked on rows and by unit tests.
 NO_ORACLE = ("q_ml_scores", "q_ml_auc")

@@ -34,6 +34,10 @@ SCORED_SCHEMA = T.StructType([
 ])
 
 
+#: Rows of a page of the entity-clustered table: what a lookup reads at least.
+LOOKUP_PAGE_ROWS = 1024
+
+
 def fit_model(prof: DataFrame, features=flows.MODEL_FEATURES, label: str = "lapsed_label",
               train_pct: int = 80, max_iter: int = 50, tol: float = 1e-6, key: str = flows.KEY):
     """Assembled rows with their split, and the logistic model of the train rows.
@@ -114,7 +118,7 @@ def run(spark: SparkSession, sf_dir: str, out_root: str, method: str = "rule",
     k = IND.kpis(scored, "status", A.LAPSED, auc=auc, names={"positives": "lapsed"})
     io.publish(k, out_root, "gold", "kpis", **small)
     io.publish(flows.entity_detail(t), out_root, "gold", "entity_detail",
-               sort_by=[F.col("entity_id"), F.col("l_partkey")])
+               sort_by=[F.col("entity_id"), F.col("l_partkey")], page_rows=LOOKUP_PAGE_ROWS)
     written.update({"gold": f"{out_root}/gold"})
     return written
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import (clamp, percent_text, round_half_up, short_percent_text,
                                  thousands_text)
+from riskweave.operators import cube, trigrams
 from riskweave.operators import explore as X
 from riskweave.operators import indicators as IND
 from riskweave.operators import quality as Q
@@ -24,7 +25,7 @@ from riskweave.operators.profile import build_profile
 from riskweave.plans import adapters as A
 from riskweave.plans import flows
 from riskweave.session import configure, shared_dir
-from riskweave.sources import io, ordered, quarantine, versions
+from riskweave.sources import io, ordered, quarantine, scan, versions
 from riskweave.sources.schemas import DRIVER, SCHOOL, ForeignKey, TableSpec
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +113,21 @@ def q_profile_left(spark, sf_dir):
     return _profile(spark, sf_dir, "left")
 
 
+def q_guarded_profile(spark, sf_dir):
+    """The wide profile with its declared cardinalities checked in the joins."""
+    return flows.profile(_t(spark, sf_dir), check=("entity", "attributes", "dimension", "facts"))
+
+
+def q_join_violations(spark, sf_dir):
+    """Frames as one-row-per-entity declarations: the roles hold them,
+    raw events and orders do not."""
+    t = _t(spark, sf_dir)
+    return Q.cardinality_report({
+        "entity": A.entity(t), "status": A.status(t), "engagement": flows.entity_engagement(t),
+        "raw_events": t.events.select(F.col("user_id").alias("entity_id")),
+        "raw_orders": t.orders.select(F.col("o_custkey").alias("entity_id"))}, "entity_id")
+
+
 def q_left_fill(spark, sf_dir):
     """Sparse left join of action counts, filled with 0."""
     t = _t(spark, sf_dir)
@@ -318,12 +334,80 @@ def q_entity_detail(spark, sf_dir):
         "by_mark": X.place("entity_id", F.asc("avg_mark"), "part_key")})
 
 
+def q_entity_lookup(spark, sf_dir):
+    """The detail panel of the highest-risk entity from the
+    table that is clustered by entity; pages of other entities are not read."""
+    from riskweave.plans import pipeline
+    t, root = _t(spark, sf_dir), shared_dir(spark, "lookup")
+    io.publish(flows.entity_detail(t), root, "gold", "entity_detail", page_rows=pipeline.LOOKUP_PAGE_ROWS,
+               sort_by=[F.col("entity_id"), F.col("l_partkey")])
+    top = _top_entity(spark, sf_dir).first()  # one row: the chosen entity
+    hits, read = scan.run_and_count(pipeline.entity_detail(spark, root, top.entity_id if top else None))
+    named = flows.with_part_names(t, hits).withColumns({
+        "by_missed": X.place("entity_id", F.desc("total_missed"), "part_key"),
+        "by_mark": X.place("entity_id", F.asc("avg_mark"), "part_key"),
+        "few_rows_read": F.lit(read <= 4 * pipeline.LOOKUP_PAGE_ROWS)})
+    return _read_back(root, named)
+
+
+def q_search_index(spark, sf_dir):
+    """The literal search through the published trigram index; only the
+    stretch of the text's rarest trigram is read of it."""
+    root, placed = _stored_scores(spark, sf_dir)
+    stored = placed.select("entity_id", "name", "risk", "risk_band")
+    trigrams.publish_index(stored, root, "names", "name", "entity_id")
+    text = SEARCH_TEXT.strip().lower()
+    found, read = scan.run_and_count(trigrams.search_index(spark, root, "names", text))
+    _, names = trigrams.rarest(spark, root, "names", text)
+    by_id = stored.where(F.col("entity_id").cast("string") == F.lit(text)).select(F.col("entity_id").alias("key"))
+    keys = found.unionByName(by_id).distinct().withColumnRenamed("key", "entity_id")
+    hits = stored.join(keys, "entity_id", "left_semi")
+    return _read_back(root, hits.withColumn("few_rows_read", F.lit(read <= names + 4 * trigrams.PAGE_ROWS)))
+
+
+# -------------------------------------------------------------- page cube
+CUBE_FACETS = ("risk_band", "region", "segment")
+
+
+def _cube(spark, sf_dir) -> DataFrame:
+    """The page's cube, as its readers find it: a small published table."""
+    s = R.hash_split(_scored(spark, sf_dir), "entity_id")
+    return R.materialize(cube.page_cube(
+        s, CUBE_FACETS, "risk", "miss_rate", "avg_mark", F.col("status") == A.LAPSED, F.col("split") == "test",
+        {"actions": F.col("action_count"), "views": F.col("views")}))
+
+
+def q_cube_kpis(spark, sf_dir):
+    """The KPI row from the cube."""
+    return cube.cube_kpis(_cube(spark, sf_dir), {
+        "rows": "total_entities", "positives": "lapsed", "score": "avg_risk", "rate": "avg_miss_rate",
+        "mark": "avg_mark", "auc": "model_auc"})
+
+
+def q_cube_hist(spark, sf_dir):
+    """The histogram by band from the cube."""
+    return X.weighted_histogram(cube.cube_counts(_cube(spark, sf_dir), "risk_band"), "risk", "rows", by="risk_band")
+
+
+def q_cube_facets(spark, sf_dir):
+    """The facet lists from the cube."""
+    return cube.cube_facets(_cube(spark, sf_dir), CUBE_FACETS, descending=["risk_band"])
+
+
+def q_cube_cards(spark, sf_dir):
+    """Rows and sums behind the volume cards for the page's filter, from the cube."""
+    cond = cube.cube_filter({"risk_band": FILTER_BANDS, "region": FILTER_REGIONS, "segment": FILTER_SEGMENTS},
+                            min_step=round(MIN_MISS_RATE * cube.STEPS))
+    return cube.cube_sums(_cube(spark, sf_dir), cond, ["actions", "views"])
+
+
 def q_entity_tables(spark, sf_dir):
     """The detail page's lookup of one entity in five tables, one row per
     table with its rows there, and the headline texts."""
     t = _t(spark, sf_dir)
-    top = _top_entity(spark, sf_dir)
-    s = _scored(spark, sf_dir).join(top, "entity_id")
+    narrow = R.materialize(_scored(spark, sf_dir).select("entity_id", "risk", "miss_rate", "avg_mark"))
+    top = X.top_n(narrow, "risk", 1, "entity_id").select("entity_id")
+    s = narrow.join(top, "entity_id")
     texts = s.select(percent_text("risk", 1).alias("risk_text"), percent_text("miss_rate", 1).alias("rate_text"),
                      F.format_string("%.2f", "avg_mark").alias("mark_text"))
     keyed = {"scores": s.select("entity_id"), "customer": t.customer.select(F.col("c_custkey").alias("entity_id")),
@@ -378,7 +462,7 @@ def _top_n_param(s: DataFrame):
 
 def q_top_n(spark, sf_dir):
     """O1: top-N entities by risk (adaptive N, key tie-break), with their place."""
-    s = _scored(spark, sf_dir)
+    s = R.materialize(_scored(spark, sf_dir))  # counted and listed: the profile is computed once
     out = X.top_n_of(s, "risk", _top_n_param(s), X.TOP_MOST, "entity_id")
     return out.withColumn("position", X.place(None, F.desc_nulls_last("risk"), "entity_id"))
 

@@ -100,10 +100,11 @@ def subject_absences(att: DataFrame, subjects: DataFrame) -> DataFrame:
 
 
 def student_profile(b: dict[str, DataFrame], how: str = "inner",
-                    school_year: int | None = None) -> DataFrame:
+                    school_year: int | None = None, check: tuple[str, ...] = ()) -> DataFrame:
     """Silver profile; ``school_year`` optionally restricts the fact tables
     (the original summed all years; its facts carry the year but it never
-    filtered on it)."""
+    filtered on it).  With ``check`` a second row of a student in the frames
+    named there is an error; the original let it double the student."""
     facts = {n: b[n] for n in ("attendance", "grades", "digital_engagement")}
     if school_year is not None:
         facts = {n: f.where(F.col("school_year") == school_year) for n, f in facts.items()}
@@ -115,7 +116,7 @@ def student_profile(b: dict[str, DataFrame], how: str = "inner",
                engagement_features(facts["digital_engagement"])],
         how=how,
         sparse=[count_by(b["interventions"], KEY, "intervention_count")],
-        fill={"intervention_count": 0})
+        fill={"intervention_count": 0}, check=check)
     return add_flags(prof, FLAG_RULES)
 
 
@@ -242,19 +243,20 @@ def subject_detail(b: dict[str, DataFrame]) -> DataFrame:
 
 
 def run(spark: SparkSession, bronze: str, out_root: str, seed: int | None = None,
-        detail: bool = True) -> dict[str, object]:
+        detail: bool = True, check: tuple[str, ...] = ()) -> dict[str, object]:
     """Full refresh of silver and gold under ``out_root`` (parquet + CSV),
     plus ``<out_root>/run_metadata`` (JSON manifest of the bronze counts).
 
     ``detail`` also publishes ``student_subject_detail`` (parquet), globally
     sorted by student: each file holds a disjoint range of students, so a
     student lookup skips the rest through row-group statistics instead of
-    scanning the attendance and grade facts.
+    scanning the attendance and grade facts.  ``check`` names the frames of
+    the profile in which a student's second row stops the run.
     """
     configure(spark)
     b = read_bronze(spark, bronze)
     io.write_manifest(manifest(b, seed), f"{out_root.rstrip('/')}/run_metadata")
-    io.publish(student_profile(b), out_root, "silver", "student_profile",
+    io.publish(student_profile(b, check=check), out_root, "silver", "student_profile",
                formats=("parquet", "csv"))
     prof = io.read_dataset(spark, out_root, "silver", "student_profile")
     scored, auc = score(prof)
@@ -278,9 +280,9 @@ def run(spark: SparkSession, bronze: str, out_root: str, seed: int | None = None
 
 
 def refresh(spark: SparkSession, bronze: str, root: str, seed: int | None = None,
-            detail: bool = True) -> versions.Version:
+            detail: bool = True, check: tuple[str, ...] = ()) -> versions.Version:
     """``run`` as a new version of ``root``: readers see all of it or none of it."""
-    return versions.refresh(spark, root, lambda folder: {"auc": run(spark, bronze, folder, seed, detail)["auc"]})
+    return versions.refresh(spark, root, lambda folder: {"auc": run(spark, bronze, folder, seed, detail, check)["auc"]})
 
 
 __all__ = ["read_bronze", "student_profile", "score", "gold", "run", "refresh", "subject_absences",

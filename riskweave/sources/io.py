@@ -157,7 +157,7 @@ def dataset_path(root: str, layer: str, name: str, fmt: str) -> str:
 def publish(df: DataFrame, root: str, layer: str, name: str,
             formats: Iterable[str] = ("parquet",), single_csv_file: bool = False,
             skip_empty: bool = False, sort_by: list | None = None,
-            partition_by: list[str] | None = None) -> dict[str, str]:
+            partition_by: list[str] | None = None, page_rows: int | None = None) -> dict[str, str]:
     """Overwrite ``<root>/<layer>/<name>_<fmt>`` for each format.
 
     With several formats the plan runs once: parquet is written first and the
@@ -167,7 +167,9 @@ def publish(df: DataFrame, root: str, layer: str, name: str,
     upstream plans stay unsorted — and once: the CSV copy is not sorted
     again.  ``partition_by`` writes one parquet directory per value of
     low-cardinality columns, so readers filtering on them prune whole
-    directories; CSV files always hold every column.  With ``skip_empty`` an
+    directories; CSV files always hold every column.  ``page_rows`` makes
+    parquet pages of so many rows, for tables that are sorted for lookups: the
+    page index lets a reader skip the others inside a row group.  With ``skip_empty`` an
     empty frame writes the format's empty dataset, so nothing of an earlier
     run stays readable, and no path is returned.  Returns written paths.
     """
@@ -183,6 +185,8 @@ def publish(df: DataFrame, root: str, layer: str, name: str,
         writer = src.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if page_rows:
+            writer = writer.option("parquet.page.row.count.limit", page_rows)
         writer.parquet(pq)
         out["parquet"] = pq
         # partition columns move to the end of the stored schema: name them in their order

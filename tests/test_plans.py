@@ -67,5 +67,16 @@ def test_facets_single_pass(spark):
 
 
 def test_top_n_is_take_ordered(spark):
-    for name in ("q_top_area", "q_top_dim", "q_scatter", "q_top_n", "q_priority_list"):
+    for name in ("q_top_area", "q_top_dim", "q_top_n"):
         assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF)), name
+
+
+def test_lists_in_stored_order_are_take_ordered(spark, monkeypatch):
+    """What q_scatter and q_priority_list compute before they give their folder back."""
+    from riskweave.plans import queries as Q
+
+    plans, back = [], Q._read_back
+    monkeypatch.setattr(Q, "_read_back", lambda path, df: (plans.append(plan(df)), back(path, df))[1])
+    for name in ("q_scatter", "q_priority_list"):
+        QUERIES[name](spark, SF)
+        assert "TakeOrderedAndProject" in plans[-1], name
