@@ -8,9 +8,9 @@ falls below the rate, so each occurrence of a word draws its own.  Every
 segmentation is made of vocabulary pieces and bytes, so it decodes to the very
 text.
 
-The agenda is deterministic once it is known which merges are dropped: a
-worker remembers, per chunk and merges dropped so far, the merges that come up
-next and the pieces they lead to.
+The agendas of all short chunks of a batch of texts run side by side in tables,
+one merge of every chunk at a time; long chunks and those with characters that
+no piece holds run one by one.
 """
 
 from __future__ import annotations
@@ -21,22 +21,76 @@ import sys
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import worker_cache
+from riskweave.llm.common import mix64, worker_cache
 
 SPACE = "\u2581"
-#: Runs of the agenda that a worker remembers, and the longest chunk of which it does.
+#: Runs of the agenda that a worker remembers (``variants`` only), and the longest
+#: chunk that is merged in a table or remembered.
 CACHE_ENTRIES = 150_000
 CACHE_CHARS = 40
+#: Characters of the texts whose merges are drawn at once (one text at least).
+BATCH_CHARS = 1 << 20
 #: A run of spaces with the word after it; no piece of the model crosses these borders.
 _CHUNK = re.compile(r" *[^ \n]+|\n| +")
 _M64 = (1 << 64) - 1
 
 
+#: Rank of a pair that is no piece; no symbol, and the place after the last one.
+NEVER = np.int32(2 ** 31 - 1)
+NONE, END = -1, -2
+#: Widths of the tables in which chunks of like lengths are merged together.
+WIDTHS = (4, 8, 12, 16, 24, CACHE_CHARS)
+
+
+class PairTable:
+    """(rank, merged piece) of two adjacent pieces, for whole arrays: a hash
+    table with linear probing."""
+
+    BITS = 21
+
+    def __init__(self, pairs: dict[int, tuple[int, int]], pieces: int) -> None:
+        self.pieces = pieces
+        size = 1 << self.BITS
+        if len(pairs) * 2 > size:
+            raise ValueError("too many pairs of pieces")
+        self.code = np.full(size, -1, np.int64)
+        self.rank = np.full(size, NEVER, np.int32)
+        self.piece = np.full(size, NONE, np.int32)
+        codes = np.fromiter(pairs, np.int64, len(pairs))
+        slots, self.depth = self._slot(codes).tolist(), 1
+        used = {}
+        for code, slot in zip(codes.tolist(), slots):
+            at, probes = slot, 1
+            while at in used:
+                at, probes = (at + 1) % size, probes + 1
+            used[at] = code
+            self.depth = max(self.depth, probes)
+            self.code[at], (self.rank[at], self.piece[at]) = code, pairs[code]
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        codes = a.astype(np.int64) * self.pieces + b
+        codes[(a < 0) | (b < 0)] = -3
+        at = self._slot(codes)
+        open_ = np.flatnonzero((self.code[at] != codes) & (self.code[at] >= 0))
+        for _ in range(self.depth):
+            if not len(open_):
+                break
+            at[open_] = (at[open_] + 1) & ((1 << self.BITS) - 1)
+            here = self.code[at[open_]]
+            open_ = open_[(here != codes[open_]) & (here >= 0)]
+        hit = self.code[at] == codes
+        return np.where(hit, self.rank[at], NEVER), np.where(hit, self.piece[at], NONE)
+
+
 class MergeDropout:
     """Encoder and decoder of one model.
 
@@ -74,6 +128,13 @@ class MergeDropout:
             self.rank[piece] = order
         self.cache: dict = {}
         self.entries = 0
+        # pieces of one character by code point, and all pairs of pieces that make a piece
+        ones = sorted((ord(c), i) for c, i in ((" " if p == SPACE else p, i) for p, i in self.ids.items()) if len(c) == 1)
+        self.letters = np.array([c for c, _ in ones], np.int64)
+        self.letter_ids = np.array([i for _, i in ones], np.int32)
+        pairs = {self.ids[p[:k]] * size + self.ids[p[k:]]: (r, self.ids[p]) for p, r in self.rank.items()
+                 for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids}
+        self.pairs = PairTable(pairs, size)
 
     def _dropped(self, h: int) -> bool:
         """Whether the hash of an occurrence and a merge's place falls below the rate."""
@@ -173,18 +234,116 @@ class MergeDropout:
                 if self.entries < CACHE_ENTRIES:
                     more[place] = run
 
+    def _symbols(self, codes: np.ndarray) -> np.ndarray:
+        """Piece of each code point, or its byte if that is one (bytes are part
+        of no pair), else ``NONE``."""
+        at = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        byte = np.where(codes < 128, np.array(self.byte_id)[np.minimum(codes, 127)], NONE)
+        return np.where(self.letters[at] == codes, self.letter_ids[at], byte).astype(np.int32)
+
+    def _agenda(self, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """``_merge`` for a table of chunks, a row each (``symbols`` padded with
+        ``END`` and one column wider than the longest): one merge that comes up
+        in every row at a time.  Returns the table of pieces, ``END`` where a
+        symbol has been merged into another."""
+        n, width = symbols.shape
+        ranks, pieces = (x.reshape(n, width - 1) for x in self.pairs.find(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()))
+        after = np.tile(np.arange(1, width + 1, dtype=np.int64), (n, 1))
+        before = np.tile(np.arange(-1, width - 1, dtype=np.int64), (n, 1))
+        rows = np.arange(n)
+        while len(rows):
+            at = ranks[rows].argmin(axis=1)
+            going = ranks[rows, at] != NEVER
+            rows, at = rows[going], at[going]
+            right = after[rows, at]
+            end = after[rows, right]  # the place after both: the length of the chunk if nothing follows
+            if self.limit:
+                place = (at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                         + end.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + right.astype(np.uint64))
+                dropped = self._drops(keys[rows] ^ place)
+                ranks[rows[dropped], at[dropped]] = NEVER
+                stay = ~dropped
+                r, i, j, k = rows[stay], at[stay], right[stay], end[stay]
+            else:
+                r, i, j, k = rows, at, right, end
+            merged = pieces[r, i]
+            symbols[r, i], symbols[r, j] = merged, END
+            after[r, i] = k
+            inner = j < width - 1
+            ranks[r[inner], j[inner]] = NEVER
+            has = k < lengths[r]
+            before[r[has], k[has]] = i[has]
+            ranks[r, i] = NEVER
+            ranks[r[has], i[has]], pieces[r[has], i[has]] = self.pairs.find(merged[has], symbols[r[has], k[has]])
+            p = before[r, i]
+            has = p >= 0
+            ranks[r[has], p[has]], pieces[r[has], p[has]] = self.pairs.find(symbols[r[has], p[has]], merged[has])
+        return symbols
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, every occurrence of a chunk with its own draws."""
+        whole = [" " + t for t in texts if t]
+        if not whole:
+            return [b""] * len(texts)
+        codes = np.frombuffer("".join(whole).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        firsts = np.cumsum([0, *map(len, whole)])
+        # a chunk starts with a text, at and after a line break, and at the first of some spaces
+        line, space = codes == 10, codes == 32
+        start = line | space
+        start[1:] = line[1:] | line[:-1] | (space[1:] & ~space[:-1])
+        start[firsts[:-1]] = True
+        starts = np.flatnonzero(start)
+        lengths = np.diff(np.append(starts, len(codes)))
+        first_chunk = np.searchsorted(starts, firsts)
+        base = np.array([xxhash.xxh3_64_intdigest(t[1:].encode("utf-8", "surrogatepass"), self.seed) for t in whole], np.uint64)
+        of = np.repeat(np.arange(len(whole)), np.diff(first_chunk))
+        number = (np.arange(len(starts)) - first_chunk[of] + 1).astype(np.uint64)
+        keys = base[of] + number * np.uint64(0xD6E8FEB86659FD93)
+
+        symbols = self._symbols(codes)
+        odd = np.zeros(len(starts), bool)  # chunks that need bytes, or are long: one by one
+        odd[np.searchsorted(starts, np.flatnonzero(symbols == NONE), side="right") - 1] = True
+        odd |= lengths > CACHE_CHARS
+        counts, found = np.zeros(len(starts), np.int64), []
+        for low, width in zip((0, *WIDTHS), WIDTHS):
+            chunks = np.flatnonzero((lengths > low) & (lengths <= width) & ~odd)
+            for a in range(0, len(chunks), 1 << 15):
+                some = chunks[a:a + (1 << 15)]
+                cells = starts[some][:, None] + np.arange(width + 1)
+                table = np.where(np.arange(width + 1) < lengths[some][:, None],
+                                 symbols[np.minimum(cells, len(symbols) - 1)], END)
+                ids = self._agenda(table, lengths[some], keys[some])
+                counts[some] = (ids != END).sum(axis=1)
+                found.append((some, ids[ids != END]))
+        for i in np.flatnonzero(odd).tolist():
+            chunk = codes[starts[i]:starts[i] + lengths[i]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            ids = np.frombuffer(self._ids(chunk, int(keys[i])), "<u4")
+            counts[i] = len(ids)
+            found.append((np.array([i]), ids))
+        ends = np.cumsum(counts)
+        out = np.empty(int(ends[-1]), "<u4")
+        for some, ids in found:
+            n = counts[some]
+            out[np.repeat(ends[some] - n - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        bounds = np.append(0, ends)[first_chunk]
+        parts = iter([out[a:z].tobytes() for a, z in zip(bounds, bounds[1:])])
+        return [next(parts) if t else b"" for t in texts]
+
+    def _drops(self, h: np.ndarray) -> np.ndarray:
+        """``_dropped`` of many hashes."""
+        return np.ones(len(h), bool) if self.limit >= 2 ** 64 else mix64(h) < np.uint64(self.limit)
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers; the empty text has none."""
         if not text:
             return b""
-        variants, out = self.variants, []
+        if not self.variants:
+            return self.encode_many([text])[0]
+        out = []
         base = xxhash.xxh3_64_intdigest(text.encode(), self.seed)
         for at, chunk in enumerate(_CHUNK.findall(" " + text), 1):
-            if variants:
-                key = xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"),
-                                               self.seed * 65537 + (base + at) % variants)
-            else:
-                key = (base + at * 0xD6E8FEB86659FD93) & _M64
+            key = xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"),
+                                           self.seed * 65537 + (base + at) % self.variants)
             out.append(self.chunk_ids(chunk, key))
         return b"".join(out)
 
@@ -217,9 +376,15 @@ def encode_documents(docs: DataFrame, model: str, rate: float = 0.1, seed: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = coder(model, rate, seed, variants)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [mine.encode(t.as_py() or "") for t in part.column(1)]
+            at = 0
+            while at < batch.num_rows:
+                texts, size, first = [], 0, at
+                while at < batch.num_rows and (not texts or size < BATCH_CHARS):
+                    texts.append(batch.column(1)[at].as_py() or "")
+                    size += len(texts[-1])
+                    at += 1
+                part = batch.slice(first, at - first)
+                ids = [mine.encode(t) for t in texts] if variants else mine.encode_many(texts)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "n_pieces", "ids"])

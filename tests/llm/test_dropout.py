@@ -61,3 +61,22 @@ def test_every_occurrence_draws_its_own():
     for one in (coder.chunk_ids(" internationalisation", k) for k in keys):
         pieces.add(one)
     assert sum(one in of for one in pieces) > 4
+
+
+def test_batches_draw_as_the_plain_agenda_does():
+    """Every chunk of every text, at several rates: the ids of the agenda with its own hash per merge."""
+    import xxhash
+
+    from riskweave.llm.dropout import _CHUNK
+
+    texts = TEXTS + [t for _, t in corpus(3) if t] + ["internationalisation of unbelievable things " * 40, "y" * 41 + " z", "q" * 39]
+    for rate in (0.0, 0.05, 0.4, 0.9, 1.0):
+        coder = MergeDropout(MODEL, rate, 9)
+        got = coder.encode_many(texts)
+        for text, ids in zip(texts, got):
+            base = xxhash.xxh3_64_intdigest(text.encode(), 9)
+            plain = [coder._ids(c, (base + k * 0xD6E8FEB86659FD93) % 2 ** 64) for k, c in enumerate(_CHUNK.findall(" " + text), 1)]
+            assert ids == (b"".join(plain) if text else b""), (rate, text[:40])
+            assert coder.decode(ids) == text
+        assert got == [coder.encode(t) for t in texts]
+        assert got[::-1] == coder.encode_many(texts[::-1])  # whatever the batch
