@@ -72,6 +72,36 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[slice, np.
         at = end
 
 
+def pack_texts(df: DataFrame, column: str = "text") -> DataFrame:
+    """``df`` with a text column as compressed bytes, for the way through a
+    shuffle; null is the empty text.  ``unpack_texts`` reads them back."""
+    kinds = ", ".join(f"`{c}` {'binary' if c == column else t}" for c, t in df.dtypes)
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.large_binary())
+            packed = [b"" if not x else len(x).to_bytes(8, "little") + pa.compress(x, codec="zstd", asbytes=True)
+                      for x in (v.as_py() for v in texts)]
+            columns = list(batch.columns)
+            columns[at] = pa.array(packed, pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(run, kinds)
+
+
+def unpack_texts(batch: pa.RecordBatch, column: str = "text", rows: int = 1 << 10) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with the texts as bytes again, few at a time."""
+    at = batch.schema.get_field_index(column)
+    for a in range(0, batch.num_rows, rows):
+        part = batch.slice(a, rows)
+        texts = [b"" if not x else pa.decompress(x[8:], decompressed_size=int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True)
+                 for x in part.column(at).to_pylist()]
+        columns = list(part.columns)
+        columns[at] = pa.array(texts, pa.large_binary())
+        yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+
+
 def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word (run of bytes other than 0x20 and 0x09–0x0D) and the
     index of the first word of each document (one entry more than documents)."""

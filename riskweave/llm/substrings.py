@@ -23,11 +23,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import (carried, carried_schema, gram_hashes, materialize, restored, text_slices, within,
-                                  word_hashes)
+from riskweave.llm.common import (carried, carried_schema, gram_hashes, materialize, pack_texts, restored, text_slices,
+                                  unpack_texts, within, word_hashes)
 
 #: Words of an anchor.
 ANCHOR = 4
@@ -83,7 +84,7 @@ def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
               .groupBy("doc_id").agg(F.collect_set("h").alias("hs")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in unpack_texts(whole)):
             ids = _ids(batch)
             lists = batch.column(2)
             for rows, data, off in text_slices(batch, "text"):
@@ -105,7 +106,8 @@ def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
                     [_long(np.concatenate(out)), pa.array(np.concatenate(of)),
                      pa.array(np.concatenate(places).astype(np.int64))], names=["w", "doc_id", "place"])
 
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "hs").mapInArrow(run, "w long, doc_id long, place long")
+    texts = pack_texts(docs.where("doc_id is not null").select("doc_id", "text"))
+    return texts.join(wanted, "doc_id").select("doc_id", "text", "hs").mapInArrow(run, "w long, doc_id long, place long")
 
 
 def parse(phrases: np.ndarray, starts: np.ndarray, index: np.ndarray, source: np.ndarray, place: np.ndarray,
@@ -158,8 +160,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("source", pa.int64())])
-        for batch in batches:
-            texts, hits = batch.column(1), batch.column(2)
+        for batch in (part for whole in batches for part in unpack_texts(whole)):
+            hits = batch.column(2)
             for rows, data, off in text_slices(batch, "text"):
                 words, first = word_hashes(data, off)
                 starts = np.flatnonzero(within(first, window, len(words)))
@@ -189,17 +191,30 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(rows.start, rows.stop - rows.start), pa.array(n_words, pa.int64()),
                      pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(span)),
-                     *(c.slice(rows.start, rows.stop - rows.start) for c in batch.columns[3:])],
-                    names=["doc_id", "n_words", "n_removed", "kept", "spans", *batch.schema.names[3:]])
-
-    more = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       *carried(carry))
+                     *texts_of(batch, rows), *(c.slice(rows.start, rows.stop - rows.start) for c in batch.columns[4:])],
+                    names=["doc_id", "n_words", "n_removed", "kept", "spans", *(["_text"] if with_text else []),
+                           *batch.schema.names[4:]])
+
+    def texts_of(batch: pa.RecordBatch, rows: slice) -> list[pa.Array]:
+        if not with_text:
+            return []
+        n = rows.stop - rows.start
+        text, null = batch.column(1).slice(rows.start, n), batch.column(3).slice(rows.start, n)
+        return [pa.compute.if_else(null, pa.scalar(None, pa.large_binary()), text).cast(pa.binary()).cast(pa.string())]
+
+    # the text travels once, packed, also where it is to be carried
+    with_text = text_col in carry
+    rest = [c for c in carry if c != text_col]
+    text = F.col(text_col).cast("string")
+    more = pack_texts(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
+                                  text.isNull().alias("_null"), *carried(rest)))
     joined = more.join(found.hint("shuffle_hash"), "doc_id", "left").select(
-        "doc_id", "text", "hits", *(c for c in more.columns if c.startswith("_carry")))
+        "doc_id", "text", "hits", "_null", *(c for c in more.columns if c.startswith("_carry")))
     out = joined.mapInArrow(run, carried_schema(
         joined, "doc_id long, n_words long, n_removed long, kept string, "
-                "spans array<struct<start:long,length:long,source:long>>"))
-    return out.select("doc_id", "n_words", "n_removed", "kept", "spans", *restored(carry))
+                "spans array<struct<start:long,length:long,source:long>>" + (", _text string" if with_text else "")))
+    names = {c: restored(rest)[i] for i, c in enumerate(rest)} | {text_col: F.col("_text").alias(text_col)}
+    return out.select("doc_id", "n_words", "n_removed", "kept", "spans", *[names[c] for c in carry])
 
 
 def kept_sha256(kept: str = "kept"):
