@@ -23,7 +23,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -199,8 +198,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
         if not with_text:
             return []
         n = rows.stop - rows.start
-        text, null = batch.column(1).slice(rows.start, n), batch.column(3).slice(rows.start, n)
-        return [pa.compute.if_else(null, pa.scalar(None, pa.large_binary()), text).cast(pa.binary()).cast(pa.string())]
+        pairs = zip(batch.column(1).slice(rows.start, n).to_pylist(), batch.column(3).slice(rows.start, n).to_pylist())
+        return [pa.array([None if null else text.decode() for text, null in pairs], pa.string())]
 
     # the text travels once, packed, also where it is to be carried
     with_text = text_col in carry
