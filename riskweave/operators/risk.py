@@ -94,12 +94,16 @@ def fit_logistic(train: DataFrame, features: str = "features", label: str = "lab
                  max_iter: int = 50, reg_param: float = 0.0, tol: float = 1e-6):
     """Fit ``pyspark.ml`` logistic regression (no regularisation by default).
 
-    The estimator persists its input internally for the iterations.
+    The estimator persists its input internally for the iterations.  The
+    model gives up its training summary: that holds the session, which cannot
+    be sent to the executors once it has observed a metric.
     """
     from pyspark.ml.classification import LogisticRegression
     lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
                             regParam=reg_param, tol=tol)
-    return lr.fit(train)
+    model = lr.fit(train)
+    model._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def score_model(model, df: DataFrame, out: str = "risk") -> DataFrame:

@@ -105,3 +105,14 @@ def test_auc_ranked_equals_the_evaluator(spark):
     rng = random.Random(4)
     df = spark.createDataFrame([(rng.random(), float(rng.random() < 0.3)) for _ in range(900)], "score double, label double")
     assert abs(R.auc_ranked(df, "score", "label").first().auc - R.auc_evaluator(df, raw="score")) < 1e-9
+
+
+def test_a_model_scores_after_a_metric_was_observed(spark, scratch):
+    from riskweave.sources import io
+
+    io.write_counted(spark.range(5), scratch, "bronze", "t")
+    rng = random.Random(6)
+    df = spark.createDataFrame([(rng.random(), float(rng.random() < 0.4)) for _ in range(200)], "x double, label double")
+    data = R.assemble(df, ["x"])
+    scored = R.score_model(R.fit_logistic(data), data)
+    assert scored.where("risk between 0 and 1").count() == 200 and 0 <= R.auc_evaluator(scored) <= 1
