@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from riskweave.llm import ann, topk
-from riskweave.llm.ann import ann_search, hadamard, nearest_axes
+from riskweave.llm.ann import ann_search, hadamard, layout, nearest_buckets, signed_axes
 from riskweave.llm.topk import exact_topk
 
 SCHEMA = "vec_id long, embedding array<float>, label int, v string, b int, low string, bucket int"
@@ -92,8 +92,47 @@ def test_hadamard_is_a_rotation_and_axes_are_nearest():
     x = rng.normal(size=(5, 64))
     assert np.allclose(np.linalg.norm(hadamard(x), axis=1), np.linalg.norm(x, axis=1))
     assert np.allclose(hadamard(hadamard(x)), x)
-    near = nearest_axes(x, 0, 3, 1)
-    assert (near == nearest_axes(-x, 0, 3, 1)).sum() == 0 and ((near + 64) % 128 == nearest_axes(-x, 0, 3, 1)).all()
+    near = signed_axes(x, (1, 0), 64)
+    assert np.allclose(near[:, :64], -near[:, 64:]) and np.allclose((near[:, :64] ** 2).sum(axis=1), 1)
+
+
+def test_probed_buckets_are_those_of_least_loss():
+    x = np.random.default_rng(2).normal(size=(7, 12))
+    axes = [16, 4]
+    a, b = (signed_axes(x, (1, 3, i), n) for i, n in enumerate(axes))
+    loss = ((a.max(axis=1, keepdims=True) - a) ** 2)[:, :, None] + ((b.max(axis=1, keepdims=True) - b) ** 2)[:, None, :]
+    order = np.argsort(loss.reshape(7, -1), axis=1)
+    assert (np.sort(nearest_buckets(x, axes, 3, 9, 1), axis=1) == np.sort(order[:, :9], axis=1)).all()
+    assert (nearest_buckets(x, axes, 3, 1, 1) == order[:, :1]).all()
+
+
+def test_probed_share_falls_as_the_table_grows():
+    shares = []
+    for rows in (10 ** 3, 10 ** 5, 10 ** 7, 10 ** 9, 10 ** 12):
+        axes, probes = layout(rows, 64, 6, 64, ann.EFFORT)
+        buckets = int(np.prod([2 * n for n in axes]))
+        assert probes <= 128 and buckets <= 1 << 14 and len(axes) >= 2
+        shares.append(6 * probes / buckets)
+    assert shares == sorted(shares, reverse=True) and shares[-1] < shares[0] / 10
+    assert layout(10, 1, 6, 64, ann.EFFORT)[1] >= 1
+
+
+@pytest.mark.parametrize("rows", [2_000, 20_000])
+def test_recall_holds_at_two_sizes_for_random_directions(rows):
+    m = np.random.default_rng(rows).normal(size=(rows, 64))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    q = np.arange(0, rows, rows // 50)
+    axes, probes = layout(rows, 64, 6, 64, ann.EFFORT)
+    seen = np.zeros((len(q), rows), bool)
+    for t in range(6):
+        place = nearest_buckets(m, axes, t, 1, 11)[:, 0]
+        for i, probed in enumerate(nearest_buckets(m[q], axes, t, probes, 11)):
+            seen[i] |= np.isin(place, probed)
+    score = m[q] @ m.T
+    score[np.arange(len(q)), q] = -2
+    best = np.argsort(-score, axis=1)[:, :10]
+    assert np.take_along_axis(seen, best, 1).mean() >= 0.93
+    assert seen.mean() < 6 * probes / np.prod([2 * n for n in axes])
 
 
 def test_each_length_is_searched_by_itself(spark):
