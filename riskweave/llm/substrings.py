@@ -1,15 +1,19 @@
-"""Substring deduplication by a join of phrase hashes.
-
-A phrase is a run of ``window`` words.  The reference is the table of all
-phrases that two documents hold, dealt out by phrase hash: each with the
-smallest document it starts in and its first place there.  A document is cut
-into factors: from a phrase that starts in an earlier document the factor runs
-on for as long as the next phrase of this document is the next one of the same
-source, too; the words between factors are literals.  This is not a
-Lempel-Ziv parse: a factor is not the longest match over all documents but the
-run in the earliest document that holds its phrases.  The phrases that begin
-inside a factor's last ``window - 1`` words are looked up as well, so nothing
-that straddles a factor's end is missed, and factors may overlap.
+"""Substring deduplication by a relative Lempel-Ziv parse.
+
+A phrase is a run of ``window`` words.  The reference is made of all documents
+in the order of their ids, less what it holds already: every phrase is in it
+once, at its first place in the document with the smallest id.  It is cut into
+blocks of ``BLOCK_WORDS`` words of a document, and the index of its phrases
+(hash → block and place in it) is dealt out by phrase hash.
+
+A document is parsed greedily from left to right: at a phrase that the index
+has in an earlier document, a factor opens and runs on for as long as the next
+phrase here is the next one in that block.  A match of ``window`` words or more
+can lie at one place of the reference only, that of its first phrase; so this
+factor is the longest against every block, not only against one.  Shorter
+matches are literals.  Where a factor ends, the phrases that begin in its last
+``window - 1`` words are looked up as well: nothing that straddles the end of
+a factor or of a block is missed, and factors may overlap by as much.
 
 Few phrases repeat, so most are never sent anywhere.  Any two equal phrases
 have the same lightest ``ANCHOR``-word run (their anchor) at the same place;
@@ -31,6 +35,8 @@ from riskweave.llm.common import (carried, carried_schema, gram_hashes, material
 
 #: Words of an anchor.
 ANCHOR = 4
+#: Words of a block of the reference (a phrase belongs to the block it begins in).
+BLOCK_WORDS = 4096
 
 
 def anchors(words: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,14 +116,14 @@ def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
 
 
 def parse(phrases: np.ndarray, starts: np.ndarray, index: np.ndarray, source: np.ndarray, place: np.ndarray,
-          window: int) -> list[tuple[int, int, int]]:
-    """Factors (start, length, earliest source document) of one document.
+          window: int) -> list[tuple[int, int, int, int]]:
+    """Factors (start, length, source document, first word there) of one document.
 
     ``index`` (ascending) holds the phrase hashes that an earlier document
-    has, ``source`` and ``place`` where.  A factor is opened at the first
-    indexed phrase and extended while each next phrase is the next one of its
-    source; consecutive factors may overlap, since the phrases that start in a
-    factor's last words are looked up like any other.
+    has, ``source`` and ``place`` where.  Greedy: a factor opens at the first
+    indexed phrase and takes each next phrase that is the next one of its
+    block; the phrase after its last one is looked up like any other, though
+    it begins inside the factor.
     """
     if not len(index) or not len(phrases):
         return []
@@ -126,9 +132,12 @@ def parse(phrases: np.ndarray, starts: np.ndarray, index: np.ndarray, source: np
     if not len(hit):
         return []
     of, to = source[at[hit]], place[at[hit]]
-    cut = np.flatnonzero((np.diff(starts[hit]) > 1) | (of[1:] != of[:-1]) | (np.diff(to) != 1)) + 1
-    return [(int(starts[run[0]]), int(starts[run[-1]] - starts[run[0]]) + window, int(source[at[run[0]]]))
-            for run in np.split(hit, cut)]
+    word = to & 0xFFFFFFFF
+    ends = ((np.diff(starts[hit]) > 1) | (of[1:] != of[:-1]) | (np.diff(to) != 1)
+            | (word[1:] // BLOCK_WORDS != word[:-1] // BLOCK_WORDS))
+    first = np.append(0, np.flatnonzero(ends) + 1)
+    last = np.append(first[1:], len(hit)) - 1
+    return [(int(starts[hit[a]]), int(b - a) + window, int(of[a]), int(word[a])) for a, b in zip(first, last)]
 
 
 def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
@@ -139,9 +148,10 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     document with a smaller id is removed; phrases are judged on the input.
     Words are runs of bytes other than 0x20 and 0x09–0x0D.  Returns one row
     per input row: ``doc_id, n_words, n_removed, kept`` (kept words joined by
-    one space), ``spans`` (array of start word, length, source document) and
-    the columns named in ``carry``.  The source of a span holds all of its
-    words in a row; spans may overlap.
+    one space), ``spans`` (array of start word, length, source document),
+    ``places`` (the first word of each span in its source) and the columns
+    named in ``carry``.  A span is a factor of the parse: its source holds all
+    of its words in a row; spans may overlap.
 
     Null text is empty text.  A row without an id is kept whole and removes
     nothing; rows with the same id never remove each other's words; further
@@ -151,9 +161,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     phrases = materialize(repeated_phrases(base, window), "phrases")
-    index = (phrases.groupBy("w").agg(F.min("doc_id").alias("source"), F.min_by("place", "doc_id").alias("place"),
-                                       F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("w", "source", "place"))
+    index = (phrases.groupBy("w").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("w", F.col("first.doc_id").alias("source"), F.col("first.place").alias("place")))
     found = (phrases.select("w", "doc_id").join(index, "w").where("source < doc_id")
              .groupBy("doc_id").agg(F.collect_list(F.struct("w", "source", "place")).alias("hits")))
 
@@ -166,7 +175,7 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                 starts = np.flatnonzero(within(first, window, len(words)))
                 hashes = gram_hashes(words, window)[starts].view(np.int64)
                 bounds = np.searchsorted(starts, first)
-                n_words, n_removed, kept, spans = [], [], [], []
+                n_words, n_removed, kept, spans, places = [], [], [], [], []
                 for i in range(rows.stop - rows.start):
                     own = bytes(data[off[i]:off[i + 1]]).split()
                     factors = []
@@ -181,17 +190,18 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
                     n_words.append(len(own))
                     if factors:
                         stay = np.ones(len(own), bool)
-                        for start, length, _ in factors:
+                        for start, length, *_ in factors:
                             stay[start:start + length] = False
                         own = [own[j] for j in np.flatnonzero(stay)]
                     n_removed.append(n_words[-1] - len(own))
                     kept.append(b" ".join(own).decode("utf-8", "replace"))
-                    spans.append([{"start": s, "length": n, "source": d} for s, n, d in factors])
+                    spans.append([{"start": s, "length": n, "source": d} for s, n, d, _ in factors])
+                    places.append([p for *_, p in factors])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(rows.start, rows.stop - rows.start), pa.array(n_words, pa.int64()),
                      pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.list_(span)),
-                     *texts_of(batch, rows), *(c.slice(rows.start, rows.stop - rows.start) for c in batch.columns[4:])],
-                    names=["doc_id", "n_words", "n_removed", "kept", "spans", *(["_text"] if with_text else []),
+                     pa.array(places, pa.list_(pa.int64())), *texts_of(batch, rows), *(c.slice(rows.start, rows.stop - rows.start) for c in batch.columns[4:])],
+                    names=["doc_id", "n_words", "n_removed", "kept", "spans", "places", *(["_text"] if with_text else []),
                            *batch.schema.names[4:]])
 
     def texts_of(batch: pa.RecordBatch, rows: slice) -> list[pa.Array]:
@@ -211,9 +221,9 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
         "doc_id", "text", "hits", "_null", *(c for c in more.columns if c.startswith("_carry")))
     out = joined.mapInArrow(run, carried_schema(
         joined, "doc_id long, n_words long, n_removed long, kept string, "
-                "spans array<struct<start:long,length:long,source:long>>" + (", _text string" if with_text else "")))
+                "spans array<struct<start:long,length:long,source:long>>, places array<long>" + (", _text string" if with_text else "")))
     names = {c: restored(rest)[i] for i, c in enumerate(rest)} | {text_col: F.col("_text").alias(text_col)}
-    return out.select("doc_id", "n_words", "n_removed", "kept", "spans", *[names[c] for c in carry])
+    return out.select("doc_id", "n_words", "n_removed", "kept", "spans", "places", *[names[c] for c in carry])
 
 
 def kept_sha256(kept: str = "kept"):

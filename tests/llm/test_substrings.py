@@ -1,5 +1,7 @@
+import pytest
 from tests.llm.data import corpus, docs
 
+from riskweave.llm import substrings
 from riskweave.llm.queries import SQL
 from riskweave.llm.substrings import dedup_substrings
 
@@ -59,3 +61,44 @@ def test_a_source_holds_the_whole_span(spark):
         for start, length, source in spans:
             run = [b" " + b" ".join(t.split()[start:start + length]) + b" " for t in texts[i]]
             assert source < i and any(r in t for r in run for t in texts[source])
+
+
+def greedy(rows, window, block):
+    """Plain greedy parse: at each word the longest match against every block of the reference."""
+    texts = {i: (t or "").encode().split() for i, t in rows if i is not None}
+    blocks, held = {}, set()
+    for i in sorted(texts):
+        for j in range(len(texts[i]) - window + 1):
+            phrase = tuple(texts[i][j:j + window])
+            if phrase not in held:
+                held.add(phrase)
+                blocks.setdefault((i, j // block), {})[j] = phrase
+    out = {}
+    for i, w in texts.items():
+        phrases = [tuple(w[j:j + window]) for j in range(len(w) - window + 1)]
+        out[i], j = [], 0
+        while j < len(phrases):
+            best = (0,)
+            for (source, _), places in blocks.items():
+                for at in places if source < i else ():
+                    n = 0
+                    while j + n < len(phrases) and places.get(at + n) == phrases[j + n]:
+                        n += 1
+                    best = max(best, (n, source, at))
+            if best[0]:
+                out[i].append((j, best[0] + window - 1, best[1], best[2]))
+            j += max(1, best[0])
+    return out
+
+
+@pytest.mark.parametrize("block", [4096, 8])
+def test_spans_are_the_longest_factors_over_all_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(substrings, "BLOCK_WORDS", block)
+    p = [f"p{i}" for i in range(40)]
+    short = [(i, t) for i, t in corpus(6, 30) if t is None or len(t.split()) < 200]
+    rows = [(-5, " ".join(p[:20])), (-4, " ".join(p)), (-3, "x " + " ".join(p)),
+            (-2, " ".join([*p[25:40], *p[3:30], "y", *p[:14]]))] + short
+    out = dedup_substrings(docs(spark, rows).repartition(3)).where("doc_id is not null").collect()
+    got = {r.doc_id: [(*s, at) for s, at in zip(r.spans, r.places, strict=True)] for r in out}
+    assert got == greedy(rows, 13, block)
+    assert sum(map(len, got.values())) > 10
