@@ -81,17 +81,19 @@ def document_anchors(docs: DataFrame, window: int) -> DataFrame:
 def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
     """``w, doc_id, place``: hashes of the phrases whose anchor two documents share.
 
-    ``place`` is the first word of the phrase's first occurrence, under a
-    checksum of the text, so that rows which share an id have other places.
+    ``place`` is the first word of the phrase's first occurrence.  Where rows
+    share an id, it lies under a checksum of the text, so that no run of places
+    goes from one of them to another.
     """
     shared = document_anchors(docs, window).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = (document_anchors(docs, window).join(shared.select("h"), "h")
               .groupBy("doc_id").agg(F.collect_set("h").alias("hs")))
+    rows = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in unpack_texts(whole)):
             ids = _ids(batch)
-            lists = batch.column(2)
+            lists, shares = batch.column(2), batch.column(3).to_numpy(zero_copy_only=False) > 1
             for rows, data, off in text_slices(batch, "text"):
                 words, first = word_hashes(data, off)
                 starts, light, _ = anchors(words, first, window)
@@ -103,7 +105,7 @@ def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
                     hs = lists[rows.start + i].values.to_numpy(zero_copy_only=False).view(np.uint64)
                     mine = np.flatnonzero(np.isin(light[a:b], hs))
                     found, at = np.unique(phrases[a:b][mine], return_index=True)
-                    text = zlib.crc32(data[off[i]:off[i + 1]]) & 0x7FFFFFFF
+                    text = zlib.crc32(data[off[i]:off[i + 1]]) & 0x7FFFFFFF if shares[rows.start + i] else 0
                     out.append(found)
                     places.append((starts[a:b][mine[at]] - first[i]) + (text << 32))
                     of.append(np.full(len(found), ids[rows.start + i], np.int64))
@@ -112,7 +114,8 @@ def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
                      pa.array(np.concatenate(places).astype(np.int64))], names=["w", "doc_id", "place"])
 
     texts = pack_texts(docs.where("doc_id is not null").select("doc_id", "text"))
-    return texts.join(wanted, "doc_id").select("doc_id", "text", "hs").mapInArrow(run, "w long, doc_id long, place long")
+    wanted = wanted.join(rows, "doc_id")
+    return texts.join(wanted, "doc_id").select("doc_id", "text", "hs", "n_rows").mapInArrow(run, "w long, doc_id long, place long")
 
 
 def parse(phrases: np.ndarray, starts: np.ndarray, index: np.ndarray, source: np.ndarray, place: np.ndarray,
@@ -154,15 +157,16 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     of its words in a row; spans may overlap.
 
     Null text is empty text.  A row without an id is kept whole and removes
-    nothing; rows with the same id never remove each other's words; further
-    columns are ignored; an empty table gives an empty result.  A passage
+    nothing; rows with the same id never remove each other's words, and a span
+    that names such an id lies in one of them; further columns are ignored; an empty table gives an empty result.  A passage
     that a third of all documents share is reduced before the shuffle to its
     smallest document, and its join back is one that AQE can split.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     phrases = materialize(repeated_phrases(base, window), "phrases")
-    index = (phrases.groupBy("w").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("w", F.col("first.doc_id").alias("source"), F.col("first.place").alias("place")))
+    index = (phrases.groupBy("w").agg(F.min("doc_id").alias("source"), F.min_by("place", "doc_id").alias("place"),
+                                       F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("w", "source", "place"))
     found = (phrases.select("w", "doc_id").join(index, "w").where("source < doc_id")
              .groupBy("doc_id").agg(F.collect_list(F.struct("w", "source", "place")).alias("hits")))
 

@@ -102,3 +102,13 @@ def test_spans_are_the_longest_factors_over_all_blocks(spark, monkeypatch, block
     got = {r.doc_id: [(*s, at) for s, at in zip(r.spans, r.places, strict=True)] for r in out}
     assert got == greedy(rows, 13, block)
     assert sum(map(len, got.values())) > 10
+
+
+def test_no_span_runs_from_one_row_of_an_id_to_another(spark):
+    p = [f"p{i}" for i in range(40)]
+    rows = [(1, " ".join(p[:20])), (1, " ".join([*(f"z{i}" for i in range(8)), *p[8:40]])), (2, " ".join(p))]
+    got = {r.doc_id: r for r in dedup_substrings(docs(spark, rows)).where("doc_id = 2").collect()}[2]
+    assert got.n_removed == 40 and got.kept == ""
+    texts = [t.split() for i, t in rows if i == 1]
+    for (start, length, source), at in zip(got.spans, got.places, strict=True):
+        assert source == 1 and p[start:start + length] in [t[at:at + length] for t in texts]
