@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import (carried, carried_schema, gram_hashes, materialize, pack_texts, restored, text_slices,
-                                  unpack_texts, within, word_hashes)
+from riskweave.llm.common import (carried, carried_schema, gram_hashes, materialize, pack_texts, release, restored,
+                                  text_slices, unpack_texts, within, word_hashes)
 
 #: Words of an anchor.
 ANCHOR = 4
@@ -78,16 +78,21 @@ def document_anchors(docs: DataFrame, window: int) -> DataFrame:
     return docs.where("doc_id is not null").mapInArrow(run, "h long, doc_id long")
 
 
-def repeated_phrases(docs: DataFrame, window: int) -> DataFrame:
-    """``w, doc_id, place``: hashes of the phrases whose anchor two documents share.
+def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
+    """``doc_id, hs``: the anchors of each document that another one has too."""
+    shared = document_anchors(docs, window).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return (document_anchors(docs, window).join(shared.select("h"), "h")
+            .groupBy("doc_id").agg(F.collect_set("h").alias("hs")))
+
+
+def repeated_phrases(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """``w, doc_id, place``: hashes of the phrases whose anchor is in ``wanted``
+    (``shared_anchors``).
 
     ``place`` is the first word of the phrase's first occurrence.  Where rows
     share an id, it lies under a checksum of the text, so that no run of places
     goes from one of them to another.
     """
-    shared = document_anchors(docs, window).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    wanted = (document_anchors(docs, window).join(shared.select("h"), "h")
-              .groupBy("doc_id").agg(F.collect_set("h").alias("hs")))
     rows = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,12 +168,16 @@ def dedup_substrings(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     smallest document, and its join back is one that AQE can split.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    phrases = materialize(repeated_phrases(base, window), "phrases")
-    index = (phrases.groupBy("w").agg(F.min("doc_id").alias("source"), F.min_by("place", "doc_id").alias("place"),
-                                       F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("w", "source", "place"))
-    found = (phrases.select("w", "doc_id").join(index, "w").where("source < doc_id")
-             .groupBy("doc_id").agg(F.collect_list(F.struct("w", "source", "place")).alias("hits")))
+    # each step is written and what it was made of removed, so that no two steps' shuffles are on disk at once
+    wanted = materialize(shared_anchors(base, window), "anchors")
+    phrases = materialize(repeated_phrases(base, wanted, window), "phrases")
+    release(wanted)
+    index = materialize(phrases.groupBy("w").agg(F.min("doc_id").alias("source"), F.min_by("place", "doc_id").alias("place"),
+                                                 F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").select("w", "source", "place"), "index")
+    hits = materialize(phrases.select("w", "doc_id").join(index, "w").where("source < doc_id"), "hits")
+    release(phrases, index)
+    found = hits.groupBy("doc_id").agg(F.collect_list(F.struct("w", "source", "place")).alias("hits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("source", pa.int64())])

@@ -1,6 +1,9 @@
+import time
+
 import pytest
 from tests.llm.data import corpus, docs
 
+from riskweave import session
 from riskweave.llm import substrings
 from riskweave.llm.queries import SQL
 from riskweave.llm.substrings import dedup_substrings
@@ -112,3 +115,21 @@ def test_no_span_runs_from_one_row_of_an_id_to_another(spark):
     texts = [t.split() for i, t in rows if i == 1]
     for (start, length, source), at in zip(got.spans, got.places, strict=True):
         assert source == 1 and p[start:start + length] in [t[at:at + length] for t in texts]
+
+
+def test_steps_leave_no_shuffle_files_and_only_the_hits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda _: str(tmp_path))
+    spark.conf.unset(session._CLEANUP)
+
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {x for x in map(str, (blocks.apply(i) for i in range(blocks.size()))) if x.startswith("shuffle")}
+
+    before = shuffles()
+    out = dedup_substrings(docs(spark, corpus(1)).repartition(4))
+    end = time.time() + 20
+    while (left := shuffles() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(session._CLEANUP) == "false"
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["hits"]
+    assert out.where("n_removed > 0").count() > 0
