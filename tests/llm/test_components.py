@@ -1,8 +1,10 @@
 import random
+import time
 
+from pyspark.sql import functions as F
 from tests.llm.data import Union
 
-from riskweave.llm.common import components
+from riskweave.llm.common import checkpoint, components
 
 
 def test_against_plain_union_find(spark):
@@ -17,3 +19,21 @@ def test_against_plain_union_find(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: up.find(x) for x in up.up}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_a_checkpoint_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = manager.getAllFiles()
+        return {x for x in (found.apply(i).getName() for i in range(found.size())) if x.startswith("shuffle_")}
+
+    frame = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = files()
+    kept = checkpoint(frame)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert kept.count() == 7
